@@ -31,20 +31,30 @@ def last_campaign(campaigns: DataFrame, as_of: date, key: str = "client_id", sen
         "days_since_last_campaign", days_between(F.lit(as_of), "last_campaign_at"))
 
 
-def roi_mean_last(campaigns: DataFrame, n: int = 3, key: str = "client_id", tie: str = "campaign_id") -> DataFrame:
-    """Mean of the per-campaign ratios of the newest ``n``; a campaign without cost counts as 0."""
+def newest_campaigns(campaigns: DataFrame, n: int = 3, key: str = "client_id",
+                     tie: str = "campaign_id") -> DataFrame:
+    """Send time and both ratios of the newest ``n`` campaigns, from one pass over the table.
+
+    ``roi_mean`` averages the per-campaign ratios (a campaign without cost counts as 0); ``roi_pooled`` divides
+    summed revenue by summed cost (no cost gives 0). The newest of the ``n`` is the newest of all.
+    """
     newest = top_rows(campaigns.select(key, tie, "sent_at", "revenue_attributed", "cost"), [key],
                       _newest("sent_at", tie), n)
+    cost = F.sum("cost")
     return newest.groupBy(key).agg(
-        F.avg(ratio("revenue_attributed", "cost", missing=0.0)).alias("campaign_roi"))
+        F.max("sent_at").alias("last_campaign_at"),
+        F.avg(ratio("revenue_attributed", "cost", missing=0.0)).alias("roi_mean"),
+        F.when(cost != 0, F.sum("revenue_attributed") / cost).otherwise(0.0).alias("roi_pooled"))
+
+
+def roi_mean_last(campaigns: DataFrame, n: int = 3, key: str = "client_id", tie: str = "campaign_id") -> DataFrame:
+    """Mean of the per-campaign ratios of the newest ``n``."""
+    return newest_campaigns(campaigns, n, key, tie).select(key, F.col("roi_mean").alias("campaign_roi"))
 
 
 def roi_pooled_last(campaigns: DataFrame, n: int = 3, key: str = "client_id", tie: str = "campaign_id") -> DataFrame:
-    """Revenue over cost, both summed over the newest ``n``; no cost gives 0."""
-    newest = top_rows(campaigns.select(key, tie, "sent_at", "revenue_attributed", "cost"), [key],
-                      _newest("sent_at", tie), n)
-    sums = newest.groupBy(key).agg(F.sum("revenue_attributed").alias("r"), F.sum("cost").alias("c"))
-    return sums.select(key, F.when(F.col("c") != 0, F.col("r") / F.col("c")).otherwise(0.0).alias("campaign_roi"))
+    """Revenue over cost, both summed over the newest ``n``."""
+    return newest_campaigns(campaigns, n, key, tie).select(key, F.col("roi_pooled").alias("campaign_roi"))
 
 
 def roi_calendar_months(campaigns: DataFrame, as_of: date, months: int = 3, key: str = "client_id",
@@ -164,19 +174,21 @@ def local_features(dim: DataFrame, campaigns: DataFrame, automations: DataFrame,
     """
     active = F.col("status") == "active"
     kind = F.col("automation_type")
+    newest = newest_campaigns(campaigns)
     if variant == "sql_v1":
-        recency = last_campaign(campaigns, as_of)
-        roi, standard, missing_days, missing_change = roi_mean_last(campaigns), kind != "integration", 9999, None
+        days, roi, missing_days, missing_change = (
+            days_between(F.lit(as_of), "last_campaign_at"), F.col("roi_mean"), 9999, None)
+        standard = kind != "integration"
     elif variant == "pandas_v1":
-        recency = last_campaign(campaigns, as_of).withColumn(
-            "days_since_last_campaign", elapsed_days(as_of, "last_campaign_at"))
-        roi, standard, missing_days, missing_change = roi_pooled_last(campaigns), kind == "standard", 999, 0.0
+        days, roi, missing_days, missing_change = (
+            elapsed_days(as_of, "last_campaign_at"), F.col("roi_pooled"), 999, 0.0)
+        standard = kind == "standard"
     else:
         raise ValueError(f"unknown variant {variant}")
+    sent = newest.select("client_id", days.alias("days_since_last_campaign"), roi.alias("campaign_roi"))
     counts = automation_counts(automations, active, standard, kind == "integration")
     joined = (dim.select("client_id", "company_name", "csm_owner", "mrr", "days_to_renewal", "cashback_enabled")
-                 .join(recency.drop("last_campaign_at"), "client_id", "left")
-                 .join(roi, "client_id", "left")
+                 .join(sent, "client_id", "left")
                  .join(counts, "client_id", "left")
                  .join(chat_usage(chat), "client_id", "left")
                  .join(messages_two_months(messages, current, previous), "client_id", "left"))

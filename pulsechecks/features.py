@@ -13,46 +13,46 @@ def _(i):
     return features.last_campaign(i.campaigns, AS_OF)
 
 
-@check("f2_roi_mean_last3", with_sql("SELECT client_id, round(campaign_roi, 4) AS campaign_roi FROM x_roi_mean3"))
+@check("f2_roi_mean_last3", with_sql("SELECT client_id, round(campaign_roi, 6) AS campaign_roi FROM x_roi_mean3"))
 def _(i):
-    return features.roi_mean_last(i.campaigns).withColumn("campaign_roi", F.round("campaign_roi", 4))
+    return features.roi_mean_last(i.campaigns).withColumn("campaign_roi", F.round("campaign_roi", 6))
 
 
-@check("f3_roi_pooled_last3", with_sql("SELECT client_id, round(campaign_roi, 4) AS campaign_roi FROM x_roi_pooled3"))
+@check("f3_roi_pooled_last3", with_sql("SELECT client_id, round(campaign_roi, 6) AS campaign_roi FROM x_roi_pooled3"))
 def _(i):
-    return features.roi_pooled_last(i.campaigns).withColumn("campaign_roi", F.round("campaign_roi", 4))
+    return features.roi_pooled_last(i.campaigns).withColumn("campaign_roi", F.round("campaign_roi", 6))
 
 
 CALENDAR = """
-SELECT client_id, round(sum(revenue_attributed) / nullif(sum(cost), 0), 4) AS campaign_roi FROM x_campaigns
+SELECT client_id, round(sum(revenue_attributed) / nullif(sum(cost), 0), 6) AS campaign_roi FROM x_campaigns
 WHERE sent_at >= TIMESTAMP '2001-05-01' AND {cut} GROUP BY client_id"""
 
 
 @check("f4_roi_calendar_months", with_sql(CALENDAR.format(cut=f"CAST(sent_at AS DATE) <= {TODAY}")))
 def _(i):
-    return features.roi_calendar_months(i.campaigns, AS_OF).withColumn("campaign_roi", F.round("campaign_roi", 4))
+    return features.roi_calendar_months(i.campaigns, AS_OF).withColumn("campaign_roi", F.round("campaign_roi", 6))
 
 
 @check("f4_roi_calendar_months_midnight_cut", with_sql(CALENDAR.format(cut=f"sent_at <= CAST({TODAY} AS TIMESTAMP)")))
 def _(i):
     return features.roi_calendar_months(i.campaigns, AS_OF, midnight_cut=True).withColumn(
-        "campaign_roi", F.round("campaign_roi", 4))
+        "campaign_roi", F.round("campaign_roi", 6))
 
 
 @check("f5_roi_values_last3", with_sql(
-    "SELECT client_id, last_campaign_at, days_since_last_campaign, round(campaign_roi, 4) AS campaign_roi FROM x_results3"))
+    "SELECT client_id, last_campaign_at, days_since_last_campaign, round(campaign_roi, 6) AS campaign_roi FROM x_results3"))
 def _(i):
     return features.roi_values_last(i.campaign_results.withColumnRenamed("company_id", "client_id"), AS_OF).withColumn(
-        "campaign_roi", F.round("campaign_roi", 4))
+        "campaign_roi", F.round("campaign_roi", 6))
 
 
 @check("f6_roi_by_period", with_sql(f"""
 SELECT client_id, p AS period_days, count(*) FILTER (age < p) AS campaigns_in_period,
-  round(sum(revenue_attributed) FILTER (age < p) / nullif(sum(cost) FILTER (age < p), 0), 4) AS campaign_roi
+  round(sum(revenue_attributed) FILTER (age < p) / nullif(sum(cost) FILTER (age < p), 0), 6) AS campaign_roi
 FROM (SELECT *, {TODAY} - CAST(sent_at AS DATE) AS age FROM x_campaigns) CROSS JOIN (VALUES (7), (30), (60), (90)) w(p)
 WHERE age BETWEEN 0 AND 89 GROUP BY client_id, p"""))
 def _(i):
-    return features.roi_by_period(i.campaigns, AS_OF).withColumn("campaign_roi", F.round("campaign_roi", 4))
+    return features.roi_by_period(i.campaigns, AS_OF).withColumn("campaign_roi", F.round("campaign_roi", 6))
 
 
 @check("f7_automation_counts", with_sql("SELECT * FROM x_autos_sql"))
@@ -132,18 +132,18 @@ LOCAL = ("client_id", "days_since_last_campaign", "active_automations", "integra
 
 
 @check("f15_features_sql_v1", with_sql(
-    f"SELECT {', '.join(LOCAL)}, round(campaign_roi, 4) AS campaign_roi FROM x_features_sql"))
+    f"SELECT {', '.join(LOCAL)}, round(campaign_roi, 6) AS campaign_roi FROM x_features_sql"))
 def _(i):
     feats = features.local_features(i.clients, i.campaigns, i.automations, i.chat, i.messages, AS_OF, CURRENT, PREVIOUS)
-    return feats.select(*LOCAL, F.round("campaign_roi", 4).alias("campaign_roi"))
+    return feats.select(*LOCAL, F.round("campaign_roi", 6).alias("campaign_roi"))
 
 
 @check("f15_features_pandas_v1", with_sql(
-    f"SELECT {', '.join(LOCAL)}, round(campaign_roi, 4) AS campaign_roi FROM x_features_pandas"))
+    f"SELECT {', '.join(LOCAL)}, round(campaign_roi, 6) AS campaign_roi FROM x_features_pandas"))
 def _(i):
     feats = features.local_features(i.clients, i.campaigns, i.automations, i.chat, i.messages, AS_OF, CURRENT, PREVIOUS,
                                     "pandas_v1")
-    return feats.select(*LOCAL, F.round("campaign_roi", 4).alias("campaign_roi"))
+    return feats.select(*LOCAL, F.round("campaign_roi", 6).alias("campaign_roi"))
 
 
 WAREHOUSE = ("client_id", "company_name", "csm_owner", "mrr", "days_to_renewal", "days_since_last_campaign",
@@ -154,6 +154,6 @@ WAREHOUSE = ("client_id", "company_name", "csm_owner", "mrr", "days_to_renewal",
 
 
 @check("f15_features_warehouse_v1_1", with_sql(
-    f"SELECT {', '.join(WAREHOUSE)}, round(campaign_roi, 4) AS campaign_roi FROM x_features_wh"))
+    f"SELECT {', '.join(WAREHOUSE)}, round(campaign_roi, 6) AS campaign_roi FROM x_features_wh"))
 def _(i):
-    return i.warehouse_features.select(*WAREHOUSE, F.round("campaign_roi", 4).alias("campaign_roi"))
+    return i.warehouse_features.select(*WAREHOUSE, F.round("campaign_roi", 6).alias("campaign_roi"))

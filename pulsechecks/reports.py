@@ -74,12 +74,12 @@ def _(i):
 
 TOP = """
 SELECT c.client_id, c.company_name, c.segment_ipc, s.total_score, s.days_since_last_campaign,
-  round(s.campaign_roi, 4) AS campaign_roi, c.days_to_renewal FROM x_clients c JOIN x_scores_wh s USING (client_id)
+  round(s.campaign_roi, 6) AS campaign_roi, c.days_to_renewal FROM x_clients c JOIN x_scores_wh s USING (client_id)
 WHERE s.health_status = '{0}' ORDER BY s.total_score {1}, c.client_id LIMIT 10"""
 
 
 def rounded(df):
-    return df.withColumn("campaign_roi", F.round("campaign_roi", 4))
+    return df.withColumn("campaign_roi", F.round("campaign_roi", 6))
 
 
 @check("q7_top10_red", with_sql(TOP.format("red", "ASC")))

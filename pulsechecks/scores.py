@@ -91,12 +91,12 @@ def _(i):
 
 ASOF = ("client_id", "calculated_at", "days_since_last_campaign", "active_automations", "integration_automations",
         "chat_usage_level", "messages_sent_current", "messages_sent_previous", "total_score", "health_status")
-ASOF_SQL = f"""SELECT {', '.join(ASOF)}, round(campaign_roi, 4) AS campaign_roi,
+ASOF_SQL = f"""SELECT {', '.join(ASOF)}, round(campaign_roi, 6) AS campaign_roi,
   round(messages_mom_change, 2) AS messages_mom_change, round(plan_usage_pct, 2) AS plan_usage_pct FROM """
 
 
 def _asof(df):
-    return df.select(*ASOF, F.round("campaign_roi", 4).alias("campaign_roi"),
+    return df.select(*ASOF, F.round("campaign_roi", 6).alias("campaign_roi"),
                      F.round("messages_mom_change", 2).alias("messages_mom_change"),
                      F.round("plan_usage_pct", 2).alias("plan_usage_pct"))
 
@@ -154,10 +154,10 @@ def _(i):
 
 
 @check("l2_previous_snapshot", with_sql("""
-SELECT client_id, health_status AS previous_status, round(campaign_roi, 4) AS previous_roi, calculated_at AS previous_at
+SELECT client_id, health_status AS previous_status, round(campaign_roi, 6) AS previous_roi, calculated_at AS previous_at
 FROM x_ranked WHERE nth = 2"""))
 def _(i):
-    return alerts.previous_snapshot(i.history).withColumn("previous_roi", F.round("previous_roi", 4))
+    return alerts.previous_snapshot(i.history).withColumn("previous_roi", F.round("previous_roi", 6))
 
 
 @check("l3_status_change", with_sql("""
