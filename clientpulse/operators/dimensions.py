@@ -198,10 +198,8 @@ def normalise_nps(feedback: DataFrame | None, contacts: DataFrame | None, drop_z
         other = shaped(contacts, "nps-", "nps_score", "nps_date", F.col("properties.associatedcompanyid"),
                        F.coalesce(F.col("properties.email"), F.lit("")))
         if parts:
-            # One row at most on the right: contacts count only while feedback is empty.
-            any_feedback = parts[0].select(F.lit(1).alias("_any")).limit(1)
-            other = (other.withColumn("_any", F.lit(1))
-                          .join(F.broadcast(any_feedback), "_any", "left_anti").drop("_any"))
+            # Contacts count only while feedback is empty: one uncorrelated subquery, no join.
+            other = other.where(~parts[0].exists())
         parts.append(other)
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return out.withColumn("nps_category", nps_category(F.col("nps_score")))

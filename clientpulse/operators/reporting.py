@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientpulse.functions import band, latest_rows, matches_ci, month_start, percent
@@ -76,9 +76,9 @@ def status_by_month(scores: DataFrame, months: int = 7) -> DataFrame:
     """Rows per month and status over the newest months present."""
     counted = scores.groupBy(month_start("calculated_at").alias("month"), "health_status").agg(
         F.count("*").alias("clients"))
-    newest = counted.select("month").distinct().orderBy(F.col("month").desc()).limit(months)
-    # At most ``months`` rows on the right.
-    return counted.join(F.broadcast(newest), "month", "left_semi").orderBy("month", "health_status")
+    # A few rows per month are left, so one ordered window is bounded by the calendar.
+    recent = F.dense_rank().over(Window.orderBy(F.col("month").desc()))
+    return counted.withColumn("_n", recent).where(F.col("_n") <= months).drop("_n").orderBy("month", "health_status")
 
 
 def top_clients(client_health: DataFrame, status: str = "red", n: int = 10) -> DataFrame:

@@ -124,11 +124,10 @@ def running_waterfall(movements: DataFrame, baseline: DataFrame) -> DataFrame:
                        *[moved[m].alias(f"mrr_{m}") for m in MOVEMENTS], end.alias("mrr_end"))
         return F.struct(end.alias("mrr"), F.concat(done["rows"], F.array(row)).alias("rows"))
 
-    opening = F.struct(F.round(F.coalesce("mrr", F.lit(0.0)), 2).alias("mrr"), nothing.alias("rows"))
-    # Both sides are one row: one aggregate each.
-    folded = months.withColumn("_one", F.lit(1)).join(baseline.withColumn("_one", F.lit(1)), "_one").select(
-        F.aggregate("months", opening, advance)["rows"].alias("rows"))
-    return folded.select(F.inline("rows"))
+    begin = baseline.select(F.round(F.coalesce("mrr", F.lit(0.0)), 2)).scalar()
+    opening = F.struct(F.col("begin").alias("mrr"), nothing.alias("rows"))
+    return months.withColumn("begin", begin).select(
+        F.aggregate("months", opening, advance)["rows"].alias("rows")).select(F.inline("rows"))
 
 
 def baseline_mrr(clients: DataFrame) -> DataFrame:

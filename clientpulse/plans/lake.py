@@ -22,12 +22,14 @@ class Lake:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+    def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
+        """The table; a schema also allows a table whose partitions are all empty."""
+        reader = self.spark.read if schema is None else self.spark.read.schema(_nullable(schema))
+        return reader.parquet(self.path(name))
 
-    def read_or_none(self, name: str) -> DataFrame | None:
+    def read_or_none(self, name: str, schema: T.StructType | None = None) -> DataFrame | None:
         try:
-            return self.read(name)
+            return self.read(name, schema)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -40,7 +42,7 @@ class Lake:
 
     def replace_snapshot(self, df: DataFrame, name: str, column: str) -> DataFrame:
         writers.replace_snapshot(df, self.path(name), column)
-        return self.read(name)
+        return self.read(name, df.schema)
 
     def append_unseen(self, df: DataFrame, name: str, keys: Sequence[str], partition: str) -> DataFrame:
         """Append the rows whose key is new. Only the partitions that ``df`` touches are read for their keys."""
@@ -49,7 +51,7 @@ class Lake:
         if existing is not None:
             staged = writers.unseen_rows(existing, staged, keys)
         writers.append_table(staged, self.path(name), [partition])
-        return self.read(name)
+        return self.read(name, df.schema)
 
     def upsert(self, df: DataFrame, name: str, keys: Sequence[str], partition: str) -> DataFrame:
         """Replace rows by key. The merged partitions are staged first, then swapped in."""
@@ -65,7 +67,7 @@ class Lake:
         Partitions are days, weeks or months, so their list is bounded by the calendar; as literals they
         prune the file listing.
         """
-        existing = self.read_or_none(name)
+        existing = self.read_or_none(name, new.schema)
         if existing is None:
             return None
         values = [r[0] for r in new.select(partition).distinct().collect()]
