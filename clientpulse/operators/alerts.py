@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientpulse.functions import latest_rows, lookup, newest_first, top_rows
+from clientpulse.functions import latest_rows, lookup, newest_first, to_date, top_rows, truthy
 from clientpulse.operators.rules import AlertRule
 
 # Order of the severities in both vocabularies.
@@ -81,6 +81,19 @@ def evaluate_alerts(base: DataFrame, rules: Sequence[AlertRule], alert_date: dat
         "resolved", F.lit(False))
 
 
+def run_date(history: DataFrame) -> Column:
+    """Date of the newest run in a history, for ``evaluate_alerts``."""
+    return history.select(F.max("calculated_at")).scalar()
+
+
+def alert_table(export: DataFrame) -> DataFrame:
+    """Exported alerts in the shape of the alert fact; resolution details are not exported."""
+    return export.select(
+        "client_id", to_date("alert_date").alias("alert_date"), "alert_id", "alert_name", "severity",
+        "action_suggested", truthy("resolved").alias("resolved"),
+        F.lit(None).cast("timestamp_ntz").alias("resolved_at"), F.lit(None).cast("string").alias("resolved_by"))
+
+
 def severity_rank(ranks: dict[str, int] = SEVERITY_RANK) -> Column:
     return lookup("severity", ranks, max(ranks.values()) + 1)
 

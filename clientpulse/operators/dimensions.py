@@ -113,14 +113,18 @@ def active_clients(dim: DataFrame) -> DataFrame:
     return dim.where(F.col("churn_date").isNull() | text.isin("", "None", "nan", "NaT", "null"))
 
 
-def dashboard_clients(dim: DataFrame, upsell_flags: DataFrame, as_of: date) -> DataFrame:
-    """Warehouse dimension in the local shape: padded columns, contract end, tenure, cashback flag."""
+def dashboard_clients(dim: DataFrame, upsell_flags: DataFrame, as_of: date,
+                      service_column: str = "has_customer_service") -> DataFrame:
+    """Warehouse dimension in the local shape: padded columns, contract end, tenure, cashback flag.
+
+    Dates and numbers may come as text; ``service_column`` says whether customer service is contracted.
+    """
     cashback = upsell_flags.select("client_id", truthy("cashback_enabled").alias("cashback_enabled"))
-    start = F.col("contract_start_date").cast("date")
+    start = to_date("contract_start_date")
     onboarding_end = F.col("onboarding_end_date").cast("string")
     return dim.join(cashback, "client_id", "left").select(
         "client_id", "hubspot_company_id", "company_name", F.lit(None).cast("string").alias("segment_ipc"),
-        "csm_owner", truthy("has_customer_service").alias("has_cs"),
+        "csm_owner", truthy(service_column).alias("has_cs"),
         start.alias("contract_start_date"), add_years(start).alias("contract_end_date"),
         F.coalesce(to_double("mrr"), F.lit(0.0)).alias("mrr"), F.lit(None).cast("string").alias("plan_type"),
         F.coalesce("cashback_enabled", F.lit(False)).alias("cashback_enabled"),
@@ -137,7 +141,17 @@ def _filled(*names: str) -> Column:
     return F.coalesce(*[F.nullif(F.col(f"properties.{n}"), F.lit("")) for n in names])
 
 
-def normalise_companies(objects: DataFrame) -> DataFrame:
+# Properties each normaliser reads from a landed object.
+COMPANY_PROPERTIES = ("name", "segment_ipc", "industry", "hubspot_owner_id", "has_cs", "contract_start_date",
+                      "hs_date_entered_customer", "contract_end_date", "closedate", "mrr", "annualrevenue", "client_id")
+DEAL_PROPERTIES = ("amount", "mrr_before", "mrr_after", "deal_type_cs", "dealtype", "closedate", "dealstage")
+CALL_PROPERTIES = ("hs_call_duration", "hs_timestamp", "hubspot_owner_id", "call_type", "hs_call_body")
+FEEDBACK_PROPERTIES = ("hs_rating", "hs_submission_timestamp")
+CONTACT_PROPERTIES = ("nps_score", "nps_date", "associatedcompanyid", "email")
+
+
+def normalise_companies(objects: DataFrame, client_id_property: str = "client_id") -> DataFrame:
+    """CRM companies in the raw company shape; without a product id the CRM id takes its place."""
     return objects.select(
         F.col("id").alias("hubspot_company_id"),
         F.coalesce(F.col("properties.name"), F.lit("")).alias("company_name"),
@@ -147,10 +161,11 @@ def normalise_companies(objects: DataFrame) -> DataFrame:
         epoch_or_iso_date(_filled("contract_start_date", "hs_date_entered_customer")).alias("contract_start_date"),
         epoch_or_iso_date(_filled("contract_end_date", "closedate")).alias("contract_end_date"),
         safe_float(_filled("mrr", "annualrevenue")).alias("mrr"),
-        F.coalesce(F.col("properties.client_id"), F.col("id")).alias("client_id"))
+        F.coalesce(F.col(f"properties.{client_id_property}"), F.col("id")).alias("client_id"))
 
 
 def normalise_deals(objects: DataFrame) -> DataFrame:
+    """CRM deals with their signed MRR change; an absent MRR after the deal is its amount."""
     after = F.coalesce(F.col("properties.mrr_after"), F.col("properties.amount"))
     before = safe_float("properties.mrr_before")
     return objects.select(
@@ -163,6 +178,7 @@ def normalise_deals(objects: DataFrame) -> DataFrame:
 
 
 def normalise_calls(objects: DataFrame) -> DataFrame:
+    """CRM calls; durations above 60 count as seconds, others as minutes."""
     seconds = safe_int("properties.hs_call_duration")
     return objects.select(
         F.col("id").alias("call_id"), F.col("company_id").alias("hubspot_company_id"),

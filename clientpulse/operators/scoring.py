@@ -6,7 +6,9 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from clientpulse.functions import to_double, truthy
 from clientpulse.operators.rules import (
     RULE_FEATURES, Profile, compile_bands, compile_labels, compile_points, rule_features,
 )
@@ -53,3 +55,18 @@ def score_summary(scores: DataFrame) -> DataFrame:
         F.count("*").alias("clients"),
         *[F.count_if(F.col("health_status") == s).alias(s) for s in ("green", "yellow", "red", "inactive")],
         F.round(F.avg("total_score"), 2).alias("avg_score"))
+
+
+def score_table(export: DataFrame) -> DataFrame:
+    """Exported scores, all text, in the shape of the score fact; what is missing or malformed is NULL."""
+    def parsed(field):
+        if field.name not in export.columns:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        text = F.col(field.name)
+        if isinstance(field.dataType, (T.IntegerType, T.LongType)):
+            text = to_double(text)
+        elif isinstance(field.dataType, T.BooleanType):
+            return F.when(text.isNotNull(), truthy(text)).alias(field.name)
+        return text.try_cast(field.dataType).alias(field.name)
+
+    return export.select(*[parsed(f) for f in HEALTH_SCORE.fields])

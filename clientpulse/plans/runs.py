@@ -1,10 +1,11 @@
-"""The three batch runs: the daily local run, the month-end backfill and the warehouse run.
+"""The batch runs: CRM landing, the daily run, the month-end backfill, the warehouse run and the export replay.
 
 Each step reads the tables the step before wrote, so a lost executor costs the recomputation of one step.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -12,11 +13,83 @@ from pyspark.sql import functions as F
 
 from clientpulse.operators import activity, alerts, backfill, dimensions, features, revenue, rules, scoring, upsell
 from clientpulse.plans.lake import Lake
-from clientpulse.sources.schemas import ALERTS, conformed
+from clientpulse.sources import readers, writers
+from clientpulse.sources.schemas import ALERTS, HEALTH_SCORE, conformed
 
 SCORE_KEY = ("client_id", "calculated_at", "period_days")
 
 
+def crm_run(lake: Lake, landed: Mapping[str, str], client_id_property: str = "client_id") -> dict[str, DataFrame]:
+    """Raw CRM tables from landed pages.
+
+    ``landed`` maps companies, deals, calls, owners and feedback or contacts to folders of pages; kinds that
+    are absent leave their table as it is.
+    """
+    spark, out = lake.spark, {}
+    owners = (dimensions.owner_directory(readers.read_owner_pages(spark, landed["owners"]))
+              if "owners" in landed else None)
+
+    def objects(kind: str, properties: Sequence[str]) -> DataFrame | None:
+        return readers.read_crm_pages(spark, landed[kind], properties) if kind in landed else None
+
+    def named(df: DataFrame) -> DataFrame:
+        return writers.resolve_owner_names(df, owners) if owners is not None else df
+
+    properties = [client_id_property if p == "client_id" else p for p in dimensions.COMPANY_PROPERTIES]
+    companies = objects("companies", properties)
+    if companies is not None:
+        out["companies"] = named(dimensions.normalise_companies(companies, client_id_property))
+    deals = objects("deals", dimensions.DEAL_PROPERTIES)
+    if deals is not None:
+        out["deals"] = dimensions.normalise_deals(deals)
+    calls = objects("calls", dimensions.CALL_PROPERTIES)
+    if calls is not None:
+        out["calls"] = named(dimensions.normalise_calls(calls))
+    feedback = objects("feedback", dimensions.FEEDBACK_PROPERTIES)
+    contacts = objects("contacts", dimensions.CONTACT_PROPERTIES)
+    if feedback is not None or contacts is not None:
+        out["nps"] = dimensions.normalise_nps(feedback, contacts)
+    return {name: lake.overwrite(df, name) for name, df in out.items()}
+
+
+# Columns read from the exported warehouse tables; all values are text.
+_EXPORT_COLUMNS = {
+    "dim_clients": ("client_id", "hubspot_company_id", "company_name", "csm_owner", "has_cs", "contract_start_date",
+                    "churn_date", "onboarding_end_date", "mrr", "days_to_renewal"),
+    "fct_health_score": tuple(HEALTH_SCORE.fieldNames()),
+    "fct_alerts": ("client_id", "alert_date", "alert_id", "alert_name", "severity", "action_suggested", "resolved"),
+    "fct_csm_activity_weekly": ("csm_owner", "week_start", "calls_total", "meetings_total", "total_duration_minutes"),
+    "fct_coverage_monthly": ("csm_owner", "year_month", "client_name_slug"),
+    "fct_revenue_retention_monthly": ("year_month", "mrr_start", "mrr_churn", "mrr_downgrade", "mrr_upsell",
+                                      "mrr_cross_sell", "mrr_new", "mrr_end", "grr", "nrr"),
+    "fct_upsell_flags": ("client_id", "has_sms", "has_email", "cashback_enabled"),
+}
+
+
+def replay_run(lake: Lake, exports: Mapping[str, Sequence[str]], as_of: date) -> dict[str, DataFrame]:
+    """Local tables from exported warehouse tables; each export is one or more parts.
+
+    Clients with a churn date drop out, and so do their scores, alerts and flags.
+    """
+    raw = {name: readers.read_export(lake.spark, list(exports[name]), {c: "string" for c in columns})
+           for name, columns in _EXPORT_COLUMNS.items()}
+    clients = lake.overwrite(dimensions.dashboard_clients(
+        dimensions.active_clients(raw["dim_clients"]), raw["fct_upsell_flags"], as_of, "has_cs"), "dim_clients")
+
+    def active(name: str) -> DataFrame:
+        return writers.keep_active(raw[name], clients)
+
+    out = {
+        "fct_health_score": scoring.score_table(active("fct_health_score")),
+        "fct_alerts": alerts.alert_table(active("fct_alerts")),
+        "fct_csm_activity_weekly": activity.activity_table(raw["fct_csm_activity_weekly"]),
+        "fct_coverage_monthly": activity.coverage_table(raw["fct_coverage_monthly"], clients),
+        "fct_revenue_retention_monthly": revenue.revenue_table(raw["fct_revenue_retention_monthly"]),
+        "campaigns": upsell.channel_marker_campaigns(active("fct_upsell_flags")),
+    }
+    return {"dim_clients": clients, **{name: lake.overwrite(df, name) for name, df in out.items()}}
+
+
 def daily_run(lake: Lake, as_of: date, current: str, previous: str, variant: str = "pandas_v1",
               period_days: int = 30) -> dict[str, DataFrame]:
     """Dimension, today's scores and today's alerts from the raw tables.

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clientpulse.sources.schemas import CRM_PAGE, EXPORT_PART, empty_table
+from clientpulse.sources.schemas import CRM_PAGE, EXPORT_PART, OWNER_PAGE, empty_table
 
 # Filler columns an export may carry, dropped on read.
 EXPORT_PADDING = ("_p1", "_p2", "_pad")
@@ -68,3 +68,10 @@ def read_crm_pages(spark: SparkSession, path: str | Sequence[str], properties: S
     props = F.struct(*[F.try_element_at(F.col("o.properties"), F.lit(p)).alias(p) for p in properties])
     return obj.select(F.col("o.id").alias("id"), props.alias("properties"),
                       F.try_element_at(F.col("o.associations.companies.results"), F.lit(1))["id"].alias("company_id"))
+
+
+def read_owner_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Landed owner pages as one row per owner with its names and e-mail."""
+    pages = spark.read.schema(OWNER_PAGE).json(path)
+    return pages.select(F.inline("results")).select(
+        "id", F.col("firstName").alias("firstname"), F.col("lastName").alias("lastname"), "email")

@@ -84,6 +84,8 @@ CRM_PAGE = T.StructType([
         T.StructField("associations", T.StructType([T.StructField("companies", T.StructType([
             T.StructField("results", T.ArrayType(_LINK))]))]))]))),
     T.StructField("paging", T.StructType([T.StructField("next", _schema("after string, link string"))]))])
+OWNER_PAGE = T.StructType([T.StructField("results", T.ArrayType(
+    _schema("id string, firstName string, lastName string, email string")))])
 
 
 def conformed(df: DataFrame, schema: T.StructType, keep_types: tuple[str, ...] = ()) -> list[Column]:

@@ -35,9 +35,12 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str, *columns: str) -> DataFrame:
-        return scan(self.spark, f"{self.dir}/{name}.parquet", columns or None)
+        if name not in self._tables:
+            self._tables[name] = scan(self.spark, f"{self.dir}/{name}.parquet")
+        return self._tables[name].select(*columns)
 
     @cached_property
     def clients(self) -> DataFrame:

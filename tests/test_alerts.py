@@ -126,3 +126,10 @@ def test_rule_texts_follow_their_variant():
     assert [r.id for r in rules.SCRIPT_ALERTS] == [r.id for r in rules.RULE_FILE_ALERTS if r.id != "roi_dropped_below_1"]
     assert by_id["renewal_30d_red"].action == "Escalar para gestao - risco alto de churn"
     assert len(rules.WAREHOUSE_ALERTS) == 8 and len(rules.SQL_V1_ALERTS) == 7
+
+
+def test_run_date_is_the_newest(rows):
+    history = rows([row("a", D2, "red"), row("b", D3, "red")], HISTORY)
+    dim = rows([(c, c, "x", 500) for c in "ab"], DIM)
+    fired = alerts.evaluate_alerts(alerts.alert_base(history, dim), rules.SCRIPT_ALERTS, alerts.run_date(history))
+    assert as_set(fired, "alert_date") == {(D3,)}

@@ -1,13 +1,13 @@
 """The batch runs over a folder of tables, run twice."""
 
+import json
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from clientpulse.operators.dimensions import owner_directory  # noqa: F401
 from clientpulse.plans.lake import Lake
-from clientpulse.plans.runs import backfill_run, daily_run, warehouse_run
+from clientpulse.plans.runs import backfill_run, crm_run, daily_run, replay_run, warehouse_run
 from pulsechecks.inputs import AS_OF, CURRENT, PREVIOUS, Inputs
 from tests.conftest import SF, as_set
 
@@ -61,3 +61,66 @@ def test_warehouse_run(lake):
         "health_status = 'red'").count()
     assert out["fct_revenue_retention_monthly"].count() == 31
     assert out["fct_csm_activity_weekly"].count() > 0 and out["fct_coverage_monthly"].count() > 0
+
+
+def test_crm_run(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    pages = {
+        "companies": [{"results": [
+            {"id": "H1", "properties": {"name": "A", "industry": "shop", "hubspot_owner_id": "7", "has_cs": "true",
+                                        "closedate": "2024-05-06T00:00:00Z", "annualrevenue": "12.5", "pid": "P1"}},
+            {"id": "H2", "properties": {"hubspot_owner_id": "8", "mrr": "x"}}]}],
+        "calls": [{"results": [{"id": "C1", "properties": {"hs_call_duration": "90", "hubspot_owner_id": "7"},
+                                "associations": {"companies": {"results": [{"id": "H1", "type": "t"}]}}}]}],
+        "contacts": [{"results": [{"id": "N1", "properties": {"nps_score": "9", "email": "a@b"}}]}],
+        "owners": [{"results": [{"id": "7", "firstName": "Ana", "lastName": None, "email": "a@corp"}]}]}
+    landed = {}
+    for kind, content in pages.items():
+        folder = tmp_path / kind
+        folder.mkdir()
+        (folder / "1.json").write_text("\n".join(json.dumps(p) for p in content), encoding="utf-8")
+        landed[kind] = str(folder)
+    out = crm_run(lake, landed, client_id_property="pid")
+    assert as_set(out["companies"], "hubspot_company_id", "csm_owner", "segment_ipc", "has_cs", "mrr", "client_id") == {
+        ("H1", "Ana", "shop", True, 12.5, "P1"), ("H2", "8", "", False, 0.0, "H2")}
+    assert as_set(out["calls"], "call_id", "hubspot_company_id", "csm_owner", "duration_minutes") == {("C1", "H1", "Ana", 1)}
+    assert as_set(out["nps"], "response_id", "nps_category") == {("nps-N1", "promoter")}
+    assert "deals" not in out
+
+
+def test_replay_run(spark, tmp_path):
+    def part(name, columns, data):
+        path = tmp_path / f"{name}.json"
+        path.write_text(json.dumps({"columns": columns, "data": data}), encoding="utf-8")
+        return str(path)
+
+    exports = {
+        "dim_clients": [part("dim", ["client_id", "company_name", "csm_owner", "has_cs", "contract_start_date", "churn_date",
+                                     "onboarding_end_date", "mrr", "days_to_renewal", "_pad"],
+                             [["1", "Loja A", "Ana", "True", "2024-02-29 10:00:00.000", "", "2024-03-01", "10.5", "40", "x"],
+                              ["2", "Loja B", "Ana", "false", "bad", "2025-01-01", "", "x", "", "x"],
+                              ["3", "Loja C", "Ana", "0", "", "None", "", "", None, "x"]])],
+        "fct_health_score": [part("h1", ["client_id", "calculated_at", "period_days", "total_score", "health_status"],
+                                  [["1", "2026-04-18", "30", "12.0", "yellow"], ["2", "2026-04-18", "30", "1", "red"]]),
+                             part("h2", ["health_status", "client_id", "calculated_at", "campaign_roi"],
+                                  [["red", "3", "2026-04-18", "bad"]])],
+        "fct_alerts": [part("a1", ["client_id", "alert_id", "alert_date", "resolved"], [["1", "x", "2026-04-18", "False"]]),
+                       part("a2", ["client_id", "alert_id", "alert_date", "resolved"], [["2", "x", "2026-04-18", "true"]])],
+        "fct_csm_activity_weekly": [part("w", ["csm_owner", "week_start", "calls_total", "meetings_total"],
+                                         [["Ana", "2026-04-13", "3", "2"]])],
+        "fct_coverage_monthly": [part("c", ["csm_owner", "year_month", "client_name_slug"],
+                                      [["Ana", "2026-04", "loja a"], ["Ana", "2026-04", "loja z"]])],
+        "fct_revenue_retention_monthly": [part("r", ["year_month", "mrr_start", "grr"], [["2026-04", "10", ""]])],
+        "fct_upsell_flags": [part("u", ["client_id", "has_sms", "has_email", "cashback_enabled"],
+                                  [["1", "true", "True", "1"], ["2", "true", "true", "true"]])]}
+    out = replay_run(Lake(spark, str(tmp_path / "lake")), exports, date(2026, 4, 18))
+    assert as_set(out["dim_clients"], "client_id", "has_cs", "contract_end_date", "mrr", "days_to_renewal",
+                  "cashback_enabled", "onboarding_completed") == {
+        ("1", True, date(2025, 2, 28), 10.5, 40, True, True), ("3", False, None, 0.0, None, False, False)}
+    assert as_set(out["fct_health_score"], "client_id", "total_score", "campaign_roi") == {("1", 12, None), ("3", None, None)}
+    assert as_set(out["fct_alerts"], "client_id", "alert_date", "resolved") == {("1", date(2026, 4, 18), False)}
+    assert as_set(out["fct_coverage_monthly"], "clients_with_cs_total", "clients_with_cs_contacted",
+                  "coverage_with_cs_pct") == {(1, 2, 200.0)}
+    assert as_set(out["campaigns"], "campaign_id", "campaign_type") == {("1-sms", "sms"), ("1-email", "email")}
+    assert out["fct_revenue_retention_monthly"].first()["grr"] == 0.0
+    assert out["fct_csm_activity_weekly"].first()["unique_clients_contacted"] == 2

@@ -215,3 +215,21 @@ def test_backfill_midnight_cut_drops_the_last_day(rows):
     assert [a[m]["campaign_roi"] for m in (10, 11, 12, 1)] == [None, 4.0, 2.5, 1.0]
     assert [a[m]["active_automations"] for m in (10, 11, 12, 1)] == [0, 0, 1, 1]
     assert [a[m]["integration_automations"] for m in (10, 11, 12, 1)] == [1, 1, 1, 1]
+
+
+def test_unknown_change_is_zero_points_or_stable(rows):
+    dim, campaigns, automations, messages, chat = month_end_inputs(rows)
+    got = {}
+    for variant in ("sql_v1", "pandas_v1"):
+        feats = features.local_features(dim, campaigns, automations, chat, messages, date(2026, 1, 31), "2026-01", "2025-12",
+                                        variant)
+        row = scoring.health_score(feats, rules.PROFILES[variant], date(2026, 1, 31)).where("client_id = 'b'").first()
+        got[variant] = (row["messages_mom_change"], row["plan_usage_pct"], row["score_volume"],
+                        row["days_since_last_campaign"])
+    assert got == {"sql_v1": (None, None, 0, 9999), "pandas_v1": (0.0, 0.0, 3, 999)}
+
+
+def test_shares_are_doubles(rows):
+    frame = rows([(7, 3, 0)], "a bigint, b bigint, messages_sent_previous bigint")
+    got = frame.select(features.plan_usage("a", "b").alias("u"), features.message_change("a", "b").alias("c"))
+    assert got.dtypes == [("u", "double"), ("c", "double")] and tuple(got.first()) == (233.33, 133.33)
