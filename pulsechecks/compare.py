@@ -56,10 +56,10 @@ def duck_rows(con, sql):
     return [names[j] for j in order], [TYPES.get(types[j], types[j]) for j in order], rows
 
 
-def compare(spark, con, sf_dir: str, key: str) -> tuple[bool, str]:
+def compare_frame(df, con, key: str) -> tuple[bool, str]:
     started = time.time()
     try:
-        s_cols, s_types, s_rows = spark_rows(catalog.QUERIES[key](spark, sf_dir))
+        s_cols, s_types, s_rows = spark_rows(df)
     except Exception as error:  # report and go on with the other keys
         return False, f"spark failed: {str(error)[:600]}"
     took = time.time() - started
@@ -78,6 +78,14 @@ def compare(spark, con, sf_dir: str, key: str) -> tuple[bool, str]:
     return True, f"{len(s_rows)} rows, {took:.2f}s"
 
 
+def compare(spark, con, sf_dir: str, key: str) -> tuple[bool, str]:
+    try:
+        df = catalog.QUERIES[key](spark, sf_dir)
+    except Exception as error:
+        return False, f"spark failed: {str(error)[:600]}"
+    return compare_frame(df, con, key)
+
+
 def main(argv: list[str]) -> int:
     from clientpulse.session import build_session
     sf_dir, keys = argv[0], argv[1:]
