@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clientpulse.functions import change_percent, days_between, month_end, percent, ratio
+from clientpulse.functions import change_percent, days_between, month_end, percent, ratio, year_month
 from clientpulse.operators.features import chat_usage
 from clientpulse.operators.rules import ASOF_BACKFILL, Profile
 from clientpulse.operators.scoring import classify, score_points
@@ -54,8 +54,9 @@ def monthly_features(dim: DataFrame, campaigns: DataFrame, automations: DataFram
         *split("created_at", standard=F.when(kind.eqNullSafe("integration"), 0).otherwise(1),
                integration=F.when(kind == "integration", 1).otherwise(0)))
     month_of = F.last_day(F.to_date(F.concat("year_month", F.lit("-01"))))
-    volume = messages.select("client_id", month_of.alias("month_end"), "messages_sent", "plan_limit").where(
-        F.col("month_end").between(oldest, newest))
+    # Month texts order like months, and a plain comparison prunes month partitions.
+    volume = messages.where(F.col("year_month").between(year_month(oldest), year_month(newest))).select(
+        "client_id", month_of.alias("month_end"), "messages_sent", "plan_limit")
     clients = dim.select("client_id", F.explode(month_ends(first, last)).alias("month_end"),
                          F.lit(True).alias("wanted"))
 

@@ -88,8 +88,11 @@ def roi_by_period(campaigns: DataFrame, as_of: date, periods: Sequence[int] = PE
 
     All windows come out of one aggregation; nothing is multiplied before the shuffle.
     """
-    age = days_between(F.lit(as_of), "sent_at")
-    recent = campaigns.withColumn("age", age).where((F.col("age") >= 0) & (F.col("age") < max(periods)))
+    # A range of send times rather than of ages, so that the filter reaches the scan.
+    oldest = F.date_sub(F.lit(as_of), max(periods) - 1).cast("timestamp_ntz")
+    open_end = F.date_add(F.lit(as_of), 1).cast("timestamp_ntz")
+    recent = campaigns.where((F.col("sent_at") >= oldest) & (F.col("sent_at") < open_end)).withColumn(
+        "age", days_between(F.lit(as_of), "sent_at"))
     inside = {p: F.col("age") < p for p in periods}
     sums = recent.groupBy(key).agg(*[x for p in periods for x in (
         F.sum(F.when(inside[p], F.col("revenue_attributed"))).alias(f"r{p}"),

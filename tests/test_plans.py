@@ -6,7 +6,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from clientpulse.operators import activity, alerts, dimensions, features, reporting, rules
+from clientpulse.operators import activity, alerts, backfill, dimensions, features, reporting, revenue, rules
 from pulsechecks.inputs import AS_OF, Inputs
 from tests.conftest import SF
 
@@ -36,6 +36,34 @@ def test_projection_and_filter_reach_the_scan(spark):
     assert "o_totalprice" not in plan and "o_orderpriority" not in plan
 
 
+def test_time_windows_reach_the_scan(spark, tmp_path):
+    """On stored tables the as-of windows prune row groups and month partitions."""
+    i = Inputs(spark, SF)
+    paths = {name: str(tmp_path / name) for name in ("campaigns", "automations", "messages", "calls", "deals")}
+    i.campaigns.write.parquet(paths["campaigns"])
+    i.automations.write.parquet(paths["automations"])
+    i.calls.write.parquet(paths["calls"])
+    i.deals.write.parquet(paths["deals"])
+    i.messages.write.partitionBy("year_month").parquet(paths["messages"])
+    t = {name: spark.read.parquet(path) for name, path in paths.items()}
+    first, last = date(2001, 5, 1), date(2001, 6, 30)
+    pushed = {
+        "GreaterThanOrEqual(sent_at": features.roi_by_period(t["campaigns"], AS_OF),
+        "LessThan(sent_at": features.roi_calendar_months(t["campaigns"], AS_OF),
+        "GreaterThanOrEqual(call_date": activity.weekly_calls(t["calls"], i.clients, first, last),
+        "LessThanOrEqual(call_date": activity.coverage_from_calls(i.clients, t["calls"], first, last),
+        "GreaterThanOrEqual(closed_date": revenue.deal_movements(t["deals"], first, last),
+        "LessThan(created_at": backfill.monthly_features(i.clients, t["campaigns"], t["automations"], t["messages"],
+                                                         first, last)}
+    for wanted, df in pushed.items():
+        assert any(wanted in line for line in plan_of(df).splitlines() if "PushedFilters" in line), wanted
+    plan = plan_of(pushed["LessThan(created_at"])
+    scan_line = next(line for line in plan.splitlines() if "FileScan" in line and "messages_sent" in line)
+    assert "year_month" in scan_line.split("PartitionFilters: [")[1].split("]")[0]
+    two = plan_of(features.messages_two_months(t["messages"], "2001-07", "2001-06"))
+    assert "PartitionFilters: [year_month" in two.replace("isnotnull(", "")
+
+
 def test_all_alert_rules_share_one_pass(spark):
     plan = plan_of(Inputs(spark, SF).warehouse_alerts)
     assert plan.count("customer.parquet") == plan_of(Inputs(spark, SF).warehouse_scores).count("customer.parquet")
