@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import Column
@@ -23,18 +23,38 @@ def col_of(c: ColumnOrName) -> Column:
 # --- numbers ---------------------------------------------------------------------------------
 
 
+def round_half_up(c: ColumnOrName, scale: int = 2) -> Column:
+    """The rule of SQL engines: halves away from zero, on the decimal text of the double."""
+    return F.round(col_of(c), scale)
+
+
+def round_half_even(c: ColumnOrName, scale: int = 2) -> Column:
+    """The rule of array libraries: scale up, round halves to even, scale down."""
+    power = F.lit(float(10 ** scale))
+    return F.rint(col_of(c) * power) / power
+
+
+def round_exact(c: ColumnOrName, scale: int = 2) -> Column:
+    """The rule of Python's ``round``: the nearest decimal to the stored binary value, halves to even."""
+    return F.regexp_replace(F.format_number(col_of(c), scale), ",", "").cast("double") + F.lit(0.0)
+
+
+Rounding = Callable[[Column, int], Column]
+
+
 def ratio(num: ColumnOrName, den: ColumnOrName, factor: float = 1.0, scale: int | None = None,
-          missing: float | None = None) -> Column:
+          missing: float | None = None, rounding: Rounding = round_half_up) -> Column:
     """``num * factor / den`` in doubles; ``missing`` where the denominator is not positive."""
     top, bottom = col_of(num).cast("double"), col_of(den).cast("double")
     value = top * F.lit(float(factor)) / bottom
     if scale is not None:
-        value = F.round(value, scale)
+        value = rounding(value, scale)
     return F.when(bottom > 0, value).otherwise(F.lit(missing).cast("double"))
 
 
-def percent(num: ColumnOrName, den: ColumnOrName, scale: int | None = 2, missing: float | None = None) -> Column:
-    return ratio(num, den, 100.0, scale, missing)
+def percent(num: ColumnOrName, den: ColumnOrName, scale: int | None = 2, missing: float | None = None,
+            rounding: Rounding = round_half_up) -> Column:
+    return ratio(num, den, 100.0, scale, missing, rounding)
 
 
 def change_percent(current: ColumnOrName, previous: ColumnOrName, scale: int | None = 2,
@@ -44,14 +64,6 @@ def change_percent(current: ColumnOrName, previous: ColumnOrName, scale: int | N
     return percent(now - before, before, scale, missing)
 
 
-def round_half_up(c: ColumnOrName, scale: int = 2) -> Column:
-    return F.round(col_of(c), scale)
-
-
-def round_half_even(c: ColumnOrName, scale: int = 2) -> Column:
-    return F.bround(col_of(c), scale)
-
-
 def to_double(c: ColumnOrName) -> Column:
     """Double, NULL when the text is not a number."""
     return col_of(c).try_cast("double")

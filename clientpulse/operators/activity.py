@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientpulse.functions import (
-    band, iso_timestamp, latest_rows, month_start, percent, slug, text_part, to_long, truthy, week_start, year_month,
+    Rounding, band, iso_timestamp, latest_rows, month_start, percent, round_exact, round_half_even, slug, text_part,
+    to_long, truthy, week_start, year_month,
 )
 from clientpulse.operators.dimensions import owner_directory, owners_by_email
 
@@ -108,18 +109,19 @@ def coverage_from_calls(clients: DataFrame, calls: DataFrame, first: date, last:
     contacted = called.join(owned, ["csm_owner", "hubspot_company_id"], "inner").groupBy("csm_owner", "month").agg(
         F.count_if(has_cs).alias("clients_with_cs_contacted"),
         F.count_if(~has_cs).alias("clients_without_cs_contacted"))
-    return _coverage_columns(totals.join(contacted, ["csm_owner", "month"], "left"), year_month("month"), 2)
+    return _coverage_columns(totals.join(contacted, ["csm_owner", "month"], "left"), year_month("month"), 2, round_exact)
 
 
-def _coverage_columns(df: DataFrame, month: Column, scale: int) -> DataFrame:
+def _coverage_columns(df: DataFrame, month: Column, scale: int, rounding: Rounding) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     filled = df.withColumns({c: F.coalesce(c, zero) for c in (
         "clients_with_cs_contacted", "clients_without_cs_contacted")})
     return filled.select(
         "csm_owner", month.alias("year_month"), "clients_with_cs_total", "clients_with_cs_contacted",
         "clients_without_cs_total", "clients_without_cs_contacted",
-        percent("clients_with_cs_contacted", "clients_with_cs_total", scale, 0.0).alias("coverage_with_cs_pct"),
-        percent("clients_without_cs_contacted", "clients_without_cs_total", scale, 0.0).alias(
+        percent("clients_with_cs_contacted", "clients_with_cs_total", scale, 0.0, rounding).alias(
+            "coverage_with_cs_pct"),
+        percent("clients_without_cs_contacted", "clients_without_cs_total", scale, 0.0, rounding).alias(
             "coverage_without_cs_pct"),
         F.lit(0).alias("sqls_identified"))
 
@@ -163,7 +165,8 @@ def coverage_table(granular: DataFrame, clients: DataFrame) -> DataFrame:
     totals = portfolio.groupBy("csm_owner").agg(
         F.count_if(F.col("has_cs")).alias("clients_with_cs_total"),
         F.count_if(~F.col("has_cs")).alias("clients_without_cs_total"))
-    return _coverage_columns(contacted.join(totals, "csm_owner", "left"), F.col("year_month"), 1)
+    return _coverage_columns(contacted.join(totals, "csm_owner", "left"), F.col("year_month"), 1,
+                             round_half_even)
 
 
 def target_tracking(activity: DataFrame, coverage: DataFrame) -> DataFrame:

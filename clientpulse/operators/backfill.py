@@ -13,6 +13,9 @@ from clientpulse.operators.rules import ASOF_BACKFILL, Profile
 from clientpulse.operators.scoring import classify, score_points
 from clientpulse.sources.schemas import HEALTH_SCORE, conformed
 
+# Fixed value: from this many days on, the last campaign counts as unknown.
+UNKNOWN_DAYS = 999
+
 
 def month_ends(first: date, last: date) -> Column:
     """Array of the month ends from the month of ``first`` to the month of ``last``."""
@@ -86,10 +89,11 @@ def monthly_features(dim: DataFrame, campaigns: DataFrame, automations: DataFram
         total("standard", ever).alias("active_automations"),
         total("integration", ever).alias("integration_automations"),
         F.max("messages_sent_current").over(by_client.rangeBetween(-1, -1)).alias("messages_sent_previous"))
+    days = days_between("month_end", "last_sent_on")
     both = F.col("messages_sent_current").isNotNull() & F.col("messages_sent_previous").isNotNull()
     return running.where(F.col("wanted") & F.col("month_end").between(month_end(F.lit(first)), newest)).select(
         "client_id", "month_end",
-        days_between("month_end", "last_sent_on").alias("days_since_last_campaign"),
+        F.when(days < UNKNOWN_DAYS, days).alias("days_since_last_campaign"),
         ratio("revenue3", "cost3").alias("campaign_roi"),
         "active_automations", "integration_automations",
         "messages_sent_current", "messages_sent_previous",

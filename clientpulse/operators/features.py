@@ -150,13 +150,13 @@ def messages_two_months(messages: DataFrame, current: str, previous: str, key: s
 
 
 def message_change(current: str = "messages_sent_current", previous: str = "messages_sent_previous",
-                   missing: float | None = None) -> Column:
-    return change_percent(F.coalesce(F.col(current), F.lit(0)), previous, 2, missing)
+                   missing: float | None = None, scale: int | None = 2) -> Column:
+    return change_percent(F.coalesce(F.col(current), F.lit(0)), previous, scale, missing)
 
 
 def plan_usage(current: str = "messages_sent_current", limit: str = "plan_limit_current",
-               missing: float | None = None) -> Column:
-    return percent(F.coalesce(F.col(current), F.lit(0)), limit, 2, missing)
+               missing: float | None = None, scale: int | None = 2) -> Column:
+    return percent(F.coalesce(F.col(current), F.lit(0)), limit, scale, missing)
 
 
 def base_coverage(impacted: str = "total_impacted_customers_this_month", total: str = "total_customers") -> Column:
@@ -172,19 +172,20 @@ def local_features(dim: DataFrame, campaigns: DataFrame, automations: DataFrame,
                    variant: str = "sql_v1") -> DataFrame:
     """Features from the raw product tables.
 
-    ``sql_v1`` averages the last three ratios, counts calendar days and leaves unknown change NULL;
-    ``pandas_v1`` pools the last three, counts elapsed 24-hour days and takes unknown change as 0.
+    ``sql_v1`` averages the last three ratios, counts calendar days, leaves unknown change NULL and scores on
+    shares with two decimals; ``pandas_v1`` pools the last three, counts elapsed 24-hour days, takes unknown
+    change as 0 and scores on unrounded shares.
     """
     active = F.col("status") == "active"
     kind = F.col("automation_type")
     newest = newest_campaigns(campaigns)
     if variant == "sql_v1":
-        days, roi, missing_days, missing_change = (
-            days_between(F.lit(as_of), "last_campaign_at"), F.col("roi_mean"), 9999, None)
+        days, roi, missing_days, missing_change, scale = (
+            days_between(F.lit(as_of), "last_campaign_at"), F.col("roi_mean"), 9999, None, 2)
         standard = kind != "integration"
     elif variant == "pandas_v1":
-        days, roi, missing_days, missing_change = (
-            elapsed_days(as_of, "last_campaign_at"), F.col("roi_pooled"), 999, 0.0)
+        days, roi, missing_days, missing_change, scale = (
+            elapsed_days(as_of, "last_campaign_at"), F.col("roi_pooled"), 999, 0.0, None)
         standard = kind == "standard"
     else:
         raise ValueError(f"unknown variant {variant}")
@@ -203,8 +204,8 @@ def local_features(dim: DataFrame, campaigns: DataFrame, automations: DataFrame,
         **_zero("active_automations", "integration_automations", "messages_sent_current",
                 "messages_sent_previous", "plan_limit_current"),
         **{c: F.coalesce(c, F.lit(False)) for c in ("has_human_agent", "has_chat_flow", "has_ai_enabled")}})
-    return filled.withColumns({"messages_mom_change": message_change(missing=missing_change),
-                               "plan_usage_pct": plan_usage(missing=missing_change)})
+    return filled.withColumns({"messages_mom_change": message_change(missing=missing_change, scale=scale),
+                               "plan_usage_pct": plan_usage(missing=missing_change, scale=scale)})
 
 
 def warehouse_features(dim: DataFrame, activity: DataFrame, campaign_results: DataFrame, automations: DataFrame,

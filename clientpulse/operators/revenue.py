@@ -7,7 +7,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clientpulse.functions import iso_timestamp, month_start, percent, ratio, to_date, to_double, year_month
+from clientpulse.functions import (
+    iso_timestamp, month_start, percent, ratio, round_exact, to_date, to_double, year_month,
+)
 
 # Retention targets in percent, and the organic movement rates of a month without deals.
 TARGET_GRR = 87
@@ -94,7 +96,7 @@ def deal_movements(deals: DataFrame, first: date, last: date) -> DataFrame:
             *[F.sum(F.when(kind == m, F.col("mrr_delta"))).alias(f"mrr_{m}") for m in MOVEMENTS])
     return spine.join(per_month, "month_start", "left").select(
         "year_month", "month_start", F.coalesce("deals", F.lit(0).cast("bigint")).alias("deals"),
-        *[F.round(F.coalesce(f"mrr_{m}", F.lit(0.0)), 2).alias(f"mrr_{m}") for m in MOVEMENTS])
+        *[round_exact(F.coalesce(f"mrr_{m}", F.lit(0.0))).alias(f"mrr_{m}") for m in MOVEMENTS])
 
 
 def _months(first: date, last: date) -> int:
@@ -116,15 +118,15 @@ def running_waterfall(movements: DataFrame, baseline: DataFrame) -> DataFrame:
 
     def advance(done: Column, month: Column) -> Column:
         start = done["mrr"]
-        moved = {m: F.when(month["deals"] == 0, F.round(start * F.lit(rate), 2)).otherwise(month[f"mrr_{m}"])
+        moved = {m: F.when(month["deals"] == 0, round_exact(start * F.lit(rate))).otherwise(month[f"mrr_{m}"])
                  for m, rate in ORGANIC_RATES.items()}
-        end = F.round(start + moved["new"] + moved["upsell"] + moved["cross_sell"] - F.abs(moved["churn"])
-                      - F.abs(moved["downgrade"]), 2)
+        end = round_exact(start + moved["new"] + moved["upsell"] + moved["cross_sell"] - F.abs(moved["churn"])
+                          - F.abs(moved["downgrade"]))
         row = F.struct(month["year_month"].alias("year_month"), start.alias("mrr_start"),
                        *[moved[m].alias(f"mrr_{m}") for m in MOVEMENTS], end.alias("mrr_end"))
         return F.struct(end.alias("mrr"), F.concat(done["rows"], F.array(row)).alias("rows"))
 
-    begin = baseline.select(F.round(F.coalesce("mrr", F.lit(0.0)), 2)).scalar()
+    begin = baseline.select(round_exact(F.coalesce("mrr", F.lit(0.0)))).scalar()
     opening = F.struct(F.col("begin").alias("mrr"), nothing.alias("rows"))
     return months.withColumn("begin", begin).select(
         F.aggregate("months", opening, advance)["rows"].alias("rows")).select(F.inline("rows"))
@@ -140,8 +142,8 @@ def retention_from_deals(clients: DataFrame, deals: DataFrame, first: date, last
     lost = F.abs("mrr_churn") + F.abs("mrr_downgrade")
     return chained.select(
         "year_month", "mrr_start", "mrr_churn", "mrr_downgrade", "mrr_upsell", "mrr_cross_sell", "mrr_new", "mrr_end",
-        ratio(F.col("mrr_start") - lost, "mrr_start", 1.0, 4, 0.0).alias("grr"),
-        ratio("mrr_end", "mrr_start", 1.0, 4, 0.0).alias("nrr"))
+        ratio(F.col("mrr_start") - lost, "mrr_start", 1.0, 4, 0.0, round_exact).alias("grr"),
+        ratio("mrr_end", "mrr_start", 1.0, 4, 0.0, round_exact).alias("nrr"))
 
 
 def revenue_table(export: DataFrame) -> DataFrame:

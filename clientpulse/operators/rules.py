@@ -40,12 +40,16 @@ class AlertRule:
 
 @dataclass(frozen=True)
 class Profile:
-    """One score variant: ladders per score column, bands, and the status below all bands."""
+    """One score variant: ladders per score column, bands, and the status below all bands.
+
+    ``rounded`` names feature columns stored with fewer decimals than they are scored on.
+    """
     name: str
     criteria: Mapping[str, Sequence[Rule]]
     bands: Sequence[Band]
     below: str = "red"
     bonus: Mapping[str, Sequence[Rule]] = field(default_factory=dict)
+    rounded: Mapping[str, int] = field(default_factory=dict)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -118,7 +122,7 @@ SQL_V1 = Profile(
     _BANDS_V1, bonus={"bonus_cashback": (Rule("cashback_enabled", 2),)})
 PANDAS_V1 = Profile(
     "pandas_v1", {**SQL_V1.criteria, "score_volume": _VOLUME_WIDE_STABLE}, _BANDS_V1_1[:2],
-    bonus={"bonus_cashback": (Rule("false", 0),)})
+    bonus={"bonus_cashback": (Rule("false", 0),)}, rounded={"messages_mom_change": 2, "plan_usage_pct": 2})
 ASOF_BACKFILL = Profile(
     "asof_backfill", SQL_V1.criteria, _BANDS_V1, bonus={"bonus_cashback": (Rule("cashback_enabled", 5),)})
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clientpulse.functions import to_double, truthy
+from clientpulse.functions import round_half_even, to_double, truthy
 from clientpulse.operators.rules import (
     RULE_FEATURES, Profile, compile_bands, compile_labels, compile_points, rule_features,
 )
@@ -36,7 +36,8 @@ def health_score(features: DataFrame, profile: Profile, as_of: date, period_days
     ``extra`` names feature columns kept in front of the fact columns, as the stateless alerts need.
     """
     dated = classify(score_points(features, profile), profile).withColumns(
-        {"calculated_at": F.lit(as_of), "period_days": F.lit(period_days)})
+        {"calculated_at": F.lit(as_of), "period_days": F.lit(period_days),
+         **{c: round_half_even(c, scale) for c, scale in profile.rounded.items()}})
     fact = conformed(dated, HEALTH_SCORE, keep_types=("client_id",))
     return dated.select(*extra, *fact)
 

@@ -138,12 +138,17 @@ def _(i):
     return feats.select(*LOCAL, F.round("campaign_roi", 6).alias("campaign_roi"))
 
 
-@check("f15_features_pandas_v1", with_sql(
-    f"SELECT {', '.join(LOCAL)}, round(campaign_roi, 6) AS campaign_roi FROM x_features_pandas"))
+PLAIN = LOCAL[:-3] + LOCAL[-1:]
+
+
+@check("f15_features_pandas_v1", with_sql(f"""
+SELECT {', '.join(PLAIN)}, round(messages_mom_change, 6) AS messages_mom_change, round(plan_usage_pct, 6) AS plan_usage_pct,
+  round(campaign_roi, 6) AS campaign_roi FROM x_features_pandas"""))
 def _(i):
     feats = features.local_features(i.clients, i.campaigns, i.automations, i.chat, i.messages, AS_OF, CURRENT, PREVIOUS,
                                     "pandas_v1")
-    return feats.select(*LOCAL, F.round("campaign_roi", 6).alias("campaign_roi"))
+    return feats.select(*PLAIN, *[F.round(c, 6).alias(c) for c in ("messages_mom_change", "plan_usage_pct",
+                                                                  "campaign_roi")])
 
 
 WAREHOUSE = ("client_id", "company_name", "csm_owner", "mrr", "days_to_renewal", "days_since_last_campaign",

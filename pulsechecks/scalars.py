@@ -36,12 +36,13 @@ def _(i):
 
 
 @check("e3_rounding", """
-SELECT c_custkey, round((c_custkey % 64) / 8.0::DOUBLE, 2) AS half_up, round_even((c_custkey % 64) / 8.0::DOUBLE, 2) AS half_even
-FROM customer""")
+SELECT c_custkey, round((c_custkey % 64) / 8.0::DOUBLE, 2) AS half_up, round_even((c_custkey % 64) / 8.0::DOUBLE, 2) AS half_even,
+  CAST(format('{:.1f}', c_acctbal) AS DOUBLE) AS exact_tenths FROM customer""")
 def _(i):
     eighths = (F.col("c_custkey") % 64) / F.lit(8.0)
-    return i.table("customer", "c_custkey").select("c_custkey", fn.round_half_up(eighths).alias("half_up"),
-                                                   fn.round_half_even(eighths).alias("half_even"))
+    return i.table("customer", "c_custkey", "c_acctbal").select(
+        "c_custkey", fn.round_half_up(eighths).alias("half_up"), fn.round_half_even(eighths).alias("half_even"),
+        fn.round_exact("c_acctbal", 1).alias("exact_tenths"))
 
 
 MESSY = ("CASE o_orderkey % 6 WHEN 0 THEN '' WHEN 1 THEN 'abc' WHEN 2 THEN CAST(o_orderkey AS VARCHAR) "

@@ -44,9 +44,12 @@ def _(i):
     return i.local_scores("sql_v1").select("client_id", "total_score", "health_status")
 
 
-@check("f17_status_pandas_v1", with_sql("SELECT client_id, total_score, health_status FROM x_scores_pandas"))
+@check("f17_status_pandas_v1", with_sql("""
+SELECT client_id, total_score, health_status, round_even(messages_mom_change, 2) AS messages_mom_change,
+  round_even(plan_usage_pct, 2) AS plan_usage_pct FROM x_scores_pandas"""))
 def _(i):
-    return i.local_scores("pandas_v1").select("client_id", "total_score", "health_status")
+    return i.local_scores("pandas_v1").select("client_id", "total_score", "health_status", "messages_mom_change",
+                                              "plan_usage_pct")
 
 
 @check("f17_status_warehouse_v1_1", with_sql(f"""

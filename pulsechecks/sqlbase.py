@@ -38,6 +38,11 @@ def with_sql(body: str) -> str:
     return f"WITH {parts}\n{body.strip()}"
 
 
+def exact(expression: str, scale: int = 2) -> str:
+    """Nearest decimal to the binary value, through its text."""
+    return f"CAST(format('{{:.{scale}f}}', {expression}) AS DOUBLE)"
+
+
 def ladder(steps: list[tuple[str, int]], otherwise: str = "0") -> str:
     return "CASE " + " ".join(f"WHEN {c} THEN {p}" for c, p in steps) + f" ELSE {otherwise} END"
 
@@ -211,9 +216,13 @@ define("x_features_pandas", f"""
 SELECT f.* EXCLUDE (days_since_last_campaign, campaign_roi, messages_mom_change, plan_usage_pct),
   CAST(coalesce(floor((epoch(CAST({TODAY} AS TIMESTAMP)) - epoch(r.last_campaign_at)) / 86400), 999) AS INTEGER)
     AS days_since_last_campaign,
-  coalesce(p.campaign_roi, 0) AS campaign_roi, coalesce(f.messages_mom_change, 0) AS messages_mom_change,
-  coalesce(f.plan_usage_pct, 0) AS plan_usage_pct
-FROM x_features_sql f LEFT JOIN x_recency r USING (client_id) LEFT JOIN x_roi_pooled3 p USING (client_id)""")
+  coalesce(p.campaign_roi, 0) AS campaign_roi,
+  CASE WHEN f.messages_sent_previous > 0 THEN (f.messages_sent_current - f.messages_sent_previous) * 100.0::DOUBLE
+    / f.messages_sent_previous ELSE 0 END AS messages_mom_change,
+  CASE WHEN t.plan_limit_current > 0 THEN f.messages_sent_current * 100.0::DOUBLE / t.plan_limit_current ELSE 0 END
+    AS plan_usage_pct
+FROM x_features_sql f LEFT JOIN x_recency r USING (client_id) LEFT JOIN x_roi_pooled3 p USING (client_id)
+LEFT JOIN x_two_months t USING (client_id)""")
 define("x_features_wh", """
 SELECT c.client_id, c.company_name, c.csm_owner, c.mrr, c.days_to_renewal,
   coalesce(r.days_since_last_campaign, 9999) AS days_since_last_campaign,
@@ -436,8 +445,9 @@ SELECT csm_owner, week_start, CAST(sum(calls_total) AS BIGINT) AS calls_total, 0
   CAST(sum(total_duration_minutes) AS BIGINT) AS total_duration_minutes FROM x_weekly_activity GROUP BY 1, 2""")
 
 
-def pct(num: str, den: str, scale: int = 2) -> str:
-    return f"coalesce(round({num} * 100.0::DOUBLE / nullif({den}, 0), {scale}), 0)"
+def pct(num: str, den: str, scale: int | None = None) -> str:
+    share = f"{num} * 100.0::DOUBLE / nullif({den}, 0)"
+    return f"coalesce({exact(share) if scale is None else f'round_even({share}, {scale})'}, 0)"
 
 
 define("x_call_coverage", f"""
@@ -479,32 +489,32 @@ SELECT year_month, month_start, mrr_start, 0.0::DOUBLE AS mrr_downgrade, 0.0::DO
   0.0::DOUBLE AS mrr_cross_sell, mrr_new, mrr_churn, round(mrr_start - mrr_churn + mrr_new, 2) AS mrr_end,
   CASE WHEN mrr_start > 0 THEN round((mrr_start - mrr_churn) * 100.0::DOUBLE / mrr_start, 2) END AS grr, grr AS nrr
 FROM x_states""")
-define("x_movements", """
+define("x_movements", f"""
 SELECT strftime(m, '%Y-%m') AS year_month, CAST(m AS DATE) AS month_start, count(deal_id) AS deals,
-  round(coalesce(sum(mrr_delta) FILTER (deal_type = 'new'), 0), 2) AS mrr_new,
-  round(coalesce(sum(mrr_delta) FILTER (deal_type = 'upsell'), 0), 2) AS mrr_upsell,
-  round(coalesce(sum(mrr_delta) FILTER (deal_type = 'cross_sell'), 0), 2) AS mrr_cross_sell,
-  round(coalesce(sum(mrr_delta) FILTER (deal_type = 'churn'), 0), 2) AS mrr_churn,
-  round(coalesce(sum(mrr_delta) FILTER (deal_type = 'downgrade'), 0), 2) AS mrr_downgrade
+  {exact("coalesce(sum(mrr_delta) FILTER (deal_type = 'new'), 0)")} AS mrr_new,
+  {exact("coalesce(sum(mrr_delta) FILTER (deal_type = 'upsell'), 0)")} AS mrr_upsell,
+  {exact("coalesce(sum(mrr_delta) FILTER (deal_type = 'cross_sell'), 0)")} AS mrr_cross_sell,
+  {exact("coalesce(sum(mrr_delta) FILTER (deal_type = 'churn'), 0)")} AS mrr_churn,
+  {exact("coalesce(sum(mrr_delta) FILTER (deal_type = 'downgrade'), 0)")} AS mrr_downgrade
 FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH) t(m)
 LEFT JOIN x_deals ON date_trunc('month', closed_date) = CAST(m AS DATE) GROUP BY m""")
 
 # One step of the chain: the amounts of month i+1 given its start.
 _STEP = {"new": "0.02", "upsell": "0.015", "cross_sell": "0.005", "churn": "-0.01", "downgrade": "-0.005"}
 _MOVED = ", ".join(
-    f"CASE WHEN n.deals = 0 THEN round(s * {r}::DOUBLE, 2) ELSE n.mrr_{m} END AS mrr_{m}" for m, r in _STEP.items())
-_END = "round(s + mrr_new + mrr_upsell + mrr_cross_sell - abs(mrr_churn) - abs(mrr_downgrade), 2)"
+    f"CASE WHEN n.deals = 0 THEN {exact(f's * {r}::DOUBLE')} ELSE n.mrr_{m} END AS mrr_{m}" for m, r in _STEP.items())
+_END = exact("s + mrr_new + mrr_upsell + mrr_cross_sell - abs(mrr_churn) - abs(mrr_downgrade)")
 _COLS = "mrr_new, mrr_upsell, mrr_cross_sell, mrr_churn, mrr_downgrade"
 CHAIN = f"""numbered AS (SELECT *, row_number() OVER (ORDER BY month_start) AS i FROM x_movements),
 chain(i, year_month, s, {_COLS}, e) AS (
   SELECT i, year_month, s, {_COLS}, {_END} FROM (
-    SELECT n.i, n.year_month, s, {_MOVED} FROM numbered n, (SELECT round(sum(mrr), 2) AS s FROM x_clients) WHERE n.i = 1)
+    SELECT n.i, n.year_month, s, {_MOVED} FROM numbered n, (SELECT {exact('sum(mrr)')} AS s FROM x_clients) WHERE n.i = 1)
   UNION ALL
   SELECT i, year_month, s, {_COLS}, {_END} FROM (
     SELECT n.i, n.year_month, s, {_MOVED} FROM (SELECT i AS done, e AS s FROM chain) c JOIN numbered n ON n.i = c.done + 1)),
 waterfall AS (SELECT year_month, s AS mrr_start, mrr_churn, mrr_downgrade, mrr_upsell, mrr_cross_sell, mrr_new, e AS mrr_end,
-  CASE WHEN s > 0 THEN round((s - abs(mrr_churn) - abs(mrr_downgrade)) / s, 4) ELSE 0 END AS grr,
-  CASE WHEN s > 0 THEN round(e / s, 4) ELSE 0 END AS nrr FROM chain)"""
+  CASE WHEN s > 0 THEN {exact('(s - abs(mrr_churn) - abs(mrr_downgrade)) / s', 4)} ELSE 0 END AS grr,
+  CASE WHEN s > 0 THEN {exact('e / s', 4)} ELSE 0 END AS nrr FROM chain)"""
 
 
 def with_chain(body: str) -> str:

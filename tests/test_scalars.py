@@ -1,6 +1,7 @@
 import math
 from datetime import date, datetime
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from clientpulse import functions as fn
@@ -60,6 +61,10 @@ def test_week_starts_on_monday(rows):
 def test_rounding_modes(rows):
     assert one(rows, 0.125, "double", fn.round_half_up) == 0.13
     assert one(rows, 0.125, "double", fn.round_half_even) == 0.12
+    for value in (0.125, 0.375, 2.675, 6.165, 8.325, 1234567.885, -2.5, -0.001, 1e15 + 0.3):
+        assert one(rows, value, "double", fn.round_exact) == round(value, 2), value
+        assert one(rows, value, "double", fn.round_half_even) == float(np.round(value, 2)), value
+    assert one(rows, None, "double", fn.round_exact) is None
 
 
 def test_ratio_guards(rows):

@@ -233,3 +233,23 @@ def test_shares_are_doubles(rows):
     frame = rows([(7, 3, 0)], "a bigint, b bigint, messages_sent_previous bigint")
     got = frame.select(features.plan_usage("a", "b").alias("u"), features.message_change("a", "b").alias("c"))
     assert got.dtypes == [("u", "double"), ("c", "double")] and tuple(got.first()) == (233.33, 133.33)
+
+
+def test_pandas_profile_scores_before_rounding(rows):
+    dim, campaigns, automations, _, chat = month_end_inputs(rows)
+    messages = rows([("a", "2026-01", 79_996, 100_000), ("b", "2025-12", 100_000, 1), ("b", "2026-01", 110_004, 10**9)], MESSAGE)
+    got = {}
+    for variant in ("sql_v1", "pandas_v1"):
+        feats = features.local_features(dim, campaigns, automations, chat, messages, date(2026, 1, 31), "2026-01", "2025-12",
+                                        variant)
+        for row in scoring.health_score(feats, rules.PROFILES[variant], date(2026, 1, 31)).collect():
+            got[(variant, row["client_id"])] = (row["plan_usage_pct"], row["messages_mom_change"], row["score_volume"])
+    assert got[("sql_v1", "a")] == (80.0, None, 5) and got[("pandas_v1", "a")] == (80.0, 0.0, 3)
+    assert got[("pandas_v1", "b")] == (0.01, 10.0, 5) and got[("sql_v1", "b")][1:] == (10.0, 5)
+
+
+def test_backfill_forgets_very_old_campaigns(rows):
+    dim, _, automations, messages, chat = month_end_inputs(rows)
+    campaigns = rows([("1", "a", datetime(2023, 1, 1), 1.0, 1.0), ("2", "b", datetime(2023, 6, 1), 1.0, 1.0)], CAMPAIGN)
+    got = backfill.backfill_scores(dim, campaigns, automations, chat, messages, dim, date(2025, 11, 1), date(2025, 11, 30))
+    assert as_set(got, "client_id", "days_since_last_campaign") == {("a", None), ("b", 913)}
