@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientpulse.llm import simhash
+from clientpulse.llm import host_rules, ranker, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,7 +20,22 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base measures of every document, and whether it and its host pass."""
+    found = host_rules.apply_rules(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *host_rules.MEASURES, "base_failed", "kept")
+
+
+def op5_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document, and whether it reaches the threshold."""
+    docs = table(spark, sf_dir, "documents")
+    model = ranker.fit(docs, table(spark, sf_dir, "labels"))
+    found = ranker.scored(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.select("row.doc_id", ranker.held_out(F.col("row.doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= ranker.THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup,)
+    f.__name__: f for f in (op1_simhash_near_dedup, op3_host_quality_rules, op5_pairwise_quality)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_host_quality_rules": host_rules.ORACLE}
