@@ -1 +1,10 @@
-"""Operators for preparing training text, their check queries and SQL. Nothing else in the library imports this package."""
+"""Operators for preparing training text, their check queries and SQL. Nothing else in the library imports this package.
+
+Functions that run in tasks travel with the job by value, so executors need no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
