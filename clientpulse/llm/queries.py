@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientpulse.llm import chat_digest, chat_format, host_rules, ranker, simhash
+from clientpulse.llm import bpe, chat_digest, chat_format, host_rules, ranker, simhash
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +40,20 @@ def op5_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= ranker.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids of every document and of the text decoded from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_digests(docs, tokenizer_path())
+
+
+def token_digests(docs: DataFrame, path: str) -> DataFrame:
+    ids = bpe.encode(docs, path, bpe.build_lexicon(docs, path), keep=["doc_id"])
+    decoded = bpe.decode(ids, path)
+    return decoded.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every formatted conversation, and of one whose texts are control strings."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -44,6 +63,6 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op3_host_quality_rules, op5_pairwise_quality, op9_chat_formatting)
+    f.__name__: f for f in (op1_simhash_near_dedup, op3_host_quality_rules, op5_pairwise_quality, op7_bpe_codec, op9_chat_formatting)
 }
 ORACLES: dict[str, str] = {"op3_host_quality_rules": host_rules.ORACLE}
