@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientpulse.llm import bpe, chat_digest, chat_format, host_rules, ranker, simhash
+from clientpulse.llm import bpe, chat_digest, chat_format, host_rules, main_text, permutation_index, ranker, simhash
 
 
 def tokenizer_path() -> str:
@@ -31,6 +31,12 @@ def op3_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *host_rules.MEASURES, "base_failed", "kept")
 
 
+def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = main_text.extracted(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document, and whether it reaches the threshold."""
     docs = table(spark, sf_dir, "documents")
@@ -40,6 +46,11 @@ def op5_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= ranker.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op6_permutation_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids of every document and of the text decoded from them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -63,6 +74,6 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op3_host_quality_rules, op5_pairwise_quality, op7_bpe_codec, op9_chat_formatting)
+    f.__name__: f for f in (op1_simhash_near_dedup, op3_host_quality_rules, op4_html_main_text, op5_pairwise_quality, op6_permutation_neighbours, op7_bpe_codec, op9_chat_formatting)
 }
 ORACLES: dict[str, str] = {"op3_host_quality_rules": host_rules.ORACLE}
