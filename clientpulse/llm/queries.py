@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientpulse.llm import bpe, chat_digest, chat_format, host_rules, main_text, permutation_index, ranker, simhash
+from clientpulse.llm import (
+    bpe, chat_digest, chat_format, host_rules, main_text, mixing, permutation_index, ranker, simhash,
+)
 
 
 def tokenizer_path() -> str:
@@ -73,7 +75,12 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest.digests(chat_format.format_conversations(turns.unionAll(extra)))
 
 
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's chance under the raked weights, and whether it is sampled."""
+    return mixing.chances(table(spark, sf_dir, "documents")).withColumn("chance", F.round("chance", 6))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op3_host_quality_rules, op4_html_main_text, op5_pairwise_quality, op6_permutation_neighbours, op7_bpe_codec, op9_chat_formatting)
+    f.__name__: f for f in (op1_simhash_near_dedup, op3_host_quality_rules, op4_html_main_text, op5_pairwise_quality, op6_permutation_neighbours, op7_bpe_codec, op9_chat_formatting, op10_source_mixing)
 }
-ORACLES: dict[str, str] = {"op3_host_quality_rules": host_rules.ORACLE}
+ORACLES: dict[str, str] = {"op3_host_quality_rules": host_rules.ORACLE, "op10_source_mixing": mixing.oracle()}
