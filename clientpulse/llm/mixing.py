@@ -15,11 +15,11 @@ from clientpulse.llm.stored import drop, stored
 
 SIDES = ("source", "lang", "topic")
 #: Wanted shares: named categories get these, the others share what is left in proportion to their tokens ...
-LANG_SHARES = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
-TOPIC_SHARES = {"prose": 0.7}
+LANG_SHARES = {"en": 0.55, "de": 0.17, "fr": 0.15, "es": 0.13}
+TOPIC_SHARES = {"prose": 0.9}
 #: ... and a number is a power of the tokens: 1 keeps the shares as they are, 0 makes all categories equal.
 SOURCE_POWER = 0.5
-MAX_ROUNDS, TOLERANCE = 60, 1e-9
+MAX_ROUNDS, TOLERANCE = 40, 1e-9
 SEED = "mix-1"
 
 
