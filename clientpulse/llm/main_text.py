@@ -43,6 +43,7 @@ SIBLING_HOLDERS = frozenset("ul ol menu dl table tbody thead tfoot select".split
 ARTICLE = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _WORD = re.compile(r"[a-z]+")
+_CUT_MARKUP = re.compile(r"<[a-zA-Z/!?]")
 
 
 class _Element:
@@ -121,6 +122,8 @@ class _Lines(HTMLParser):
             self._text.append(data)
 
     def close(self) -> None:
+        if _CUT_MARKUP.match(self.rawdata):  # a tag or comment that the page's end cuts off is not text
+            self.rawdata = ""
         super().close()
         self._end_line()
 
