@@ -17,18 +17,24 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientpulse.llm.lexicon import Lexicon, compile_lexicon
+from clientpulse.llm.stored import stored
 
 #: Words in the lexicon, and the longest it takes (bytes); both only decide how a word is encoded, not its ids.
 LEXICON_WORDS = 1 << 17
+#: Classes of word counts per factor of e.
+COUNT_CLASSES = 64
 LEXICON_BYTES = 48
 #: Characters split into words at once, and words a task remembers; both bound memory.
 PART_CHARS = 1 << 20
-KNOWN_WORDS = 1 << 18
+KNOWN_WORDS = 1 << 17
+#: Texts decoded at once.
+DECODED_ROWS = 512
 WORD_END = "</w>"
 #: Bytes of words that are merged together, and how many at once.
 SHORT_WORD = 32
@@ -79,48 +85,67 @@ class Vocabulary:
         return cls(model["vocab"], {m: k for k, m in enumerate(merges)},
                    {t["content"]: t["id"] for t in spec["added_tokens"]}, source)
 
-    def merge(self, word: bytes) -> tuple[int, ...]:
-        """The ids of one word: the adjacent pair of the lowest rank is joined first, the leftmost among equals."""
-        parts: list[str | None] = [BYTE_LETTERS[b] for b in word]
-        parts[-1] += WORD_END
-        n, ranks = len(parts), self.ranks
+    @property
+    def pieces(self) -> list[str | None]:
+        """The piece of each id."""
+        named = {i: p for p, i in (self.ids | self.special).items()}
+        return [named.get(i) for i in range(max(named, default=-1) + 1)]
+
+    def merge_table(self) -> dict[str, np.ndarray]:
+        """The merges as arrays over ids: sorted pair keys, their ranks, the joined ids, and the ids of the 256 bytes."""
+        ids, size = self.ids, max(self.ids.values(), default=0) + 1
+        try:
+            rows = np.array([(ids[a] * size + ids[b], rank, ids[a + b]) for (a, b), rank in self.ranks.items()], np.int64)
+            letters = np.array([[ids[c], ids[c + WORD_END]] for c in BYTE_LETTERS], np.int64)
+        except KeyError as missing:
+            raise ValueError(f"a byte or a merge is not in the vocabulary: {missing}") from None
+        rows = rows.reshape(-1, 3)
+        rows = rows[np.argsort(rows[:, 0])]
+        joined = np.zeros(len(rows) + 1, np.int64)
+        joined[rows[:, 1]] = rows[:, 2]
+        return {"size": np.array(size), "keys": rows[:, 0].copy(), "ranks": rows[:, 1].copy(), "joined": joined,
+                "inner": letters[:, 0].copy(), "last": letters[:, 1].copy()}
+
+
+class Merger:
+    """Merges words to ids: the adjacent pair of the lowest rank is joined first, the leftmost among equals.
+
+    Short words are merged many together, in a matrix with a row per word and one merge per row and step.
+    """
+
+    def __init__(self, table: dict[str, np.ndarray]):
+        self._size, self._none = int(table["size"]), len(table["keys"])
+        self._keys, self._ranks, self._joined = table["keys"], table["ranks"], table["joined"]
+        self._inner, self._last = table["inner"], table["last"]
+        self._by_pair: dict[int, int] | None = None
+
+    def merge_one(self, word: bytes) -> tuple[int, ...]:
+        """One word, with a heap: time grows with the length and its logarithm."""
+        if not word:
+            return ()
+        if self._by_pair is None:
+            self._by_pair = dict(zip(self._keys.tolist(), self._ranks.tolist()))
+        size, ranks, joined = self._size, self._by_pair, self._joined
+        parts = [*self._inner[list(word[:-1])].tolist(), int(self._last[word[-1]])]
+        n = len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(ranks[p], k, p) for k in range(n - 1) if (p := (parts[k], parts[k + 1])) in ranks]
+        heap = [(ranks[p], k, p) for k in range(n - 1) if (p := parts[k] * size + parts[k + 1]) in ranks]
         heapq.heapify(heap)
         while heap:
-            _, k, pair = heapq.heappop(heap)
-            right = after[k] if parts[k] is not None else n
-            if right >= n or (parts[k], parts[right]) != pair:
+            rank, k, pair = heapq.heappop(heap)
+            right = after[k]
+            if parts[k] < 0 or right >= n or parts[k] * size + parts[right] != pair:
                 continue
-            parts[k], parts[right] = pair[0] + pair[1], None
+            parts[k], parts[right] = int(joined[rank]), -1
             after[k] = right = after[right]
             if right < n:
                 before[right] = k
-                if (p := (parts[k], parts[right])) in ranks:
+                if (p := parts[k] * size + parts[right]) in ranks:
                     heapq.heappush(heap, (ranks[p], k, p))
             left = before[k]
-            if left >= 0 and (p := (parts[left], parts[k])) in ranks:
+            if left >= 0 and (p := parts[left] * size + parts[k]) in ranks:
                 heapq.heappush(heap, (ranks[p], left, p))
-        return tuple(self.ids[p] for p in parts if p is not None and p in self.ids)
-
-
-class Merger:
-    """Merges many words together: a matrix of ids with a row per word, and one merge per row and step."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        ids = vocabulary.ids
-        self._vocabulary, self._size = vocabulary, max(ids.values(), default=0) + 1
-        usable = [(ids[a] * self._size + ids[b], rank, ids[a + b]) for (a, b), rank in vocabulary.ranks.items()
-                  if a in ids and b in ids and a + b in ids]
-        pairs = np.array(usable, np.int64).reshape(-1, 3)
-        pairs = pairs[np.argsort(pairs[:, 0])]
-        self._keys, self._ranks = pairs[:, 0].copy(), pairs[:, 1].copy()
-        self._none = len(vocabulary.ranks)
-        self._joined = np.zeros(self._none + 1, np.int64)
-        self._joined[pairs[:, 1]] = pairs[:, 2]
-        self._inner, self._last = (np.array([ids.get(c + end, -1) for c in BYTE_LETTERS]) for end in ("", WORD_END))
-        # With a merge or a letter outside the vocabulary the plain way decides.
-        self._whole = len(usable) == self._none and self._none > 0 and min(self._inner.min(), self._last.min()) >= 0
+        return tuple(i for i in parts if i >= 0)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self._size + right
@@ -131,10 +156,10 @@ class Merger:
         found: list[tuple[int, ...]] = [()] * len(words)
         by_size: dict[int, list[int]] = {}
         for k, word in enumerate(words):
-            if 1 < len(word) <= SHORT_WORD and self._whole:
+            if 1 < len(word) <= SHORT_WORD and self._none:
                 by_size.setdefault(-(-len(word) // 4) * 4, []).append(k)
             else:
-                found[k] = self._vocabulary.merge(word) if word else ()
+                found[k] = self.merge_one(word)
         for width, places in by_size.items():
             for at in range(0, len(places), MERGE_ROWS):
                 block = places[at:at + MERGE_ROWS]
@@ -179,10 +204,10 @@ class Merger:
 class Splitter:
     """Texts to words. Special strings are words of their own."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self._special = re.compile("(" + "|".join(map(re.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")"
-                                   if vocabulary.special else "(?!)")
-        self._names, self._source, self._library = vocabulary.special, vocabulary.source, None
+    def __init__(self, special: dict[str, int], source: str):
+        names = "|".join(map(re.escape, sorted(special, key=len, reverse=True)))
+        self._special = re.compile(f"({names})" if special else "(?!)")
+        self._names, self._source, self._library = special, source, None
 
     def words(self, text: str) -> list[str]:
         found: list[str] = []
@@ -223,12 +248,13 @@ def parts_of(text: str, size: int = PART_CHARS) -> Iterator[str]:
 class Encoder:
     """Words to ids by the lexicon, else by merging; remembers a bounded number of words."""
 
-    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
-        self._merger, self._lexicon, self._splitter = Merger(vocabulary), lexicon, Splitter(vocabulary)
-        self._special = {word: (i,) for word, i in vocabulary.special.items()}
+    def __init__(self, table: dict[str, np.ndarray], special: dict[str, int], source: str, lexicon: Lexicon):
+        self._merger, self._lexicon, self._splitter = Merger(table), lexicon, Splitter(special, source)
+        self._special = {word: (i,) for word, i in special.items()}
         self._known = dict(self._special)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each text."""
         split = [self._splitter.words(t) for t in texts]
         self._learn(set(chain.from_iterable(split)))
         get = self._known.__getitem__
@@ -240,9 +266,9 @@ class Encoder:
         raw = [w.encode("utf-8", "surrogatepass") for w in new]
         if len(known) + len(new) > KNOWN_WORDS:
             known = self._known = {w: known[w] for w in words & known.keys()} | self._special
-        places = self._lexicon.places(raw).tolist()
-        known.update((w, self._lexicon.ids_at(p)) for w, p in zip(new, places) if p >= 0)
-        unseen = [k for k, p in enumerate(places) if p < 0]
+        places = self._lexicon.places(raw)
+        held, unseen = np.flatnonzero(places >= 0), np.flatnonzero(places < 0).tolist()
+        known.update(zip([new[k] for k in held.tolist()], self._lexicon.ids_at(places[held])))
         known.update(zip([new[k] for k in unseen], self._merger.merge([raw[k] for k in unseen])))
 
 
@@ -251,36 +277,55 @@ def _read(path: str) -> str:
         return file.read()
 
 
-def frequent_words(docs: DataFrame, source: str, text: str = "text", limit: int = LEXICON_WORDS) -> DataFrame:
-    """The ``limit`` most frequent words of all texts with their counts; equal counts by word."""
+def word_counts(docs: DataFrame, special: dict[str, int], source: str, text: str = "text") -> DataFrame:
+    """(word, n): how often each word of at most ``LEXICON_BYTES`` bytes occurs in all texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, seen = Splitter(Vocabulary.read(source)), Counter()
+        splitter, seen = Splitter(special, source), Counter()
         for batch in batches:
             for value in batch.column(0):
                 for part in parts_of(value.as_py() or ""):
                     seen.update(splitter.words(part))
                 if len(seen) > KNOWN_WORDS:
-                    yield _counts(seen)
+                    yield from _counts(seen)
                     seen = Counter()
-        if seen:
-            yield _counts(seen)
+        yield from _counts(seen)
 
-    return (docs.select(F.col(text).alias("text")).mapInArrow(run, "word string, n long")
-            .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(limit))
+    counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "word string, n long")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _counts(seen: Counter) -> pa.RecordBatch:
+def _counts(seen: Counter) -> Iterator[pa.RecordBatch]:
     words = [w for w in seen if 0 < len(w.encode("utf-8", "surrogatepass")) <= LEXICON_BYTES]
-    return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[w] for w in words], pa.int64())],
-                                      names=["word", "n"])
+    for at in range(0, len(words), MERGE_ROWS):
+        some = words[at:at + MERGE_ROWS]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([seen[w] for w in some], pa.int64())],
+                                         names=["word", "n"])
+
+
+def frequent_words(docs: DataFrame, special: dict[str, int], source: str, text: str = "text",
+                   limit: int = LEXICON_WORDS) -> DataFrame:
+    """The most frequent words, ``limit`` at most: all those in the highest classes of counts that fit whole.
+
+    The classes are logarithmic, so their number is small however large the corpus; no more than ``limit`` words ever
+    leave the executors.
+    """
+    counts = stored(word_counts(docs, special, source, text)
+                    .withColumn("class", F.floor(F.log("n") * COUNT_CLASSES).cast("int")), "bpe-words")
+    least, total = None, 0
+    for row in counts.groupBy("class").count().orderBy(F.desc("class")).collect():
+        total += row["count"]
+        if total > limit:
+            break
+        least = row["class"]
+    return counts.where(F.col("class") >= least if least is not None else F.lit(False)).select("word", "n")
 
 
 def build_lexicon(docs: DataFrame, path: str, text: str = "text", limit: int = LEXICON_WORDS) -> bytes:
     """The image of the lexicon of the corpus's frequent words; at most ``limit`` words come to the driver."""
     vocabulary = Vocabulary.read(_read(path))
-    words = [r["word"] for r in frequent_words(docs, vocabulary.source, text, limit).collect()]
+    words = [r["word"] for r in frequent_words(docs, vocabulary.special, vocabulary.source, text, limit).collect()]
     words = [w.encode("utf-8", "surrogatepass") for w in words if w not in vocabulary.special]
-    return compile_lexicon(dict(zip(words, Merger(vocabulary).merge(words))))
+    return compile_lexicon(dict(zip(words, Merger(vocabulary.merge_table()).merge(words))))
 
 
 def encode(docs: DataFrame, path: str, image: bytes, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -295,40 +340,40 @@ def encode(docs: DataFrame, path: str, image: bytes, text: str = "text", keep: l
     packed = docs.select(F.struct("*").alias("row"))
     row = T.StructType([packed.schema["row"].dataType.fields[k] for k in kept])
     shape = T.StructType([T.StructField("row", row), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    shared = docs.sparkSession.sparkContext.broadcast((_read(path), image))
+    vocabulary = Vocabulary.read(_read(path))
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (vocabulary.merge_table(), vocabulary.special, vocabulary.source, image))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source, lexicon = shared.value
-        encoder = Encoder(Vocabulary.read(source), Lexicon(lexicon))
+        table, special, source, lexicon = shared.value
+        encoder = Encoder(table, special, source, Lexicon(lexicon))
         for batch in batches:
-            whole = batch.column(0)
-            found: list[np.ndarray] = []
-            few: list[str] = []
-            chars = 0
-            for value in whole.field(at):
-                content = value.as_py() or ""
-                if len(content) > PART_CHARS:
-                    found += _many(encoder, few)
-                    few, chars = [], 0
-                    found.append(np.concatenate([np.array(encoder.encode([p])[0], np.int32) for p in parts_of(content)]))
-                    continue
-                few.append(content)
-                chars += len(content)
-                if chars > PART_CHARS:
-                    found += _many(encoder, few)
-                    few, chars = [], 0
-            found += _many(encoder, few)
-            offsets = np.concatenate(([0], np.cumsum([len(f) for f in found], dtype=np.int64))).astype(np.int32)
-            flat = np.concatenate([np.zeros(0, np.int32), *found])
-            part = pa.StructArray.from_arrays([whole.field(k) for k in kept], names=row.names)
-            yield pa.RecordBatch.from_arrays([part, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                                             names=["row", "ids"])
+            for low, texts in _pieces_of(batch.column(0).field(at)):
+                whole = batch.column(0).slice(low, len(texts))
+                if len(texts) == 1:
+                    found = [np.concatenate([np.array(encoder.encode([p])[0], np.int32) for p in parts_of(texts[0])])]
+                else:
+                    found = [np.array(ids, np.int32) for ids in encoder.encode(texts)]
+                offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
+                part = pa.StructArray.from_arrays([whole.field(k) for k in kept], names=row.names)
+                yield pa.RecordBatch.from_arrays([part, ids], names=["row", "ids"])
 
     return packed.mapInArrow(run, shape)
 
 
-def _many(encoder: Encoder, texts: list[str]) -> list[np.ndarray]:
-    return [np.array(ids, np.int32) for ids in encoder.encode(texts)]
+def _pieces_of(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of successive rows that are small enough together; a very long text comes alone."""
+    low, texts, chars = 0, [], 0
+    for k, value in enumerate(column):
+        content = value.as_py() or ""
+        if texts and chars + len(content) > PART_CHARS:
+            yield low, texts
+            low, texts, chars = k, [], 0
+        texts.append(content)
+        chars += len(content)
+    if texts:
+        yield low, texts
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -338,13 +383,17 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded
     """
     at = encoded.columns.index(ids)
     shape = T.StructType([*encoded.schema.fields, T.StructField(name, T.StringType())])
-    shared = encoded.sparkSession.sparkContext.broadcast(_read(path))
+    shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary.read(_read(path)).pieces)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary.read(shared.value)
-        piece = {i: p for p, i in (vocabulary.ids | vocabulary.special).items()}
+        pieces = dict(enumerate(shared.value))
         for batch in batches:
-            texts = [" ".join([piece[i] for i in value.as_py() or () if i in piece]) for value in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=shape.names)
+            for low in range(0, batch.num_rows, DECODED_ROWS):
+                some = batch.slice(low, DECODED_ROWS)
+                lists = some.column(at)
+                flat = lists.flatten().to_numpy(zero_copy_only=False)
+                ends = np.cumsum([n or 0 for n in pc.list_value_length(lists).to_pylist()]).tolist()
+                texts = [" ".join(filter(None, map(pieces.get, flat[a:b].tolist()))) for a, b in zip([0, *ends], ends)]
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.string())], names=shape.names)
 
     return encoded.mapInArrow(run, shape)

@@ -129,5 +129,9 @@ class Lexicon:
             walking, state, place = walking[~ended], state[~ended], place[~ended]
         return found
 
-    def ids_at(self, place: int) -> tuple[int, ...]:
-        return tuple(self.ids[self.starts[place]:self.starts[place + 1]].tolist())
+    def ids_at(self, places: np.ndarray) -> list[tuple[int, ...]]:
+        """The ids of the words at ``places``."""
+        low, size = self.starts[places], self.starts[places + 1] - self.starts[places]
+        ends = np.cumsum(size)
+        flat = self.ids[np.repeat(low - (ends - size), size) + np.arange(size.sum())].tolist()
+        return [tuple(flat[a:b]) for a, b in zip((ends - size).tolist(), ends.tolist())]
