@@ -16,6 +16,12 @@ def newest_first(keys: Sequence[str], order: Sequence[Column]):
     return Window.partitionBy(*keys).orderBy(*order)
 
 
+def total_order(df: DataFrame, keys: Sequence[str], first: Sequence[Column]) -> list[Column]:
+    """``first``, then every other column, so that rows tie only if they are equal in all columns that can be sorted."""
+    rest = [f.name for f in df.schema.fields if f.name not in keys and f.dataType.typeName() not in ("map", "variant")]
+    return [*first, *[F.col(c).asc_nulls_last() for c in rest]]
+
+
 def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str = "rn") -> DataFrame:
     """The first ``n`` rows of each key under a total order, with their rank."""
     return df.withColumn(rank, F.row_number().over(newest_first(keys, order))).where(F.col(rank) <= n)

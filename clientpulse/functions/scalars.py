@@ -168,11 +168,10 @@ def text_part(c: ColumnOrName, separator: str, part: int) -> Column:
 
 
 def matches_ci(c: ColumnOrName, pattern: str, literal: bool = False) -> Column:
-    """Case-insensitive search; a regular expression unless ``literal``."""
-    text = F.coalesce(col_of(c), F.lit(""))
-    if literal:
-        return F.lower(text).contains(pattern.lower())
-    return text.rlike(f"(?i){pattern}")
+    """Case-insensitive search; a regular expression unless ``literal``. NULL matches nothing."""
+    text = col_of(c)
+    found = F.lower(text).contains(pattern.lower()) if literal else text.rlike(f"(?i){pattern}")
+    return F.coalesce(found, F.lit(False))
 
 
 def item_count(c: ColumnOrName) -> Column:

@@ -20,18 +20,25 @@ TARGET_SQLS = 3
 TARGET_BANDS = [(100, "green"), (70, "yellow")]
 
 
+def owner_of_row() -> Column:
+    """The owner of a row; the landed tables write a missing one as a blank."""
+    return F.nullif(F.trim("csm_owner"), F.lit(""))
+
+
 def weekly_calls(calls: DataFrame, clients: DataFrame, first: date, last: date) -> DataFrame:
-    """Calls per owner and week; the call's own owner, else the owner of the client.
+    """Calls per owner and week; the call's own owner, else the owner of the client. A blank owner is none.
 
     Calls are first counted per company, owner and week, so that only those counts meet the client table.
     """
     minutes = F.coalesce("duration_minutes", F.lit(0))
     per_company = calls.where(F.col("call_date").between(F.lit(first), F.lit(last))).groupBy(
-        "hubspot_company_id", "csm_owner", week_start("call_date").alias("week_start")).agg(
+        "hubspot_company_id", owner_of_row().alias("csm_owner"), week_start("call_date").alias("week_start")).agg(
             F.count("*").alias("calls"), F.sum(minutes).alias("minutes"),
             *[F.count_if(F.col("call_type") == t).alias(t) for t in CALL_TYPES])
-    owner_of = clients.where(F.col("hubspot_company_id").isNotNull()).groupBy("hubspot_company_id").agg(
-        F.min("csm_owner").alias("client_owner"))
+    owner_of = latest_rows(
+        clients.where(F.col("hubspot_company_id").isNotNull()).select(
+            "hubspot_company_id", owner_of_row().alias("client_owner")),
+        ["hubspot_company_id"], [F.col("client_owner").asc_nulls_last()])
     owned = per_company.join(owner_of, "hubspot_company_id", "left").withColumn(
         "csm_owner", F.coalesce("csm_owner", "client_owner")).where(F.col("csm_owner").isNotNull())
     return owned.groupBy("csm_owner", "week_start").agg(
@@ -98,14 +105,15 @@ def coverage_from_calls(clients: DataFrame, calls: DataFrame, first: date, last:
 
     Every owner appears in every month. The month list has a fixed length and is attached by ``explode``.
     """
-    owned = clients.where(F.col("csm_owner").isNotNull()).select("csm_owner", "hubspot_company_id", "has_cs")
+    owned = clients.select(owner_of_row().alias("csm_owner"), "hubspot_company_id", "has_cs").where(
+        F.col("csm_owner").isNotNull())
     months = F.sequence(F.trunc(F.lit(first), "MM"), F.trunc(F.lit(last), "MM"), F.expr("interval 1 month"))
     has_cs = F.col("has_cs")
     totals = owned.groupBy("csm_owner").agg(
         F.count_if(has_cs).alias("clients_with_cs_total"),
         F.count_if(~has_cs).alias("clients_without_cs_total")).withColumn("month", F.explode(months))
     called = calls.where(F.col("call_date").between(F.trunc(F.lit(first), "MM"), F.last_day(F.lit(last)))).select(
-        "csm_owner", "hubspot_company_id", month_start("call_date").alias("month")).distinct()
+        owner_of_row().alias("csm_owner"), "hubspot_company_id", month_start("call_date").alias("month")).distinct()
     contacted = called.join(owned, ["csm_owner", "hubspot_company_id"], "inner").groupBy("csm_owner", "month").agg(
         F.count_if(has_cs).alias("clients_with_cs_contacted"),
         F.count_if(~has_cs).alias("clients_without_cs_contacted"))
@@ -127,33 +135,41 @@ def _coverage_columns(df: DataFrame, month: Column, scale: int, rounding: Roundi
 
 
 def client_facing_meetings(meetings: DataFrame, internal_domain: str, marker: str = "<>") -> DataFrame:
-    """Meetings named ``CSM <> Client`` with at least one attendee from outside."""
+    """Meetings named ``CSM <> Client`` with at least one attendee from outside, each once."""
+    return _client_facing(meetings, internal_domain, marker).distinct()
+
+
+def _client_facing(meetings: DataFrame, internal_domain: str, marker: str) -> DataFrame:
     outside = F.exists("attendees", lambda a: ~F.lower(a).endswith(f"@{internal_domain.lower()}") & (a != ""))
     return meetings.where(
         F.col("start_date").isNotNull() & F.col("organizer").isNotNull() & F.col("summary").contains(marker)
         & outside).select(F.col("id").alias("meeting_id"), F.lower("organizer").alias("csm_email"), "start_date",
-                          "summary").distinct()
+                          "summary")
 
 
 def coverage_granular(meetings: DataFrame, owners: DataFrame, internal_domain: str, part: int = 2,
                       marker: str = "<>") -> DataFrame:
-    """Distinct client-facing meetings per owner, month and client slug.
+    """Distinct client-facing meetings per owner (the e-mail where no name is known), month and client slug.
 
     ``part`` is the side of the marker that names the client.
     """
-    facing = client_facing_meetings(meetings, internal_domain, marker)
+    facing = _client_facing(meetings, internal_domain, marker)
     counted = facing.groupBy(
         "csm_email", month_start("start_date").alias("month_start"),
         slug(text_part("summary", marker, part)).alias("client_name_slug")).agg(
             F.count_distinct("meeting_id").alias("meetings"))
-    names = owners_by_email(owners).select("csm_email", F.col("owner_name").alias("csm_owner"))
+    names = owners_by_email(owners).select("csm_email", F.coalesce("owner_name", "csm_email").alias("csm_owner"))
     return counted.join(names, "csm_email", "inner").groupBy(
         "csm_owner", year_month("month_start").alias("year_month"), "month_start", "client_name_slug").agg(
             F.sum("meetings").alias("meetings_count"))
 
 
 def coverage_table(granular: DataFrame, clients: DataFrame) -> DataFrame:
-    """Granular coverage as one row per owner and month; an unknown client counts as one with CS."""
+    """Granular coverage as one row per owner and month; an unknown client counts as one with CS.
+
+    Rows without an owner drop out.
+    """
+    granular = granular.where(F.col("csm_owner").isNotNull())
     portfolio = clients.where(F.col("csm_owner").isNotNull()).select(
         "csm_owner", slug("company_name").alias("client_name_slug"), truthy("has_cs").alias("has_cs"))
     by_slug = portfolio.where(F.col("client_name_slug").isNotNull()).groupBy("csm_owner", "client_name_slug").agg(

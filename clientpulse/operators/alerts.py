@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientpulse.functions import latest_rows, lookup, newest_first, to_date, top_rows, truthy
+from clientpulse.functions import latest_rows, lookup, newest_first, to_date, top_rows, total_order, truthy
 from clientpulse.operators.rules import AlertRule
 
 # Order of the severities in both vocabularies.
@@ -18,8 +18,10 @@ SEVERITY_RANK_SQL_V1 = {"critical": 1, "high": 2, "medium": 3, "low": 4}
 ALERT_KEY = ("client_id", "alert_id", "alert_date")
 
 
-def _newest() -> list[Column]:
-    return [F.col("calculated_at").desc_nulls_last()]
+def _newest(history: DataFrame) -> list[Column]:
+    """Newest day first, then the longest window, then every other column."""
+    window = [F.col("period_days").desc_nulls_last()] if "period_days" in history.columns else []
+    return total_order(history, ["client_id"], [F.col("calculated_at").desc_nulls_last(), *window])
 
 
 def of_period(history: DataFrame, period_days: int | None) -> DataFrame:
@@ -28,12 +30,14 @@ def of_period(history: DataFrame, period_days: int | None) -> DataFrame:
 
 
 def latest_snapshot(history: DataFrame, period_days: int | None = 30) -> DataFrame:
-    return latest_rows(of_period(history, period_days), ["client_id"], _newest())
+    rows = of_period(history, period_days)
+    return latest_rows(rows, ["client_id"], _newest(rows))
 
 
 def previous_snapshot(history: DataFrame, period_days: int | None = 30) -> DataFrame:
     """The second newest row per client."""
-    ranked = top_rows(of_period(history, period_days), ["client_id"], _newest(), 2)
+    rows = of_period(history, period_days)
+    ranked = top_rows(rows, ["client_id"], _newest(rows), 2)
     return ranked.where(F.col("rn") == 2).select(
         "client_id", F.col("health_status").alias("previous_status"), F.col("campaign_roi").alias("previous_roi"),
         F.col("calculated_at").alias("previous_at"))
@@ -44,8 +48,9 @@ def latest_with_previous(history: DataFrame, period_days: int | None = 30) -> Da
 
     The two newest rows are kept first; the step back then looks at two rows per client at most.
     """
-    two = top_rows(of_period(history, period_days), ["client_id"], _newest(), 2)
-    window = newest_first(["client_id"], _newest())
+    rows = of_period(history, period_days)
+    two = top_rows(rows, ["client_id"], _newest(rows), 2)
+    window = newest_first(["client_id"], _newest(rows))
     paired = two.withColumns({"previous_status": F.lead("health_status").over(window),
                               "previous_roi": F.lead("campaign_roi").over(window),
                               "previous_at": F.lead("calculated_at").over(window)})

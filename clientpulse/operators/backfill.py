@@ -13,9 +13,6 @@ from clientpulse.operators.rules import ASOF_BACKFILL, Profile
 from clientpulse.operators.scoring import classify, score_points
 from clientpulse.sources.schemas import HEALTH_SCORE, conformed
 
-# Fixed value: from this many days on, the last campaign counts as unknown.
-UNKNOWN_DAYS = 999
-
 
 def month_ends(first: date, last: date) -> Column:
     """Array of the month ends from the month of ``first`` to the month of ``last``."""
@@ -25,14 +22,16 @@ def month_ends(first: date, last: date) -> Column:
 
 
 def monthly_features(dim: DataFrame, campaigns: DataFrame, automations: DataFrame, messages: DataFrame,
-                     first: date, last: date, midnight_cut: bool = False) -> DataFrame:
+                     first: date, last: date, midnight_cut: bool = False,
+                     unknown_from: int | None = None) -> DataFrame:
     """One row per client and month end with every feature known by that day.
 
     Each source is reduced to one row per (client, month) in a single map-side combined aggregation, and
     "up to this month" is a running window over at most a few rows per client, so no event is ever
     repeated per month. Events older than the three calendar months before ``first`` share one bucket;
     later ones are not read. With ``midnight_cut`` an event after 00:00 of a month's last day is known
-    only from the next month end on.
+    only from the next month end on. ``unknown_from`` is the number of days from which the last campaign counts as
+    unknown; by default every known one counts.
     """
     oldest = F.last_day(F.add_months(F.trunc(F.lit(first), "MM"), -3))
     newest = F.last_day(F.lit(last))
@@ -93,7 +92,7 @@ def monthly_features(dim: DataFrame, campaigns: DataFrame, automations: DataFram
     both = F.col("messages_sent_current").isNotNull() & F.col("messages_sent_previous").isNotNull()
     return running.where(F.col("wanted") & F.col("month_end").between(month_end(F.lit(first)), newest)).select(
         "client_id", "month_end",
-        F.when(days < UNKNOWN_DAYS, days).alias("days_since_last_campaign"),
+        (days if unknown_from is None else F.when(days < unknown_from, days)).alias("days_since_last_campaign"),
         ratio("revenue3", "cost3").alias("campaign_roi"),
         "active_automations", "integration_automations",
         "messages_sent_current", "messages_sent_previous",

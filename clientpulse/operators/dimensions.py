@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clientpulse.functions import (
     add_years, days_between, epoch_or_iso_date, iso_timestamp, latest_rows, person_name, safe_float, safe_int,
-    to_date, to_double, truthy,
+    to_date, to_double, total_order, truthy,
 )
 
 
@@ -24,17 +24,17 @@ def client_dimension(companies: DataFrame, config: DataFrame, as_of: date) -> Da
         days_between("contract_end_date", F.lit(as_of)).alias("days_to_renewal"))
 
 
-def latest_activity(activity: DataFrame, tie_break: Sequence[Column] = ()) -> DataFrame:
-    """Newest activity row per company id."""
-    return latest_rows(activity, ["id"], [F.col("created_at").desc_nulls_last(), *tie_break])
+def latest_activity(activity: DataFrame) -> DataFrame:
+    """Newest activity row per company id; rows of one moment are ordered by their other columns."""
+    return latest_rows(activity, ["id"], total_order(activity, ["id"], [F.col("created_at").desc_nulls_last()]))
 
 
 def owner_directory(owners: DataFrame, blank_as_null: bool = True) -> DataFrame:
-    """One row per owner: id, full name, e-mail."""
-    return (owners.select(F.col("id").alias("owner_id"),
+    """One row per owner: id, full name, e-mail; of several rows of an id the first named one by name and e-mail."""
+    named = owners.select(F.col("id").alias("owner_id"),
                           person_name("firstname", "lastname", blank_as_null).alias("owner_name"),
                           F.col("email").alias("owner_email"))
-                  .dropDuplicates(["owner_id"]))
+    return latest_rows(named, ["owner_id"], total_order(named, ["owner_id"], []))
 
 
 def owners_by_email(owners: DataFrame, blank_as_null: bool = True) -> DataFrame:
@@ -42,7 +42,7 @@ def owners_by_email(owners: DataFrame, blank_as_null: bool = True) -> DataFrame:
     named = owners.where(F.col("email").isNotNull()).select(
         F.lower("email").alias("csm_email"), F.col("id").alias("owner_id"),
         person_name("firstname", "lastname", blank_as_null).alias("owner_name"))
-    return latest_rows(named, ["csm_email"], [F.col("owner_id").asc()])
+    return latest_rows(named, ["csm_email"], total_order(named, ["csm_email"], [F.col("owner_id").asc()]))
 
 
 def with_owner(df: DataFrame, owners: DataFrame, id_columns: Sequence[str], name: str = "csm_owner") -> DataFrame:
@@ -82,7 +82,7 @@ def crm_company_facts(crm_companies: DataFrame) -> DataFrame:
         F.col(p + "motivo_de_churn").alias("motivo_de_churn"),
         F.col(p + "razao_do_churn").alias("razao_do_churn"))
     return latest_rows(typed.where(F.col("gupshup_app_name").isNotNull()), ["gupshup_app_name"],
-                       [F.col("hubspot_company_id").asc()])
+                       total_order(typed, ["gupshup_app_name"], [F.col("hubspot_company_id").asc()]))
 
 
 def warehouse_client_dimension(app_companies: DataFrame, activity: DataFrame, crm_companies: DataFrame,
@@ -93,7 +93,7 @@ def warehouse_client_dimension(app_companies: DataFrame, activity: DataFrame, cr
     """
     base = app_companies.select(F.col("id").alias("client_id"), F.col("name").alias("company_name"),
                                 "gupshup_app_name", "business_sector", "is_active")
-    service = latest_activity(activity.select("id", "created_at", "has_customer_service")).select(
+    service = latest_activity(activity).select(
         F.col("id").alias("client_id"), "has_customer_service")
     joined = (base.join(service, "client_id", "left")
                   .join(crm_company_facts(crm_companies), "gupshup_app_name", "left"))
@@ -107,10 +107,14 @@ def warehouse_client_dimension(app_companies: DataFrame, activity: DataFrame, cr
         days_between(add_years("contract_start_date"), F.lit(as_of)).alias("days_to_renewal"))
 
 
+# Texts that stand for no date in the exports.
+NULL_TEXTS = ("", "None", "nan", "NaT", "null")
+
+
 def active_clients(dim: DataFrame) -> DataFrame:
     """Clients without a churn date; blank or textual nulls count as none."""
     text = F.trim(F.col("churn_date").cast("string"))
-    return dim.where(F.col("churn_date").isNull() | text.isin("", "None", "nan", "NaT", "null"))
+    return dim.where(F.col("churn_date").isNull() | text.isin(*NULL_TEXTS))
 
 
 def dashboard_clients(dim: DataFrame, upsell_flags: DataFrame, as_of: date,
@@ -130,7 +134,7 @@ def dashboard_clients(dim: DataFrame, upsell_flags: DataFrame, as_of: date,
         F.coalesce("cashback_enabled", F.lit(False)).alias("cashback_enabled"),
         (onboarding_end.isNotNull() & (onboarding_end != "")).alias("onboarding_completed"),
         days_between(F.lit(as_of), start).alias("days_as_client"),
-        F.col("days_to_renewal").try_cast("bigint").alias("days_to_renewal"))
+        to_double("days_to_renewal").cast("bigint").alias("days_to_renewal"))
 
 
 # --- CRM objects in the landed-page shape: id, properties struct of text, company_id -------------
@@ -141,7 +145,7 @@ def _filled(*names: str) -> Column:
     return F.coalesce(*[F.nullif(F.col(f"properties.{n}"), F.lit("")) for n in names])
 
 
-# Properties each normaliser reads from a landed object.
+# Properties each normaliser reads from a landed object.
 COMPANY_PROPERTIES = ("name", "segment_ipc", "industry", "hubspot_owner_id", "has_cs", "contract_start_date",
                       "hs_date_entered_customer", "contract_end_date", "closedate", "mrr", "annualrevenue", "client_id")
 DEAL_PROPERTIES = ("amount", "mrr_before", "mrr_after", "deal_type_cs", "dealtype", "closedate", "dealstage")
@@ -177,8 +181,12 @@ def normalise_deals(objects: DataFrame) -> DataFrame:
         F.coalesce(F.col("properties.dealstage"), F.lit("")).alias("deal_stage"))
 
 
-def normalise_calls(objects: DataFrame) -> DataFrame:
-    """CRM calls; durations above 60 count as seconds, others as minutes."""
+def normalise_calls(objects: DataFrame, notes_chars: int | None = None) -> DataFrame:
+    """CRM calls; durations above 60 count as seconds, others as minutes.
+
+    Notes are kept whole unless ``notes_chars`` says how many characters to keep.
+    """
+    notes = F.coalesce(F.col("properties.hs_call_body"), F.lit(""))
     seconds = safe_int("properties.hs_call_duration")
     return objects.select(
         F.col("id").alias("call_id"), F.col("company_id").alias("hubspot_company_id"),
@@ -186,7 +194,7 @@ def normalise_calls(objects: DataFrame) -> DataFrame:
         epoch_or_iso_date("properties.hs_timestamp").alias("call_date"),
         F.when(seconds > 60, F.floor(seconds / 60)).otherwise(seconds).cast("bigint").alias("duration_minutes"),
         F.coalesce(F.col("properties.call_type"), F.lit("follow_up")).alias("call_type"),
-        F.substring(F.coalesce(F.col("properties.hs_call_body"), F.lit("")), 1, 500).alias("notes"))
+        (notes if notes_chars is None else F.substring(notes, 1, notes_chars)).alias("notes"))
 
 
 def nps_category(score: Column) -> Column:

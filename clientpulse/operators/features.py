@@ -25,20 +25,30 @@ def _newest(sent: str, tie: str | None) -> list[Column]:
     return order + [F.col(tie).asc()] if tie else order
 
 
-def last_campaign(campaigns: DataFrame, as_of: date, key: str = "client_id", sent: str = "sent_at") -> DataFrame:
-    """Newest send time and calendar days since then."""
-    return campaigns.groupBy(key).agg(F.max(sent).alias("last_campaign_at")).withColumn(
+def known_by(moment: str, as_of: date) -> Column:
+    """Whether a moment lies before the end of ``as_of``; a plain comparison, so that it reaches the scan."""
+    return F.col(moment) < F.date_add(F.lit(as_of), 1).cast("timestamp_ntz")
+
+
+def last_campaign(campaigns: DataFrame, as_of: date, key: str = "client_id", sent: str = "sent_at",
+                  bounded: bool = True) -> DataFrame:
+    """Newest send time up to ``as_of`` and calendar days since then; unless ``bounded``, of all campaigns."""
+    known = campaigns.where(known_by(sent, as_of)) if bounded else campaigns
+    return known.groupBy(key).agg(F.max(sent).alias("last_campaign_at")).withColumn(
         "days_since_last_campaign", days_between(F.lit(as_of), "last_campaign_at"))
 
 
-def newest_campaigns(campaigns: DataFrame, n: int = 3, key: str = "client_id",
+def newest_campaigns(campaigns: DataFrame, as_of: date | None, n: int = 3, key: str = "client_id",
                      tie: str = "campaign_id") -> DataFrame:
-    """Send time and both ratios of the newest ``n`` campaigns, from one pass over the table.
+    """Send time and both ratios of the newest ``n`` campaigns up to ``as_of``, from one pass over the table.
+
+    Without a date all campaigns count, later ones too.
 
     ``roi_mean`` averages the per-campaign ratios (a campaign without cost counts as 0); ``roi_pooled`` divides
     summed revenue by summed cost (no cost gives 0). The newest of the ``n`` is the newest of all.
     """
-    newest = top_rows(campaigns.select(key, tie, "sent_at", "revenue_attributed", "cost"), [key],
+    known = campaigns if as_of is None else campaigns.where(known_by("sent_at", as_of))
+    newest = top_rows(known.select(key, tie, "sent_at", "revenue_attributed", "cost"), [key],
                       _newest("sent_at", tie), n)
     cost = F.sum("cost")
     return newest.groupBy(key).agg(
@@ -47,14 +57,16 @@ def newest_campaigns(campaigns: DataFrame, n: int = 3, key: str = "client_id",
         F.when(cost != 0, F.sum("revenue_attributed") / cost).otherwise(0.0).alias("roi_pooled"))
 
 
-def roi_mean_last(campaigns: DataFrame, n: int = 3, key: str = "client_id", tie: str = "campaign_id") -> DataFrame:
+def roi_mean_last(campaigns: DataFrame, as_of: date | None, n: int = 3, key: str = "client_id",
+                  tie: str = "campaign_id") -> DataFrame:
     """Mean of the per-campaign ratios of the newest ``n``."""
-    return newest_campaigns(campaigns, n, key, tie).select(key, F.col("roi_mean").alias("campaign_roi"))
+    return newest_campaigns(campaigns, as_of, n, key, tie).select(key, F.col("roi_mean").alias("campaign_roi"))
 
 
-def roi_pooled_last(campaigns: DataFrame, n: int = 3, key: str = "client_id", tie: str = "campaign_id") -> DataFrame:
+def roi_pooled_last(campaigns: DataFrame, as_of: date | None, n: int = 3, key: str = "client_id",
+                    tie: str = "campaign_id") -> DataFrame:
     """Revenue over cost, both summed over the newest ``n``."""
-    return newest_campaigns(campaigns, n, key, tie).select(key, F.col("roi_pooled").alias("campaign_roi"))
+    return newest_campaigns(campaigns, as_of, n, key, tie).select(key, F.col("roi_pooled").alias("campaign_roi"))
 
 
 def roi_calendar_months(campaigns: DataFrame, as_of: date, months: int = 3, key: str = "client_id",
@@ -73,8 +85,8 @@ def roi_calendar_months(campaigns: DataFrame, as_of: date, months: int = 3, key:
 
 def roi_values_last(results: DataFrame, as_of: date, n: int = 3, key: str = "client_id",
                     tie: str = "campaign_id") -> DataFrame:
-    """Mean of the newest ``n`` given ratios beside the newest send time; undated rows do not count."""
-    dated = results.where(F.col("whatsapp_campaign_sent_at").isNotNull())
+    """Mean of the newest ``n`` given ratios up to ``as_of`` beside the newest send time; undated rows do not count."""
+    dated = results.where(known_by("whatsapp_campaign_sent_at", as_of))
     newest = top_rows(dated, [key], _newest("whatsapp_campaign_sent_at", tie), n)
     return newest.groupBy(key).agg(
         F.max("whatsapp_campaign_sent_at").alias("last_campaign_at"),
@@ -103,6 +115,36 @@ def roi_by_period(campaigns: DataFrame, as_of: date, periods: Sequence[int] = PE
     return sums.select(key, F.inline(per_window))
 
 
+def results_by_period(results: DataFrame, as_of: date, periods: Sequence[int] = PERIODS,
+                      key: str = "client_id") -> DataFrame:
+    """As ``roi_by_period``, for sources that give a ratio per campaign: the mean ratio and the number of campaigns."""
+    sent = "whatsapp_campaign_sent_at"
+    oldest = F.date_sub(F.lit(as_of), max(periods) - 1).cast("timestamp_ntz")
+    recent = results.where((F.col(sent) >= oldest) & known_by(sent, as_of)).withColumn(
+        "age", days_between(F.lit(as_of), sent))
+    inside = {p: F.col("age") < p for p in periods}
+    sums = recent.groupBy(key).agg(*[x for p in periods for x in (
+        F.avg(F.when(inside[p], F.col("campaign_roi"))).alias(f"r{p}"), F.count_if(inside[p]).alias(f"n{p}"))])
+    per_window = F.array(*[F.struct(F.lit(p).alias("period_days"), F.col(f"r{p}").alias("campaign_roi"),
+                                    F.col(f"n{p}").alias("campaigns_in_period")) for p in periods])
+    return sums.select(key, F.inline(per_window))
+
+
+def with_periods(features: DataFrame, windows: DataFrame, periods: Sequence[int] = PERIODS,
+                 own_roi: bool = False, key: str = "client_id") -> DataFrame:
+    """Features once per analysis window, with that window's ratio and number of campaigns (none: 0).
+
+    ``windows`` comes from ``roi_by_period`` or ``results_by_period``. With ``own_roi`` the ratio of ``features``
+    stays and only the number is taken. The list of windows has a fixed length and is attached by ``explode``.
+    """
+    each = features.withColumn("period_days", F.explode(F.array(*[F.lit(p) for p in periods])))
+    found = windows.select(key, "period_days", F.col("campaign_roi").alias("_roi"), "campaigns_in_period")
+    joined = each.join(found, [key, "period_days"], "left")
+    roi = F.col("campaign_roi") if own_roi else F.coalesce("_roi", F.lit(0.0))
+    return joined.withColumns({"campaign_roi": roi, "campaigns_in_period": F.coalesce(
+        "campaigns_in_period", F.lit(0).cast("bigint"))}).drop("_roi")
+
+
 def automation_counts(automations: DataFrame, active: Column, standard: Column, integration: Column,
                       key: str = "client_id") -> DataFrame:
     """Active automations of both kinds."""
@@ -163,14 +205,21 @@ def base_coverage(impacted: str = "total_impacted_customers_this_month", total:
     return percent(F.coalesce(F.col(impacted), F.lit(0)), total, 2)
 
 
+def client_coverage(activity: DataFrame) -> DataFrame:
+    """Share of the customer base reached this month, from the newest activity row of each client."""
+    from clientpulse.operators.dimensions import latest_activity
+
+    return latest_activity(activity).select(F.col("id").alias("client_id"), base_coverage().alias("coverage_pct"))
+
+
 def _zero(*names: str) -> dict[str, Column]:
     return {n: F.coalesce(F.col(n), F.lit(0).cast("bigint")) for n in names}
 
 
 def local_features(dim: DataFrame, campaigns: DataFrame, automations: DataFrame, chat: DataFrame,
                    messages: DataFrame, as_of: date, current: str, previous: str,
-                   variant: str = "sql_v1") -> DataFrame:
-    """Features from the raw product tables.
+                   variant: str = "sql_v1", activity: DataFrame | None = None) -> DataFrame:
+    """Features from the raw product tables; ``coverage_pct`` from the activity summary, NULL without one.
 
     ``sql_v1`` averages the last three ratios, counts calendar days, leaves unknown change NULL and scores on
     shares with two decimals; ``pandas_v1`` pools the last three, counts elapsed 24-hour days, takes unknown
@@ -178,14 +227,14 @@ def local_features(dim: DataFrame, campaigns: DataFrame, automations: DataFrame,
     """
     active = F.col("status") == "active"
     kind = F.col("automation_type")
-    newest = newest_campaigns(campaigns)
+    newest = newest_campaigns(campaigns, as_of)
     if variant == "sql_v1":
         days, roi, missing_days, missing_change, scale = (
             days_between(F.lit(as_of), "last_campaign_at"), F.col("roi_mean"), 9999, None, 2)
         standard = kind != "integration"
     elif variant == "pandas_v1":
         days, roi, missing_days, missing_change, scale = (
-            elapsed_days(as_of, "last_campaign_at"), F.col("roi_pooled"), 999, 0.0, None)
+            F.greatest(elapsed_days(as_of, "last_campaign_at"), F.lit(0)), F.col("roi_pooled"), 999, 0.0, None)
         standard = kind == "standard"
     else:
         raise ValueError(f"unknown variant {variant}")
@@ -196,6 +245,10 @@ def local_features(dim: DataFrame, campaigns: DataFrame, automations: DataFrame,
                  .join(counts, "client_id", "left")
                  .join(chat_usage(chat), "client_id", "left")
                  .join(messages_two_months(messages, current, previous), "client_id", "left"))
+    if activity is not None:
+        joined = joined.join(client_coverage(activity), "client_id", "left")
+    else:
+        joined = joined.withColumn("coverage_pct", F.lit(None).cast("double"))
     filled = joined.withColumns({
         "days_since_last_campaign": F.coalesce("days_since_last_campaign", F.lit(missing_days)),
         "campaign_roi": F.coalesce("campaign_roi", F.lit(0.0)),
@@ -210,14 +263,14 @@ def local_features(dim: DataFrame, campaigns: DataFrame, automations: DataFrame,
 
 def warehouse_features(dim: DataFrame, activity: DataFrame, campaign_results: DataFrame, automations: DataFrame,
                        flows: DataFrame, users: DataFrame, cashback_configs: DataFrame, as_of: date,
-                       activity_tie: Sequence[Column] = (), standard_type: str = "Personalizada") -> DataFrame:
+                       standard_type: str = "Personalizada") -> DataFrame:
     """Features from the warehouse sources; facts are keyed on ``company_id``."""
     from clientpulse.operators.dimensions import latest_activity
 
     def by_client(df: DataFrame) -> DataFrame:
         return df.withColumnRenamed("company_id", "client_id")
 
-    summary = latest_activity(activity, activity_tie).withColumnRenamed("id", "client_id").select(
+    summary = latest_activity(activity).withColumnRenamed("id", "client_id").select(
         "client_id", "has_customer_service", "active_integrations", "total_messages_this_month",
         "total_messages_prev_month", "whatsapp_marketing_package_limit", "total_impacted_customers_this_month",
         "total_customers")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clientpulse.functions import band, latest_rows, matches_ci, month_start, percent
-from clientpulse.operators.alerts import severity_rank
+from clientpulse.functions import band, latest_rows, lookup, matches_ci, month_start, percent
+from clientpulse.operators.alerts import latest_snapshot, of_period, severity_rank
 
 STATUSES = ("green", "yellow", "red", "inactive")
 
@@ -33,23 +34,36 @@ def in_range(scores: DataFrame, start: date | None = None, end: date | None = No
     return out
 
 
-def last_known_values(scores: DataFrame, key: str = "client_id", order: str = "calculated_at") -> DataFrame:
-    """Per client the newest non-NULL value of every column on its own."""
-    return scores.groupBy(key).agg(*[
+# The texts of the score table's two text columns.
+TEXT_VALUES = {"health_status": STATUSES, "chat_usage_level": ("none", "essential", "advanced")}
+
+
+def last_known_values(scores: DataFrame, key: str = "client_id", order: str = "calculated_at",
+                      text_values: Mapping[str, Sequence[str]] = TEXT_VALUES) -> DataFrame:
+    """Per client the newest non-NULL value of every column on its own.
+
+    Columns of few known texts are aggregated as numbers, so that all rows go through a hash aggregate; other texts
+    than the known ones count as NULL.
+    """
+    values = {c: list(text_values[c]) for c in scores.columns if c in text_values}
+    coded = scores.withColumns({c: lookup(c, {t: k for k, t in enumerate(v)}) for c, v in values.items()})
+    newest = coded.groupBy(key).agg(*[
         F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in scores.columns if c != key])
+    return newest.withColumns({c: lookup(c, dict(enumerate(v))) for c, v in values.items()})
 
 
 def client_360(clients: DataFrame, scores: DataFrame, start: date | None = None, end: date | None = None,
-               skip_nulls: bool = False) -> DataFrame:
-    """Every client beside its newest score row in the range.
+               skip_nulls: bool = False, period_days: int | None = 30) -> DataFrame:
+    """Every client beside its newest score row in the range, of one analysis window.
 
     ``skip_nulls`` takes the newest known value column by column instead of the newest row.
     """
     rows = in_range(scores, start, end)
+    if "period_days" in rows.columns:
+        rows = of_period(rows, period_days)
     shared = [c for c in rows.columns if c in clients.columns and c != "client_id"]
     rows = rows.drop(*shared)
-    newest = last_known_values(rows) if skip_nulls else latest_rows(
-        rows, ["client_id"], [F.col("calculated_at").desc_nulls_last()])
+    newest = last_known_values(rows) if skip_nulls else latest_snapshot(rows, None)
     return clients.join(newest, "client_id", "left")
 
 

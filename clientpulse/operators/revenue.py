@@ -169,9 +169,13 @@ def waterfall_steps(revenue: DataFrame) -> DataFrame:
     return latest.select("year_month", F.inline(rows))
 
 
-def retention_vs_target(revenue: DataFrame) -> DataFrame:
-    """Latest month's retention in percent beside the targets."""
+def retention_vs_target(revenue: DataFrame, unit: str = "percent") -> DataFrame:
+    """Latest month's retention in percent beside the targets; ``unit`` says whether the table has percent or ratios."""
+    if unit not in ("percent", "ratio"):
+        raise ValueError(f"unknown unit {unit}")
     latest = revenue.orderBy(F.col("year_month").desc()).limit(1)
+    if unit == "ratio":
+        latest = latest.withColumns({c: F.round(F.col(c) * 100, 2) for c in ("grr", "nrr")})
     return latest.select(
         "year_month", "grr", "nrr", F.lit(TARGET_GRR).alias("target_grr"), F.lit(TARGET_NRR).alias("target_nrr"),
         F.when(F.col("grr") >= TARGET_GRR, "green").otherwise("red").alias("grr_band"),

@@ -246,6 +246,10 @@ def load_rules(path: str, name: str = "rule_file") -> tuple[Profile, tuple[Alert
     return profile_from_rules(yaml.safe_load(text), name)
 
 
+# What the feature profiles store for a client without any campaign, instead of a number of days.
+NO_CAMPAIGN_DAYS = (999, 9999)
+
+
 def rule_features(df: DataFrame) -> DataFrame:
     """Add the derived names that rule conditions may use."""
     columns = set(df.columns)
@@ -256,7 +260,7 @@ def rule_features(df: DataFrame) -> DataFrame:
     change = known("messages_mom_change", "double")
     level = known("chat_usage_level", "string")
     return df.withColumns({
-        "no_campaigns": F.coalesce(known("days_since_last_campaign", "int") >= 999, F.lit(True)),
+        "no_campaigns": F.coalesce(known("days_since_last_campaign", "int").isin(*NO_CAMPAIGN_DAYS), F.lit(True)),
         "no_chat_usage": F.coalesce(level == "none", F.lit(True)),
         "no_customers": known("coverage_pct", "double").isNull(),
         "volume_trend": F.when(change > 0, "growing").when(change >= -10, "stable").when(change < -10, "declining"),

@@ -33,10 +33,12 @@ def health_score(features: DataFrame, profile: Profile, as_of: date, period_days
                  extra: tuple[str, ...] = ()) -> DataFrame:
     """Score rows with the full fact columns; criteria a profile lacks stay NULL.
 
-    ``extra`` names feature columns kept in front of the fact columns, as the stateless alerts need.
+    ``extra`` names feature columns kept in front of the fact columns, as the stateless alerts need. Features with a
+    ``period_days`` of their own (``features.with_periods``) give one row per client and window.
     """
+    window = F.col("period_days") if "period_days" in features.columns else F.lit(period_days)
     dated = classify(score_points(features, profile), profile).withColumns(
-        {"calculated_at": F.lit(as_of), "period_days": F.lit(period_days),
+        {"calculated_at": F.lit(as_of), "period_days": window,
          **{c: round_half_even(c, scale) for c, scale in profile.rounded.items()}})
     fact = conformed(dated, HEALTH_SCORE, keep_types=("client_id",))
     return dated.select(*extra, *fact)

@@ -30,13 +30,13 @@ def missing_products(flags: Sequence[str] = FLAGS) -> Column:
 
 
 def upsell_flags(dim: DataFrame, activity: DataFrame, automations: DataFrame, sms: DataFrame, email: DataFrame,
-                 users: DataFrame, cashback_configs: DataFrame, activity_tie: Sequence[Column] = (),
+                 users: DataFrame, cashback_configs: DataFrame,
                  standard_type: str = "Personalizada") -> DataFrame:
     """Seven product flags and four counts per client; facts are keyed on ``company_id``."""
     def by_client(df: DataFrame) -> DataFrame:
         return df.withColumnRenamed("company_id", "client_id")
 
-    summary = latest_activity(activity, activity_tie).select(
+    summary = latest_activity(activity).select(
         F.col("id").alias("client_id"), "total_active_flows", "active_integrations")
     kind = F.col("automation_type")
     counts = automation_counts(by_client(automations), F.col("automation_is_active"), kind == standard_type,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -10,8 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clientpulse.session import scratch_path
-from clientpulse.sources import writers
+from clientpulse.session import remove_path, scratch_path
+from clientpulse.sources import schemas, writers
+
+# The one layout of each fact that several runs write: its partition column and its key.
+LAYOUT = {
+    "fct_health_score": ("calculated_at", ("client_id", "calculated_at", "period_days")),
+    "fct_alerts": ("alert_date", ("client_id", "alert_id", "alert_date")),
+    "fct_csm_activity_weekly": ("week_start", ("csm_owner", "week_start")),
+    "fct_coverage_monthly": ("year_month", ("csm_owner", "year_month")),
+    "fct_revenue_retention_monthly": ("year_month", ("year_month",)),
+}
+# Declared columns of the raw tables; keys may be numbers or text, so they keep the type of the files.
+RAW = {
+    "companies": schemas.COMPANIES, "deals": schemas.DEALS, "calls": schemas.CALLS, "nps": schemas.NPS,
+    "campaigns": schemas.CAMPAIGNS, "automations": schemas.AUTOMATIONS, "chat": schemas.CHAT,
+    "messages_monthly": schemas.MESSAGES_MONTHLY, "client_config": schemas.CLIENT_CONFIG,
+}
+KEYS = ("client_id", "hubspot_company_id", "campaign_id", "automation_id", "deal_id", "call_id", "response_id")
 
 
 @dataclass(frozen=True)
@@ -23,43 +40,56 @@ class Lake:
         return f"{self.root.rstrip('/')}/{name}"
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
-        """The table; a schema also allows a table whose partitions are all empty."""
+        """The table; a schema also allows a table whose partitions are all empty.
+
+        Raw tables come with their declared columns and types: absent columns are NULL, further ones are not read.
+        """
         reader = self.spark.read if schema is None else self.spark.read.schema(_nullable(schema))
-        return reader.parquet(self.path(name))
+        found = reader.parquet(self.path(name))
+        if schema is None and name in RAW:
+            return found.select(*schemas.conformed(found, RAW[name], keep_types=KEYS))
+        return found
 
     def read_or_none(self, name: str, schema: T.StructType | None = None) -> DataFrame | None:
         try:
             return self.read(name, schema)
         except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             return None
 
-    def overwrite(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Replace the table and return it as read back, so that later steps start from files."""
-        writers.overwrite_table(df, self.path(name), partition_by)
-        return self.read(name)
+    def overwrite(self, df: DataFrame, name: str) -> DataFrame:
+        """Replace the table in its layout and return it as read back, so that later steps start from files."""
+        writers.overwrite_table(df, self.path(name), [LAYOUT[name][0]] if name in LAYOUT else [])
+        return self.read(name, df.schema)
+
+    def land(self, df: DataFrame, name: str) -> DataFrame | None:
+        """Replace a raw table, unless nothing has landed: then the table, if there is one, stays as it is."""
+        with self.staged(df, name) as rows:
+            return self.read_or_none(name) if rows.isEmpty() else self.overwrite(rows, name)
 
     def replace_snapshot(self, df: DataFrame, name: str, column: str) -> DataFrame:
         writers.replace_snapshot(df, self.path(name), column)
         return self.read(name, df.schema)
 
-    def append_unseen(self, df: DataFrame, name: str, keys: Sequence[str], partition: str) -> DataFrame:
+    def append_unseen(self, df: DataFrame, name: str) -> DataFrame:
         """Append the rows whose key is new. Only the partitions that ``df`` touches are read for their keys."""
-        staged = self.stage(df.dropDuplicates(list(keys)), name)
-        existing = self.touched(name, staged, partition)
-        if existing is not None:
-            staged = writers.unseen_rows(existing, staged, keys)
-        writers.append_table(staged, self.path(name), [partition])
+        partition, keys = LAYOUT[name]
+        with self.staged(df.dropDuplicates(list(keys)), name) as rows:
+            existing = self.touched(name, rows, partition)
+            unseen = rows if existing is None else writers.unseen_rows(existing, rows, keys)
+            writers.append_table(unseen, self.path(name), [partition])
         return self.read(name, df.schema)
 
-    def upsert(self, df: DataFrame, name: str, keys: Sequence[str], partition: str) -> DataFrame:
+    def upsert(self, df: DataFrame, name: str) -> DataFrame:
         """Replace rows by key. The merged partitions are staged first, then swapped in."""
-        staged = self.stage(df, name)
-        existing = self.touched(name, staged, partition)
-        if existing is not None:
-            staged = self.stage(writers.upsert(existing, staged, keys), name)
-        return self.replace_snapshot(staged, name, partition)
+        partition, keys = LAYOUT[name]
+        with self.staged(df, name) as rows:
+            existing = self.touched(name, rows, partition)
+            if existing is None:
+                return self.replace_snapshot(rows, name, partition)
+            with self.staged(writers.upsert(existing, rows, keys), name) as merged:
+                return self.replace_snapshot(merged, name, partition)
 
     def touched(self, name: str, new: DataFrame, partition: str) -> DataFrame | None:
         """The partitions of a table that ``new`` has rows for, or None when there is no table yet.
@@ -73,14 +103,16 @@ class Lake:
         values = [r[0] for r in new.select(partition).distinct().collect()]
         return existing.where(F.col(partition).isin(values))
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """A written copy in the shared folder: later steps neither recompute it nor depend on an executor."""
+    @contextmanager
+    def staged(self, df: DataFrame, name: str) -> Iterator[DataFrame]:
+        """A written copy in the shared folder for as long as a write needs it: later steps neither recompute it nor
+        depend on an executor. It is removed once they have succeeded and left behind, as a trace, if they fail.
+        """
         path = scratch_path(self.spark, f"stage-{name}")
         writers.overwrite_table(df, path)
-        return self.spark.read.schema(_nullable(df.schema)).parquet(path)
+        yield self.spark.read.schema(_nullable(df.schema)).parquet(path)
+        remove_path(self.spark, path)
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-
-

@@ -16,14 +16,12 @@ from clientpulse.plans.lake import Lake
 from clientpulse.sources import readers, writers
 from clientpulse.sources.schemas import ALERTS, HEALTH_SCORE, conformed
 
-SCORE_KEY = ("client_id", "calculated_at", "period_days")
-
 
 def crm_run(lake: Lake, landed: Mapping[str, str], client_id_property: str = "client_id") -> dict[str, DataFrame]:
     """Raw CRM tables from landed pages.
 
     ``landed`` maps companies, deals, calls, owners and feedback or contacts to folders of pages; kinds that
-    are absent leave their table as it is.
+    are absent, or of which no object has landed, leave their table as it is.
     """
     spark, out = lake.spark, {}
     owners = (dimensions.owner_directory(readers.read_owner_pages(spark, landed["owners"]))
@@ -49,7 +47,8 @@ def crm_run(lake: Lake, landed: Mapping[str, str], client_id_property: str = "cl
     contacts = objects("contacts", dimensions.CONTACT_PROPERTIES)
     if feedback is not None or contacts is not None:
         out["nps"] = dimensions.normalise_nps(feedback, contacts)
-    return {name: lake.overwrite(df, name) for name, df in out.items()}
+    written = {name: lake.land(df, name) for name, df in out.items()}
+    return {name: df for name, df in written.items() if df is not None}
 
 
 # Columns read from the exported warehouse tables; all values are text.
@@ -91,22 +90,28 @@ def replay_run(lake: Lake, exports: Mapping[str, Sequence[str]], as_of: date) ->
 
 
 def daily_run(lake: Lake, as_of: date, current: str, previous: str, variant: str = "pandas_v1",
-              period_days: int = 30) -> dict[str, DataFrame]:
+              period_days: int = 30, periods: Sequence[int] | None = None) -> dict[str, DataFrame]:
     """Dimension, today's scores and today's alerts from the raw tables.
 
-    Reads companies, client_config, campaigns, automations, chat and messages_monthly; writes dim_clients,
-    fct_health_score (one partition per day) and fct_alerts (one partition per day).
+    Reads companies, client_config, campaigns, automations, chat and messages_monthly, and for the base coverage
+    companies_activity_summary if there is one; writes dim_clients, fct_health_score (one partition per day) and
+    fct_alerts (one partition per day). One score row per client carries the ratio of the variant; with ``periods``
+    there is one per analysis window, with the window's ratio. Alerts look at ``period_days``.
     """
     dim = lake.overwrite(dimensions.client_dimension(lake.read("companies"), lake.read("client_config"), as_of),
                          "dim_clients")
-    feats = features.local_features(dim, lake.read("campaigns"), lake.read("automations"), lake.read("chat"),
-                                    lake.read("messages_monthly"), as_of, current, previous, variant)
+    campaigns = lake.read("campaigns")
+    feats = features.local_features(dim, campaigns, lake.read("automations"), lake.read("chat"),
+                                    lake.read("messages_monthly"), as_of, current, previous, variant,
+                                    lake.read_or_none("companies_activity_summary"))
+    wanted = tuple(periods or (period_days,))
+    feats = features.with_periods(feats, features.roi_by_period(campaigns, as_of, wanted), wanted, own_roi=periods is None)
     scored = scoring.health_score(feats, rules.PROFILES[variant], as_of, period_days)
     history = lake.replace_snapshot(scored, "fct_health_score", "calculated_at")
     base = alerts.alert_base(history.where(F.col("calculated_at") <= F.lit(as_of)), dim, period_days)
     fired = alerts.evaluate_alerts(base, rules.SCRIPT_ALERTS, as_of)
     rows = fired.select(*conformed(fired, ALERTS, keep_types=("client_id",)))
-    stored = lake.append_unseen(rows, "fct_alerts", alerts.ALERT_KEY, "alert_date")
+    stored = lake.append_unseen(rows, "fct_alerts")
     return {"dim_clients": dim, "fct_health_score": history, "fct_alerts": stored}
 
 
@@ -123,17 +128,16 @@ def backfill_run(lake: Lake, first: date, last: date, period_days: int = 30) ->
     cover = activity.coverage_from_calls(dim, calls, first, last)
     money = revenue.retention_from_deals(dim, lake.read("deals"), first, last)
     return {
-        "fct_health_score": lake.append_unseen(scores, "fct_health_score", SCORE_KEY, "calculated_at"),
-        "fct_csm_activity_weekly": lake.upsert(weekly, "fct_csm_activity_weekly", ("csm_owner", "week_start"),
-                                               "week_start"),
-        "fct_coverage_monthly": lake.upsert(cover, "fct_coverage_monthly", ("csm_owner", "year_month"), "year_month"),
-        "fct_revenue_retention_monthly": lake.upsert(money, "fct_revenue_retention_monthly", ("year_month",),
-                                                     "year_month"),
+        "fct_health_score": lake.append_unseen(scores, "fct_health_score"),
+        "fct_csm_activity_weekly": lake.upsert(weekly, "fct_csm_activity_weekly"),
+        "fct_coverage_monthly": lake.upsert(cover, "fct_coverage_monthly"),
+        "fct_revenue_retention_monthly": lake.upsert(money, "fct_revenue_retention_monthly"),
     }
 
 
-def warehouse_run(lake: Lake, as_of: date, internal_domain: str, spine: tuple[date, int]) -> dict[str, DataFrame]:
-    """The seven service tables from the warehouse sources.
+def warehouse_run(lake: Lake, as_of: date, internal_domain: str, spine: tuple[date, int],
+                  periods: Sequence[int] = features.PERIODS, period_days: int = 30) -> dict[str, DataFrame]:
+    """The seven service tables from the warehouse sources; scores per analysis window, alerts on ``period_days``.
 
     ``dim_clients`` and ``fct_health_score`` are written before their consumers read them.
     """
@@ -143,12 +147,15 @@ def warehouse_run(lake: Lake, as_of: date, internal_domain: str, spine: tuple[da
     cashback = lake.read("cashback_configs")
     dim = lake.overwrite(dimensions.warehouse_client_dimension(lake.read("app_companies"), summary, crm, owners, as_of),
                          "service_dim_clients")
-    feats = features.warehouse_features(dim, summary, lake.read("whatsapp_campaign_results"), automations,
-                                        lake.read("flow_execution_summary"), users, cashback, as_of)
+    results = lake.read("whatsapp_campaign_results")
+    feats = features.warehouse_features(dim, summary, results, automations, lake.read("flow_execution_summary"), users,
+                                        cashback, as_of)
+    feats = features.with_periods(feats, features.results_by_period(
+        results.withColumnRenamed("company_id", "client_id"), as_of, periods), periods)
     scored = scoring.health_score(feats, rules.WAREHOUSE_V1_1, as_of,
                                   extra=("company_name", "csm_owner", "mrr", "days_to_renewal"))
     health = lake.replace_snapshot(scored, "service_fct_health_score", "calculated_at")
-    today = health.where(F.col("calculated_at") == F.lit(as_of))
+    today = health.where((F.col("calculated_at") == F.lit(as_of)) & (F.col("period_days") == period_days))
     flags = upsell.upsell_flags(dim, summary, automations, lake.read("sms_campaigns"), lake.read("email_campaigns"),
                                 users, cashback)
     out = {

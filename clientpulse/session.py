@@ -45,6 +45,12 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; nothing is ever overwritten there."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

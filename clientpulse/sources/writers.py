@@ -15,14 +15,23 @@ from pyspark.sql import functions as F
 from clientpulse.functions.rows import latest_rows
 
 
+def gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows brought together by partition, so that each partition becomes a few files and not one per task.
+
+    The rebalance step splits large partitions and joins small ones by their measured sizes.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the whole table."""
+    df = gathered(df, partition_by)
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
 def replace_snapshot(df: DataFrame, path: str, snapshot_column: str = "calculated_at") -> None:
     """Replace only the snapshots present in ``df``; other partitions stay as they are."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (gathered(df, [snapshot_column]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(snapshot_column).parquet(path))
 
 
@@ -75,7 +84,7 @@ def keep_active(fact: DataFrame, clients: DataFrame, key: str = "client_id") ->
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    gathered(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

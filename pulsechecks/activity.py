@@ -112,7 +112,7 @@ def _(i):
 
 
 @check("a8_coverage_granular_first_part", with_sql("""
-SELECT p.owner_name AS csm_owner, strftime(m.start_date, '%Y-%m') AS year_month,
+SELECT coalesce(p.owner_name, mail) AS csm_owner, strftime(m.start_date, '%Y-%m') AS year_month,
   CAST(date_trunc('month', m.start_date) AS DATE) AS month_start, split_part(m.mail, '@', 1) AS client_name_slug,
   count(DISTINCT m.id) AS meetings_count
 FROM x_meetings m JOIN x_people p USING (mail) WHERE m.named AND m.has_guest GROUP BY ALL"""))

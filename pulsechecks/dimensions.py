@@ -58,7 +58,7 @@ def _(i):
 
 
 @check("d4_owner_name", with_sql(
-    "SELECT id AS owner_id, concat_ws(' ', firstname, lastname) AS owner_name, email AS owner_email FROM x_owners"))
+    "SELECT id AS owner_id, nullif(concat_ws(' ', firstname, lastname), '') AS owner_name, email AS owner_email FROM x_owners"))
 def _(i):
     return dimensions.owner_directory(i.owners)
 
@@ -84,7 +84,9 @@ SELECT d.client_id, d.hubspot_company_id, d.company_name, CAST(NULL AS VARCHAR)
 FROM x_dim_wh d WHERE d.churn_date IS NULL"""))
 def _(i):
     active = dimensions.active_clients(warehouse_dim(i))
-    return dimensions.dashboard_clients(active, i.upsell_flags, CRM_AS_OF)
+    # Exports write whole numbers with a decimal point.
+    text = active.withColumn("days_to_renewal", F.col("days_to_renewal").cast("double").cast("string"))
+    return dimensions.dashboard_clients(text, i.upsell_flags, CRM_AS_OF)
 
 
 # --- landed CRM objects built from the tables: id, property struct of text, first company ---
@@ -161,17 +163,25 @@ def call_objects(i) -> DataFrame:
         F.concat(F.lit("HS-"), F.col("user_id").cast("string")).alias("company_id"))
 
 
-@check("d9_crm_calls", """
+CALLS_SQL = """
 SELECT CAST(event_id AS VARCHAR) AS call_id, 'HS-' || user_id AS hubspot_company_id,
   CASE WHEN event_id % 11 <> 0 THEN CAST(user_id % 25 AS VARCHAR) ELSE '' END AS csm_owner, CAST(ts AS DATE) AS call_date,
   CASE WHEN event_id % 23 = 0 THEN 0 WHEN event_id % 7 = 0 THEN 45 WHEN event_id % 500 > 60 THEN event_id % 500 // 60
     ELSE event_id % 500 END::BIGINT AS duration_minutes,
   CASE WHEN event_id % 3 = 0 THEN 'urgencia' ELSE 'follow_up' END AS call_type,
-  CASE WHEN event_id % 4 <> 0 THEN left(repeat(event_type, 100), 500) ELSE '' END AS notes FROM events""")
+  CASE WHEN event_id % 4 <> 0 THEN {notes} ELSE '' END AS notes FROM events"""
+
+
+@check("d9_crm_calls", CALLS_SQL.format(notes="repeat(event_type, 100)"))
 def _(i):
     return dimensions.normalise_calls(call_objects(i))
 
 
+@check("d9_crm_calls_500", CALLS_SQL.format(notes="left(repeat(event_type, 100), 500)"))
+def _(i):
+    return dimensions.normalise_calls(call_objects(i), notes_chars=500)
+
+
 def answer_objects(i, score: str, when: str) -> DataFrame:
     e = F.col("event_id")
     value = F.when(e % 13 == 0, "").when(e % 17 == 0, "n/a").otherwise(((e * 7) % 11).cast("string"))

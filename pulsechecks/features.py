@@ -13,14 +13,21 @@ def _(i):
     return features.last_campaign(i.campaigns, AS_OF)
 
 
+@check("f1_last_campaign_literal", with_sql(f"""
+SELECT client_id, max(sent_at) AS last_campaign_at, CAST({TODAY} - CAST(max(sent_at) AS DATE) AS INTEGER)
+  AS days_since_last_campaign FROM x_campaigns GROUP BY client_id"""))
+def _(i):
+    return features.last_campaign(i.campaigns, AS_OF, bounded=False)
+
+
 @check("f2_roi_mean_last3", with_sql("SELECT client_id, round(campaign_roi, 6) AS campaign_roi FROM x_roi_mean3"))
 def _(i):
-    return features.roi_mean_last(i.campaigns).withColumn("campaign_roi", F.round("campaign_roi", 6))
+    return features.roi_mean_last(i.campaigns, AS_OF).withColumn("campaign_roi", F.round("campaign_roi", 6))
 
 
 @check("f3_roi_pooled_last3", with_sql("SELECT client_id, round(campaign_roi, 6) AS campaign_roi FROM x_roi_pooled3"))
 def _(i):
-    return features.roi_pooled_last(i.campaigns).withColumn("campaign_roi", F.round("campaign_roi", 6))
+    return features.roi_pooled_last(i.campaigns, AS_OF).withColumn("campaign_roi", F.round("campaign_roi", 6))
 
 
 CALENDAR = """
@@ -55,6 +62,17 @@ def _(i):
     return features.roi_by_period(i.campaigns, AS_OF).withColumn("campaign_roi", F.round("campaign_roi", 6))
 
 
+@check("f6_score_rows", with_sql(f"""
+SELECT s.client_id, {TODAY} AS calculated_at, p AS period_days, s.total_score, s.health_status,
+  ifnull(n, 0) AS campaigns_in_period, round(ifnull(roi, 0), 6) AS campaign_roi
+FROM x_scores_wh s CROSS JOIN (VALUES (7), (30), (60), (90)) w(p)
+LEFT JOIN (SELECT client_id, p, count(*) AS n, avg(campaign_roi) AS roi FROM x_results, (VALUES (7), (30), (60), (90)) v(p)
+  WHERE CAST(sent_at AS DATE) BETWEEN {TODAY} - p + 1 AND {TODAY} GROUP BY ALL) USING (client_id, p)"""))
+def _(i):
+    return i.window_scores.select("client_id", "calculated_at", "period_days", "total_score", "health_status",
+                                  "campaigns_in_period", F.round("campaign_roi", 6).alias("campaign_roi"))
+
+
 @check("f7_automation_counts", with_sql("SELECT * FROM x_autos_sql"))
 def _(i):
     kind = F.col("automation_type")

@@ -17,7 +17,6 @@ BACKFILL = (date(2001, 1, 1), date(2001, 6, 30))
 CALL_WINDOW = (date(2024, 1, 1), date(2024, 6, 30))
 CRM_AS_OF = date(2025, 3, 10)
 DOMAIN = "corp.example"
-ACTIVITY_TIE = ()
 
 
 def squeezed(day: Column) -> Column:
@@ -26,6 +25,11 @@ def squeezed(day: Column) -> Column:
     return F.date_sub(end, F.floor(F.date_diff(end, day.cast("date")) / 16).cast("int"))
 
 
+def elsewhere(key: Column, condition: Column, name: str = "client_id") -> Column:
+    """The key, negative where the row is to belong to no client."""
+    return F.when(condition, -key).otherwise(key).alias(name)
+
+
 def text_of(c: Column) -> Column:
     return c.cast("string")
 
@@ -69,9 +73,9 @@ class Inputs:
 
     @cached_property
     def client_config(self) -> DataFrame:
-        """Configurations, missing for some clients."""
-        return self.clients.where(F.col("client_id") % 29 != 0).select(
-            "client_id", "plan_type", "cashback_enabled", "onboarding_completed")
+        """Configurations; those of some clients carry a key that no client has."""
+        k = F.col("client_id")
+        return self.clients.select(elsewhere(k, k % 29 == 0), "plan_type", "cashback_enabled", "onboarding_completed")
 
     @cached_property
     def campaigns(self) -> DataFrame:
@@ -84,20 +88,20 @@ class Inputs:
         sent = F.timestamp_add("HOUR", (8 + o % 11).cast("int"),
                                squeezed(F.col("o_orderdate")).cast("timestamp_ntz"))
         return self.table("orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
-                          "o_orderpriority").where(c % 17 != 0).select(
-            o.alias("campaign_id"), c.alias("client_id"), sent.alias("sent_at"),
+                          "o_orderpriority").select(
+            o.alias("campaign_id"), F.when(c % 17 == 0, c + 1).otherwise(c).alias("client_id"), sent.alias("sent_at"),
             (base * factor).alias("revenue_attributed"),
             F.when(o % 29 == 0, 0.0).otherwise(base).alias("cost"), kind.alias("campaign_type"))
 
     @cached_property
     def automations(self) -> DataFrame:
         o = F.col("o_orderkey")
-        return self.table("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate").where(
-            F.floor(o / 2) % 2 == 0).select(
+        return self.table("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate").select(
             o.alias("automation_id"), F.col("o_custkey").alias("client_id"),
             F.when(o % 31 == 0, F.lit(None)).when(o % 2 == 0, "integration").otherwise("standard").alias(
                 "automation_type"),
-            F.when(F.col("o_orderstatus") == "O", "paused").otherwise("active").alias("status"),
+            F.when(F.floor(o / 2) % 2 == 1, "draft").when(F.col("o_orderstatus") == "O", "paused").otherwise(
+                "active").alias("status"),
             squeezed(F.col("o_orderdate")).cast("timestamp_ntz").alias("created_at"))
 
     @cached_property
@@ -115,8 +119,8 @@ class Inputs:
     @cached_property
     def chat(self) -> DataFrame:
         k = F.col("c_custkey")
-        return self.table("customer", "c_custkey").where(k % 23 != 0).select(
-            k.alias("client_id"), (k % 3 != 0).alias("has_human_agent"), (k % 5 == 1).alias("has_chat_flow"),
+        return self.table("customer", "c_custkey").select(
+            elsewhere(k, k % 23 == 0), (k % 3 != 0).alias("has_human_agent"), (k % 5 == 1).alias("has_chat_flow"),
             (k % 4 == 3).alias("has_ai_enabled"))
 
     # --- warehouse sources -------------------------------------------------------------------
@@ -173,21 +177,21 @@ class Inputs:
     @cached_property
     def flows(self) -> DataFrame:
         k = F.col("c_custkey")
-        return self.table("customer", "c_custkey").where((k % 5).isin(1, 2)).select(
-            k.alias("company_id"), (k % 5 == 1).alias("flow_is_active"))
+        return self.table("customer", "c_custkey").select(
+            elsewhere(k, ~(k % 5).isin(1, 2), "company_id"), (k % 5 == 1).alias("flow_is_active"))
 
     @cached_property
     def users(self) -> DataFrame:
         k = F.col("c_custkey")
-        return self.table("customer", "c_custkey").where(k % 4 != 2).select(
-            k.alias("company_id"), F.when(k % 4 == 3, F.concat(F.lit("agent-"), text_of(k))).when(
+        return self.table("customer", "c_custkey").select(
+            elsewhere(k, k % 4 == 2, "company_id"), F.when(k % 4 == 3, F.concat(F.lit("agent-"), text_of(k))).when(
                 k % 4 == 1, "").alias("ai_agent_id"))
 
     @cached_property
     def cashback_configs(self) -> DataFrame:
         k = F.col("c_custkey")
-        return self.table("customer", "c_custkey").where((k % 5).isin(0, 3)).select(
-            k.alias("company_id"), (k % 5 == 0).alias("is_active"))
+        return self.table("customer", "c_custkey").select(
+            elsewhere(k, ~(k % 5).isin(0, 3), "company_id"), (k % 5 == 0).alias("is_active"))
 
     def channel(self, kind: str) -> DataFrame:
         return self.campaigns.where(F.col("campaign_type") == kind).select(F.col("client_id").alias("company_id"))
@@ -198,7 +202,7 @@ class Inputs:
         return self.table("nation", "n_nationkey").select(
             text_of(n).alias("id"),
             F.when(n % 9 != 8, F.concat(F.lit("First"), text_of(n))).alias("firstname"),
-            F.when(n % 4 != 3, F.concat(F.lit("Last"), text_of(n))).alias("lastname"),
+            F.when((n % 4 != 3) & (n != 17), F.concat(F.lit("Last"), text_of(n))).alias("lastname"),
             F.concat(F.lit("Owner"), text_of(n), F.lit("@corp.example")).alias("email"))
 
     @cached_property
@@ -242,8 +246,10 @@ class Inputs:
             sign = F.when(F.col("o_orderpriority") == priority, s).otherwise(sign)
         base = F.floor(F.col("o_totalprice") / 100).cast("double") / 100
         closed = F.col("o_orderdate").cast("date")
+        # One month without deals: its deals close a month later.
+        closed = F.when(F.date_format(closed, "yyyy-MM") == "1997-02", F.add_months(closed, 1)).otherwise(closed)
         return self.table("orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
-                          "o_orderpriority").where(F.date_format(closed, "yyyy-MM") != "1997-02").select(
+                          "o_orderpriority").select(
             F.col("o_orderkey").alias("deal_id"),
             F.concat(F.lit("HS-"), text_of(F.col("o_custkey"))).alias("hubspot_company_id"),
             kind.alias("deal_type"), (base * sign).alias("mrr_delta"), closed.alias("closed_date"))
@@ -310,7 +316,7 @@ class Inputs:
 
     def local_scores(self, variant: str) -> DataFrame:
         feats = features.local_features(self.clients, self.campaigns, self.automations, self.chat, self.messages,
-                                        AS_OF, CURRENT, PREVIOUS, variant)
+                                        AS_OF, CURRENT, PREVIOUS, variant, self.activity_summary)
         return scoring.health_score(feats, rules.PROFILES[variant], AS_OF)
 
     @cached_property
@@ -334,6 +340,19 @@ class Inputs:
         """Six month ends and the run of today."""
         return self.backfill.unionByName(self.local_scores("sql_v1"))
 
+    @cached_property
+    def window_scores(self) -> DataFrame:
+        """Warehouse scores of today, one row per analysis window."""
+        windows = features.results_by_period(self.campaign_results.withColumnRenamed("company_id", "client_id"), AS_OF)
+        return scoring.health_score(features.with_periods(self.warehouse_features, windows), rules.WAREHOUSE_V1_1, AS_OF)
+
+    @cached_property
+    def window_history(self) -> DataFrame:
+        """The history with a row per analysis window; each window's totals differ by its length."""
+        each = F.explode(F.array(*[F.lit(p) for p in features.PERIODS]))
+        return self.history.withColumn("period_days", each).withColumn(
+            "total_score", F.col("total_score") + F.col("period_days"))
+
     @cached_property
     def alert_base(self) -> DataFrame:
         return alerts.alert_base(self.history, self.clients)

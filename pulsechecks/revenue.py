@@ -99,6 +99,15 @@ def _(i):
     return revenue.waterfall_steps(chained(i))
 
 
+@check("r11_retention_vs_target_ratio", with_chain("""
+SELECT year_month, round(grr * 100, 2) AS grr, round(nrr * 100, 2) AS nrr, 87 AS target_grr, 105 AS target_nrr,
+  CASE WHEN round(grr * 100, 2) >= 87 THEN 'green' ELSE 'red' END AS grr_band,
+  CASE WHEN round(nrr * 100, 2) >= 105 THEN 'green' ELSE 'yellow' END AS nrr_band
+FROM waterfall ORDER BY year_month DESC LIMIT 1"""))
+def _(i):
+    return revenue.retention_vs_target(chained(i), unit="ratio")
+
+
 @check("r11_retention_vs_target", with_sql("""
 SELECT year_month, grr, nrr, 87 AS target_grr, 105 AS target_nrr, CASE WHEN grr >= 87 THEN 'green' ELSE 'red' END AS grr_band,
   CASE WHEN nrr >= 105 THEN 'green' ELSE 'yellow' END AS nrr_band FROM x_retention ORDER BY year_month DESC LIMIT 1"""))

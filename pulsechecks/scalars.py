@@ -21,7 +21,7 @@ SELECT client_id, ifnull(csm_owner, '-') AS csm_owner, ifnull(days_since_last_ca
 def _(i):
     from clientpulse.operators import features
     joined = i.clients.join(features.last_campaign(i.campaigns, AS_OF), "client_id", "left").join(
-        features.roi_pooled_last(i.campaigns), "client_id", "left")
+        features.roi_pooled_last(i.campaigns, AS_OF), "client_id", "left")
     return joined.select("client_id", F.coalesce("csm_owner", F.lit("-")).alias("csm_owner"),
                          F.coalesce("days_since_last_campaign", F.lit(9999)).alias("days"),
                          (F.coalesce("campaign_roi", F.lit(0.0)) >= 1).alias("profitable"))
@@ -166,12 +166,14 @@ def _(i):
 
 
 @check("e15_search_ignoring_case", """
-SELECT p_partkey, regexp_matches(p_name, '^PART.*[13]$', 'i') AS by_pattern, contains(lower(p_type), 'st') AS by_text
+SELECT p_partkey, regexp_matches(p_name, '^PART.*[13]$', 'i') AS by_pattern, contains(lower(p_type), 'st') AS by_text,
+  p_partkey % 7 <> 0 AS anything
 FROM part""")
 def _(i):
+    name = F.when(F.col("p_partkey") % 7 != 0, F.col("p_name"))
     return i.table("part", "p_partkey", "p_name", "p_type").select(
         "p_partkey", fn.matches_ci("p_name", "^PART.*[13]$").alias("by_pattern"),
-        fn.matches_ci("p_type", "ST", literal=True).alias("by_text"))
+        fn.matches_ci("p_type", "ST", literal=True).alias("by_text"), fn.matches_ci(name, ".*").alias("anything"))
 
 
 @check("e16_item_count", with_sql(

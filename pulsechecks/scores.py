@@ -15,7 +15,7 @@ WH_POINTS = ("score_recency", "score_automations", "score_integrations", "score_
 
 def local_features(i, variant):
     return features.local_features(i.clients, i.campaigns, i.automations, i.chat, i.messages, AS_OF, CURRENT, PREVIOUS,
-                                   variant)
+                                   variant, i.activity_summary)
 
 
 @check("f16_score_sql_v1", with_sql(f"SELECT client_id, {', '.join(LOCAL_POINTS)} FROM x_scores_sql"))
@@ -163,6 +163,34 @@ def _(i):
     return alerts.previous_snapshot(i.history).withColumn("previous_roi", F.round("previous_roi", 6))
 
 
+@check("l1_latest_snapshot_period", with_sql(
+    "SELECT client_id, calculated_at, period_days, total_score FROM x_window_ranked WHERE nth = 1 AND period_days = 90"))
+def _(i):
+    return alerts.latest_snapshot(i.window_history, 90).select("client_id", "calculated_at", "period_days", "total_score")
+
+
+@check("l1_latest_snapshot_any_period", with_sql(
+    "SELECT client_id, calculated_at, period_days, total_score FROM x_window_ranked WHERE nth = 1 AND period_days = 90"))
+def _(i):
+    return alerts.latest_snapshot(i.window_history, None).select("client_id", "calculated_at", "period_days", "total_score")
+
+
+@check("l2_previous_snapshot_period", with_sql("""
+SELECT client_id, health_status AS previous_status, calculated_at AS previous_at FROM x_window_ranked
+WHERE nth = 2 AND period_days = 7"""))
+def _(i):
+    return alerts.previous_snapshot(i.window_history, 7).drop("previous_roi")
+
+
+@check("l3_status_change_period", with_sql("""
+SELECT client_id, n.total_score, n.health_status, p.health_status AS previous_status
+FROM (SELECT * FROM x_window_ranked WHERE nth = 1 AND period_days = 60) n
+LEFT JOIN (SELECT * FROM x_window_ranked WHERE nth = 2 AND period_days = 60) p USING (client_id)"""))
+def _(i):
+    both = alerts.latest_with_previous(i.window_history, 60)
+    return both.select("client_id", "total_score", "health_status", "previous_status")
+
+
 @check("l3_status_change", with_sql("""
 SELECT client_id, health_status, previous_status, health_status IS DISTINCT FROM previous_status AS changed
 FROM x_alert_base"""))
@@ -197,7 +225,8 @@ for _key, _rule in (("l5_score_red", "score_red"), ("l6_no_campaign_14d_warehous
                     ("l10_volume_drop_30pct", "volume_drop_30pct"), ("l11_low_base_coverage", "low_base_coverage"),
                     ("l12_inactive_client", "inactive_client"), ("l13_upsell_opportunity", "upsell_opportunity")):
     _register_rule(_key, rules.WAREHOUSE_ALERTS, _rule, lambda i: i.warehouse_scores, "x_wh_alerts", metric=True)
-for _key, _rule in (("l6_no_campaign_14d_script", "no_campaign_14d"), ("l9_renewal_30d_red_script", "renewal_30d_red")):
+for _key, _rule in (("l6_no_campaign_14d_script", "no_campaign_14d"), ("l9_renewal_30d_red_script", "renewal_30d_red"),
+                    ("l11_low_base_coverage_script", "low_base_coverage")):
     _register_rule(_key, rules.SCRIPT_ALERTS, _rule, lambda i: i.alert_base, "x_script_alerts")
 _register_rule("l8_renewal_90d_sql_v1", rules.SQL_V1_ALERTS, "renewal_90d", lambda i: i.alert_base, "x_sql_alerts")
 _register_rule("l7_roi_below_1_sql_v1", rules.SQL_V1_ALERTS, "roi_dropped_below_1", lambda i: i.alert_base,
@@ -250,6 +279,7 @@ RULE_FILE_SQL = [
     ("renewal_90d", "info", "days_to_renewal < 91"),
     ("renewal_30d_red", "critical", "health_status = 'red' AND days_to_renewal < 31"),
     ("volume_drop_30pct", "warning", "messages_mom_change <= -30"),
+    ("low_base_coverage", "warning", "coverage_pct < 5 AND health_status <> 'inactive'"),
     ("upsell_opportunity", "info", "plan_usage_pct >= 90 AND health_status = 'green'")]
 
 

@@ -59,27 +59,28 @@ SELECT c_custkey AS client_id, 'HS-' || c_custkey AS hubspot_company_id, 'app' |
   CAST(185 - (c_custkey * 37) % 361 AS INTEGER) AS days_to_renewal
 FROM customer""")
 define("x_campaigns", f"""
-SELECT o_orderkey AS campaign_id, o_custkey AS client_id,
+SELECT o_orderkey AS campaign_id, CASE WHEN o_custkey % 17 = 0 THEN o_custkey + 1 ELSE o_custkey END AS client_id,
   CAST({SQUEEZED} AS TIMESTAMP) + to_hours(CAST(8 + o_orderkey % 11 AS INTEGER)) AS sent_at,
   {CENTS} * CASE o_custkey % 4 WHEN 0 THEN 0.5::DOUBLE WHEN 1 THEN 4.0::DOUBLE ELSE 12.0::DOUBLE END
     AS revenue_attributed,
   CASE WHEN o_orderkey % 29 = 0 THEN 0.0::DOUBLE ELSE {CENTS} END AS cost,
   CASE WHEN o_orderpriority = '3-MEDIUM' AND o_custkey % 3 = 0 THEN 'sms'
        WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_custkey % 4 = 0 THEN 'email' ELSE 'whatsapp' END AS campaign_type
-FROM orders WHERE o_custkey % 17 <> 0""")
+FROM orders""")
 define("x_automations", f"""
 SELECT o_orderkey AS automation_id, o_custkey AS client_id,
   CASE WHEN o_orderkey % 31 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN 'integration' ELSE 'standard' END
     AS automation_type,
-  CASE WHEN o_orderstatus = 'O' THEN 'paused' ELSE 'active' END AS status, CAST({SQUEEZED} AS TIMESTAMP) AS created_at
-FROM orders WHERE (o_orderkey // 2) % 2 = 0""")
+  CASE WHEN (o_orderkey // 2) % 2 = 1 THEN 'draft' WHEN o_orderstatus = 'O' THEN 'paused' ELSE 'active' END AS status,
+  CAST({SQUEEZED} AS TIMESTAMP) AS created_at
+FROM orders""")
 define("x_messages", f"""
 SELECT o_custkey AS client_id, strftime({SQUEEZED}, '%Y-%m') AS year_month,
   CAST(sum(l_quantity) AS BIGINT) AS messages_sent, CAST([150, 300, 600][o_custkey % 3 + 1] AS BIGINT) AS plan_limit
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL""")
 define("x_chat", """
-SELECT c_custkey AS client_id, c_custkey % 3 <> 0 AS has_human_agent, c_custkey % 5 = 1 AS has_chat_flow,
-  c_custkey % 4 = 3 AS has_ai_enabled FROM customer WHERE c_custkey % 23 <> 0""")
+SELECT CASE WHEN c_custkey % 23 = 0 THEN -c_custkey ELSE c_custkey END AS client_id, c_custkey % 3 <> 0 AS has_human_agent,
+  c_custkey % 5 = 1 AS has_chat_flow, c_custkey % 4 = 3 AS has_ai_enabled FROM customer""")
 
 # --- warehouse sources ---
 define("x_activity", f"""
@@ -104,13 +105,13 @@ define("x_auto_summary", """
 SELECT client_id, status = 'active' AS is_active,
   CASE automation_type WHEN 'standard' THEN 'Personalizada' WHEN 'integration' THEN 'Integracao' END AS kind
 FROM x_automations""")
-define("x_flows", "SELECT c_custkey AS client_id, c_custkey % 5 = 1 AS flow_is_active FROM customer "
-                  "WHERE c_custkey % 5 IN (1, 2)")
+define("x_flows", "SELECT CASE WHEN c_custkey % 5 IN (1, 2) THEN c_custkey ELSE -c_custkey END AS client_id, "
+                  "c_custkey % 5 = 1 AS flow_is_active FROM customer")
 define("x_ai", "SELECT c_custkey AS client_id FROM customer WHERE c_custkey % 4 = 3")
 define("x_cashback", "SELECT c_custkey AS client_id FROM customer WHERE c_custkey % 5 = 0")
 define("x_owners", """
 SELECT CAST(n_nationkey AS VARCHAR) AS id, CASE WHEN n_nationkey % 9 <> 8 THEN 'First' || n_nationkey END AS firstname,
-  CASE WHEN n_nationkey % 4 <> 3 THEN 'Last' || n_nationkey END AS lastname,
+  CASE WHEN n_nationkey % 4 <> 3 AND n_nationkey <> 17 THEN 'Last' || n_nationkey END AS lastname,
   'Owner' || n_nationkey || '@corp.example' AS email FROM nation""")
 define("x_people", """
 SELECT id AS owner_id, nullif(concat_ws(' ', firstname, lastname), '') AS owner_name, lower(email) AS mail
@@ -131,10 +132,11 @@ SELECT id, TRY_CAST(mrr_text AS DOUBLE) AS mrr, start_day, churn_date, churn_val
 
 # --- account managers ---
 define("x_deals", f"""
-SELECT o_orderkey AS deal_id, 'HS-' || o_custkey AS hubspot_company_id, CAST(o_orderdate AS DATE) AS closed_date,
+SELECT o_orderkey AS deal_id, 'HS-' || o_custkey AS hubspot_company_id, CAST(CASE WHEN strftime(o_orderdate, '%Y-%m') =
+    '1997-02' THEN o_orderdate + INTERVAL 1 MONTH ELSE o_orderdate END AS DATE) AS closed_date,
   ['new', 'upsell', 'cross_sell', 'downgrade', 'churn'][CAST(o_orderpriority[1] AS INTEGER)] AS deal_type,
   {CENTS} * CASE WHEN o_orderpriority[1] IN ('4', '5') THEN -1 ELSE 1 END AS mrr_delta
-FROM orders WHERE strftime(o_orderdate, '%Y-%m') <> '1997-02'""")
+FROM orders""")
 define("x_calls", """
 SELECT event_id AS call_id, 'HS-' || user_id AS hubspot_company_id,
   CASE WHEN event_id % 11 <> 0 THEN 'csm_' || (user_id % 7) END AS csm_owner,
@@ -164,9 +166,10 @@ SELECT c.* REPLACE (p.owner_name AS csm_owner) FROM x_clients c JOIN x_people p
 # --- features ---
 define("x_recency", f"""
 SELECT client_id, max(sent_at) AS last_campaign_at,
-  CAST({TODAY} - CAST(max(sent_at) AS DATE) AS INTEGER) AS days_since_last_campaign FROM x_campaigns GROUP BY client_id""")
-define("x_newest3", """
-SELECT * FROM x_campaigns
+  CAST({TODAY} - CAST(max(sent_at) AS DATE) AS INTEGER) AS days_since_last_campaign FROM x_campaigns
+WHERE CAST(sent_at AS DATE) <= {TODAY} GROUP BY client_id""")
+define("x_newest3", f"""
+SELECT * FROM x_campaigns WHERE CAST(sent_at AS DATE) <= {TODAY}
 QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY sent_at DESC NULLS LAST, campaign_id) < 4""")
 define("x_roi_mean3", """
 SELECT client_id, avg(CASE WHEN cost > 0 THEN revenue_attributed / cost ELSE 0 END) AS campaign_roi
@@ -177,7 +180,7 @@ FROM x_newest3 GROUP BY client_id""")
 define("x_results3", f"""
 SELECT client_id, max(sent_at) AS last_campaign_at, avg(campaign_roi) AS campaign_roi,
   CAST({TODAY} - CAST(max(sent_at) AS DATE) AS INTEGER) AS days_since_last_campaign
-FROM (SELECT * FROM x_results WHERE sent_at IS NOT NULL
+FROM (SELECT * FROM x_results WHERE CAST(sent_at AS DATE) <= {TODAY}
       QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY sent_at DESC, campaign_id) < 4)
 GROUP BY client_id""")
 define("x_autos_sql", """
@@ -197,6 +200,9 @@ SELECT client_id, max(messages_sent) FILTER (year_month = {CUR}) AS messages_sen
   max(messages_sent) FILTER (year_month = {PREV}) AS messages_sent_previous,
   max(plan_limit) FILTER (year_month = {CUR}) AS plan_limit_current
 FROM x_messages WHERE year_month IN ({CUR}, {PREV}) GROUP BY client_id""")
+define("x_base_coverage", """
+SELECT id AS client_id, CASE WHEN total_customers > 0 THEN round(total_impacted_customers_this_month * 100.0::DOUBLE
+  / total_customers, 2) END AS coverage_pct FROM x_activity""")
 define("x_features_sql", """
 SELECT c.client_id, c.company_name, c.csm_owner, c.mrr, c.days_to_renewal, c.cashback_enabled,
   coalesce(r.days_since_last_campaign, 9999) AS days_since_last_campaign, coalesce(m3.campaign_roi, 0) AS campaign_roi,
@@ -208,13 +214,14 @@ SELECT c.client_id, c.company_name, c.csm_owner, c.mrr, c.days_to_renewal, c.cas
   CASE WHEN t.messages_sent_previous > 0 THEN round((coalesce(t.messages_sent_current, 0) - t.messages_sent_previous)
     * 100.0::DOUBLE / t.messages_sent_previous, 2) END AS messages_mom_change,
   CASE WHEN t.plan_limit_current > 0 THEN round(coalesce(t.messages_sent_current, 0) * 100.0::DOUBLE
-    / t.plan_limit_current, 2) END AS plan_usage_pct
-FROM x_clients c LEFT JOIN x_recency r USING (client_id) LEFT JOIN x_roi_mean3 m3 USING (client_id)
+    / t.plan_limit_current, 2) END AS plan_usage_pct, v.coverage_pct
+FROM x_clients c LEFT JOIN x_base_coverage v USING (client_id) LEFT JOIN x_recency r USING (client_id) LEFT JOIN x_roi_mean3 m3 USING (client_id)
 LEFT JOIN x_autos_sql a USING (client_id) LEFT JOIN x_chat_usage u USING (client_id)
 LEFT JOIN x_two_months t USING (client_id)""")
 define("x_features_pandas", f"""
 SELECT f.* EXCLUDE (days_since_last_campaign, campaign_roi, messages_mom_change, plan_usage_pct),
-  CAST(coalesce(floor((epoch(CAST({TODAY} AS TIMESTAMP)) - epoch(r.last_campaign_at)) / 86400), 999) AS INTEGER)
+  CAST(CASE WHEN r.last_campaign_at IS NULL THEN 999 WHEN r.last_campaign_at > CAST({TODAY} AS TIMESTAMP) THEN 0
+    ELSE floor((epoch(CAST({TODAY} AS TIMESTAMP)) - epoch(r.last_campaign_at)) / 86400) END AS INTEGER)
     AS days_since_last_campaign,
   coalesce(p.campaign_roi, 0) AS campaign_roi,
   CASE WHEN f.messages_sent_previous > 0 THEN (f.messages_sent_current - f.messages_sent_previous) * 100.0::DOUBLE
@@ -293,7 +300,7 @@ SELECT c.client_id, m.calculated_at, c.cashback_enabled, coalesce(u.chat_usage_l
   cur.messages_sent AS messages_sent_current, prv.messages_sent AS messages_sent_previous,
   CASE WHEN prv.messages_sent > 0 THEN (cur.messages_sent - prv.messages_sent) * 100.0::DOUBLE / prv.messages_sent END
     AS messages_mom_change,
-  cur.messages_sent * 100.0::DOUBLE / cur.plan_limit AS plan_usage_pct
+  cur.messages_sent * 100.0::DOUBLE / cur.plan_limit AS plan_usage_pct, CAST(NULL AS DOUBLE) AS coverage_pct
 FROM x_clients c CROSS JOIN x_month_ends m
 LEFT JOIN (SELECT client_id, calculated_at, max(CAST(sent_at AS DATE)) AS last_on,
     sum(revenue_attributed) FILTER (sent_at >= roi_from) / nullif(sum(cost) FILTER (sent_at >= roi_from), 0)
@@ -315,11 +322,16 @@ define("x_backfill_midnight", scored("x_asof_midnight", VOLUME, "if(cashback_ena
 
 SCORE_COLUMNS = """client_id, calculated_at, score_recency, score_roi, score_automations, score_integrations, score_chat,
   score_volume, bonus_cashback, days_since_last_campaign, campaign_roi, active_automations, integration_automations,
-  chat_usage_level, messages_sent_current, messages_sent_previous, messages_mom_change, plan_usage_pct, total_score,
-  health_status"""
+  chat_usage_level, messages_sent_current, messages_sent_previous, messages_mom_change, plan_usage_pct, coverage_pct,
+  total_score, health_status"""
 define("x_history", f"""
 SELECT {SCORE_COLUMNS} FROM x_backfill
 UNION ALL SELECT {SCORE_COLUMNS} FROM (SELECT *, {TODAY} AS calculated_at FROM x_scores_sql)""")
+define("x_window_history", """
+SELECT h.* REPLACE (h.total_score + w.p AS total_score), w.p AS period_days
+FROM x_history h CROSS JOIN (VALUES (7), (30), (60), (90)) w(p)""")
+define("x_window_ranked", """
+SELECT *, row_number() OVER (PARTITION BY client_id, period_days ORDER BY calculated_at DESC) AS nth FROM x_window_history""")
 define("x_ranked", """
 SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY calculated_at DESC) AS nth FROM x_history""")
 define("x_alert_base", """
@@ -335,7 +347,7 @@ SCRIPT_RULES = [
     ("renewal_90d", "info", "days_to_renewal > 30 AND days_to_renewal < 91"),
     ("renewal_30d_red", "critical", "health_status = 'red' AND days_to_renewal < 31"),
     ("volume_drop_30pct", "warning", "messages_mom_change <= -30"),
-    ("low_base_coverage", "warning", "health_status <> 'inactive'"),
+    ("low_base_coverage", "warning", "health_status <> 'inactive' AND (coverage_pct IS NULL OR coverage_pct < 5)"),
     ("inactive_client", "critical", "health_status = 'inactive' AND days_to_renewal < 61"),
     ("upsell_opportunity", "info", "plan_usage_pct >= 90 AND health_status = 'green'")]
 SQL_V1_RULES = [
@@ -433,7 +445,7 @@ SELECT coalesce(p.owner_name, csm_email) AS csm_owner, csm_email, week_start, if
 FROM x_weekly_meetings m FULL JOIN x_weekly_crm_calls k USING (csm_email, week_start)
 LEFT JOIN x_people p ON p.mail = csm_email""")
 define("x_granular", """
-SELECT p.owner_name AS csm_owner, strftime(m.start_date, '%Y-%m') AS year_month,
+SELECT coalesce(p.owner_name, mail) AS csm_owner, strftime(m.start_date, '%Y-%m') AS year_month,
   CAST(date_trunc('month', m.start_date) AS DATE) AS month_start,
   'customer#' || lpad(CAST(m.user_id AS VARCHAR), 9, '0') AS client_name_slug,
   CAST(count(DISTINCT m.id) AS BIGINT) AS meetings_count

@@ -25,6 +25,15 @@ def _(i):
     return readers.scan(i.spark, path, ["client_id", "year_month", "messages_sent", "plan_limit"], months)
 
 
+@check("s2_filtered_scan_period", with_sql(
+    "SELECT client_id, calculated_at, period_days, total_score FROM x_window_history WHERE period_days = 60"))
+def _(i):
+    path = scratch_path(i.spark, "window-history")
+    writers.overwrite_table(i.window_history, path, ["calculated_at"])
+    return readers.scan(i.spark, path, ["client_id", "calculated_at", "period_days", "total_score"],
+                        F.col("period_days") == 60)
+
+
 PART_ROWS = 500
 EXPORT_TYPES = {"client_id": "bigint", "company_name": "string", "mrr": "double", "contract_start_date": "date",
                 "days_to_renewal": "bigint", "not_there": "string"}

@@ -117,3 +117,19 @@ def test_adoption_of_unscored_clients(rows):
     assert got["Automacao de Integracao 2+"] == (1, 1, 50.0) and got["Automacao de Campanhas"] == (0, 2, 0.0)
     assert upsell.product_opportunities(base, status="yellow").count() == 3
     assert upsell.product_opportunities(base).count() == 10
+
+
+def test_blank_owner_falls_back_to_the_client_owner(rows):
+    calls = rows([("1", "H1", "", date(2024, 1, 2), 10, "follow_up"), ("2", "H1", " ", date(2024, 1, 3), 10, "follow_up"),
+                  ("3", "H2", "", date(2024, 1, 3), 10, "follow_up")], CALLS)
+    clients = rows([("H1", "ana", True, "A", "a"), ("H2", "", True, "B", "b")], CLIENTS)
+    got = activity.weekly_calls(calls, clients, date(2024, 1, 1), date(2024, 1, 31))
+    assert as_set(got, "csm_owner", "calls_total") == {("ana", 2)}
+    cover = activity.coverage_from_calls(clients, calls, date(2024, 1, 1), date(2024, 1, 31))
+    assert as_set(cover, "csm_owner", "clients_with_cs_contacted") == {("ana", 0)}
+
+
+def test_rows_without_owner_leave_the_coverage_table(rows):
+    granular = rows([("ana", "2024-01", "a"), (None, "2024-01", "b")], "csm_owner string, year_month string, client_name_slug string")
+    clients = rows([("H1", "ana", True, "A", "a")], CLIENTS)
+    assert as_set(activity.coverage_table(granular, clients), "csm_owner") == {("ana",)}

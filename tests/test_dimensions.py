@@ -80,7 +80,9 @@ def test_call_units(spark):
     assert [got[k]["duration_minutes"] for k in "1234"] == [60, 1, 10, 0]
     assert [got[k]["call_type"] for k in "1234"] == ["follow_up", "urgencia", "onboarding", "follow_up"]
     assert got["1"]["call_date"] == got["3"]["call_date"] == date(2024, 1, 1) and got["4"]["call_date"] is None
-    assert len(got["1"]["notes"]) == 500 and got["2"]["notes"] == ""
+    assert len(got["1"]["notes"]) == 600 and got["2"]["notes"] == ""
+    cut = dimensions.normalise_calls(objects(spark, names, data), notes_chars=500)
+    assert max(len(r["notes"]) for r in cut.collect()) == 500
 
 
 def test_deal_fallbacks(spark):

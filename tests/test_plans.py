@@ -16,7 +16,7 @@ def plan_of(df) -> str:
 
 def test_newest_rows_are_limited_before_the_shuffle(spark):
     i = Inputs(spark, SF)
-    for df in (features.newest_campaigns(i.campaigns), dimensions.latest_activity(i.activity_summary),
+    for df in (features.newest_campaigns(i.campaigns, AS_OF), dimensions.latest_activity(i.activity_summary),
                alerts.latest_with_previous(i.history), reporting.client_360(i.clients, i.history)):
         plan = plan_of(df)
         assert re.search(r"WindowGroupLimit .*Partial", plan) and re.search(r"WindowGroupLimit .*Final", plan)
@@ -90,7 +90,7 @@ def test_hot_client(spark, rows):
         expected[client] = (round(sum(r[3] / r[4] if r[4] > 0 else 0.0 for r in top) / len(top), 9),
                             round(sum(r[3] for r in top) / cost, 9) if cost else 0.0)
     got = {r["client_id"]: (round(r["roi_mean"], 9), round(r["roi_pooled"], 9))
-           for r in features.newest_campaigns(frame).collect()}
+           for r in features.newest_campaigns(frame, None).collect()}
     assert got == expected
 
     calls = frame.select(F.col("campaign_id").alias("call_id"), F.col("client_id").cast("string").alias("hubspot_company_id"),
@@ -103,8 +103,41 @@ def test_hot_client(spark, rows):
 
 def test_rerun_and_shuffled_input_give_the_same_rows(spark):
     i = Inputs(spark, SF)
-    straight = {tuple(r) for r in features.newest_campaigns(i.campaigns).collect()}
-    shuffled = {tuple(r) for r in features.newest_campaigns(i.campaigns.repartition(13, F.rand(7))).collect()}
+    straight = {tuple(r) for r in features.newest_campaigns(i.campaigns, AS_OF).collect()}
+    shuffled = {tuple(r) for r in features.newest_campaigns(i.campaigns.repartition(13, F.rand(7)), AS_OF).collect()}
     assert {r[:2] for r in straight} == {r[:2] for r in shuffled}
     scored = alerts.evaluate_alerts(i.alert_base, rules.SCRIPT_ALERTS, AS_OF)
     assert scored.count() == scored.select("client_id", "alert_id").distinct().count()
+
+
+def test_last_known_values_need_no_sort(spark):
+    history = Inputs(spark, SF).history
+    stored = spark.createDataFrame(history.limit(5).collect(), history.schema)
+    assert "SortAggregate" not in plan_of(reporting.last_known_values(stored))
+
+
+def test_as_of_reaches_the_scan(spark, tmp_path):
+    Inputs(spark, SF).campaigns.write.parquet(str(tmp_path / "campaigns"))
+    stored = spark.read.parquet(str(tmp_path / "campaigns"))
+    for df in (features.last_campaign(stored, AS_OF), features.newest_campaigns(stored, AS_OF)):
+        assert re.search(r"PushedFilters: \[[^\]]*LessThan\(sent_at", plan_of(df))
+
+
+def test_tied_rows_give_one_result(spark, rows):
+    """Equal keys and times: the same row wins however the input is ordered."""
+    activity = rows([("a", datetime(2026, 1, 1), n, n * 2) for n in (5, 2, 3, 6, 4)],
+                    "id string, created_at timestamp_ntz, total_active_flows bigint, total_customers bigint")
+    owners = rows([("1", "Ana", None, "b@x"), ("1", "Bea", None, "a@x"), ("1", None, None, "0@x")],
+                  "id string, firstname string, lastname string, email string")
+    scores = rows([("a", date(2026, 1, 1), p, t, "red", 0.5) for p in (30, 60) for t in (3, 1, 2)],
+                  "client_id string, calculated_at date, period_days int, total_score int, health_status string, campaign_roi double")
+    clients = rows([("a",)], "client_id string")
+    for seed in range(4):
+        def mixed(df):
+            return df.repartition(5, F.rand(seed))
+        assert dimensions.latest_activity(mixed(activity)).first()["total_active_flows"] == 2
+        assert dimensions.owner_directory(mixed(owners)).first()["owner_name"] == "Ana"
+        assert alerts.latest_snapshot(mixed(scores), 60).first()["total_score"] == 1
+        assert alerts.latest_snapshot(mixed(scores), None).first()["period_days"] == 60
+        assert reporting.client_360(clients, mixed(scores)).first()["period_days"] == 30
+        assert reporting.client_360(clients, mixed(scores), period_days=None).first()["period_days"] == 60

@@ -1,6 +1,7 @@
 """The batch runs over a folder of tables, run twice."""
 
 import json
+import os
 from datetime import date
 
 import pytest
@@ -8,6 +9,9 @@ from pyspark.sql import functions as F
 
 from clientpulse.plans.lake import Lake
 from clientpulse.plans.runs import backfill_run, crm_run, daily_run, replay_run, warehouse_run
+from clientpulse.session import shared_dir
+from clientpulse.sources import writers
+from clientpulse.sources.schemas import CSM_ACTIVITY, HEALTH_SCORE, conformed
 from pulsechecks.inputs import AS_OF, CURRENT, PREVIOUS, Inputs
 from tests.conftest import SF, as_set
 
@@ -34,6 +38,10 @@ def test_daily_then_backfill(lake):
     again = daily_run(lake, AS_OF, CURRENT, PREVIOUS)
     assert {k: v.count() for k, v in again.items()} == counts
     assert counts["fct_health_score"] == counts["dim_clients"] > 100 and counts["fct_alerts"] > 0
+    today = again["fct_health_score"].where(F.col("calculated_at") == F.lit(AS_OF))
+    assert today.where("campaigns_in_period > 0").count() > 0 and today.where("campaigns_in_period IS NULL").count() == 0
+    low = again["fct_alerts"].where("alert_id = 'low_base_coverage'").count()
+    assert 0 < low < counts["dim_clients"] and today.where("coverage_pct IS NOT NULL").count() > 0
 
     window = (date(2001, 1, 1), date(2001, 6, 30))
     filled = backfill_run(lake, *window)
@@ -56,9 +64,9 @@ def test_daily_then_backfill(lake):
 def test_warehouse_run(lake):
     out = warehouse_run(lake, AS_OF, "corp.example", (date(1999, 1, 1), 31))
     clients = out["dim_clients"].count()
-    assert clients == 150 and out["fct_health_score"].count() == clients and out["fct_upsell_flags"].count() == clients
+    assert clients == 150 and out["fct_health_score"].count() == 4 * clients and out["fct_upsell_flags"].count() == clients
     assert out["fct_alerts"].where("alert_id = 'score_red'").count() == out["fct_health_score"].where(
-        "health_status = 'red'").count()
+        "health_status = 'red' AND period_days = 30").count()
     assert out["fct_revenue_retention_monthly"].count() == 31
     assert out["fct_csm_activity_weekly"].count() > 0 and out["fct_coverage_monthly"].count() > 0
 
@@ -86,6 +94,14 @@ def test_crm_run(spark, tmp_path):
     assert as_set(out["calls"], "call_id", "hubspot_company_id", "csm_owner", "duration_minutes") == {("C1", "H1", "Ana", 1)}
     assert as_set(out["nps"], "response_id", "nps_category") == {("nps-N1", "promoter")}
     assert "deals" not in out
+    # Pages without objects leave the table as it is, and make none.
+    for kind in ("companies", "deals"):
+        folder = tmp_path / f"empty-{kind}"
+        folder.mkdir()
+        (folder / "1.json").write_text(json.dumps({"results": []}), encoding="utf-8")
+        landed[kind] = str(folder)
+    again = crm_run(lake, {k: landed[k] for k in ("companies", "deals")}, client_id_property="pid")
+    assert again["companies"].count() == 2 and "deals" not in again
 
 
 def test_replay_run(spark, tmp_path):
@@ -124,3 +140,36 @@ def test_replay_run(spark, tmp_path):
     assert as_set(out["campaigns"], "campaign_id", "campaign_type") == {("1-sms", "sms"), ("1-email", "email")}
     assert out["fct_revenue_retention_monthly"].first()["grr"] == 0.0
     assert out["fct_csm_activity_weekly"].first()["unique_clients_contacted"] == 2
+
+
+def test_replay_then_daily_then_backfill_lose_nothing(lake, spark, tmp_path):
+    """All runs write one layout: what one run stored is there after the next."""
+    root = Lake(spark, str(tmp_path / "lake"))
+    for name in ("companies", "client_config", "campaigns", "automations", "chat", "messages_monthly", "calls", "deals"):
+        spark.read.parquet(lake.path(name)).write.parquet(root.path(name))
+    scores = [("1", date(2001, 5, 31), 30, 7, "red"), ("2", date(2001, 7, 20), 30, 9, "red")]
+    slim = spark.createDataFrame(scores, "client_id string, calculated_at date, period_days int, total_score int, health_status string")
+    full = slim.select(F.col("client_id").cast("bigint").alias("client_id"), *conformed(slim, HEALTH_SCORE)[1:])
+    root.overwrite(full, "fct_health_score")
+    weeks = [("ana", date(1999, 1, 4), 3)]
+    root.overwrite(spark.createDataFrame(weeks, "csm_owner string, week_start date, calls_total bigint").select(
+        *conformed(spark.createDataFrame(weeks, "csm_owner string, week_start date, calls_total bigint"), CSM_ACTIVITY)),
+        "fct_csm_activity_weekly")
+    daily = daily_run(root, AS_OF, CURRENT, PREVIOUS)
+    clients = daily["dim_clients"].count()
+    history = daily["fct_health_score"]
+    assert history.count() == clients + 1  # today's snapshot replaced, the older one kept
+    filled = backfill_run(root, date(2001, 4, 1), date(2001, 6, 30))
+    kept = filled["fct_health_score"]
+    assert kept.where("calculated_at = '2001-05-31' AND client_id = 1").select("total_score").first()[0] == 7
+    assert kept.count() == 4 * clients
+    assert filled["fct_csm_activity_weekly"].where("csm_owner = 'ana'").count() == 1
+    staged = [p for p in os.listdir(shared_dir(spark).removeprefix("file:")) if p.startswith("stage-")]
+    assert staged == []
+
+
+def test_partitions_are_few_files(spark, tmp_path):
+    rows = spark.range(0, 6000, 1, 8).select(F.date_add(F.lit(date(2001, 1, 1)), (F.col("id") % 6).cast("int")).alias(
+        "calculated_at"), "id")
+    writers.replace_snapshot(rows, str(tmp_path / "t"))
+    assert len(spark.read.parquet(str(tmp_path / "t")).inputFiles()) == 6

@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from clientpulse.operators import backfill, features, rules, scoring
+from clientpulse.operators import alerts, backfill, features, rules, scoring
 from tests.conftest import as_dict, as_set
 
 AS_OF = date(2026, 4, 8)
@@ -150,7 +150,7 @@ def test_newest_three_ties_costs_and_undated(rows):
     data = [("1", "a", datetime(2026, 3, 1), 100.0, 10.0), ("2", "a", sent, 30.0, 10.0), ("3", "a", sent, 50.0, 0.0),
             ("4", "a", sent, 90.0, 30.0), ("5", "a", sent, 9.0, 1.0), ("6", "a", None, 1.0, 1.0),
             ("7", "b", sent, 5.0, 0.0)]
-    got = {r["client_id"]: r for r in features.newest_campaigns(rows(data, CAMPAIGN)).collect()}
+    got = {r["client_id"]: r for r in features.newest_campaigns(rows(data, CAMPAIGN), None).collect()}
     assert got["a"]["roi_mean"] == pytest.approx((3 + 0 + 3) / 3)
     assert got["a"]["roi_pooled"] == pytest.approx(170 / 40)
     assert got["a"]["last_campaign_at"] == sent
@@ -248,8 +248,41 @@ def test_pandas_profile_scores_before_rounding(rows):
     assert got[("pandas_v1", "b")] == (0.01, 10.0, 5) and got[("sql_v1", "b")][1:] == (10.0, 5)
 
 
-def test_backfill_forgets_very_old_campaigns(rows):
+def test_scores_do_not_see_campaigns_after_the_day(rows):
+    sent = [("1", "a", datetime(2026, 4, 1, 9), 10.0, 1.0), ("2", "a", datetime(2026, 4, 8, 23), 4.0, 1.0),
+            ("3", "a", datetime(2026, 4, 9), 100.0, 1.0), ("4", "b", datetime(2026, 4, 9, 1), 1.0, 1.0)]
+    frame, day = rows(sent, CAMPAIGN), date(2026, 4, 8)
+    assert as_set(features.last_campaign(frame, day), "client_id", "days_since_last_campaign") == {("a", 0)}
+    assert as_set(features.last_campaign(frame, day, bounded=False), "client_id", "days_since_last_campaign") == {
+        ("a", -1), ("b", -1)}
+    assert as_set(features.roi_pooled_last(frame, day), "client_id", "campaign_roi") == {("a", 7.0)}
+    results = frame.select("client_id", "campaign_id", F.col("sent_at").alias("whatsapp_campaign_sent_at"),
+                           F.col("revenue_attributed").alias("campaign_roi"))
+    assert as_set(features.roi_values_last(results, day), "client_id", "campaign_roi") == {("a", 7.0)}
+
+
+def test_score_rows_per_window(rows):
+    sent = [("1", "a", datetime(2026, 4, 5), 10.0, 1.0), ("2", "a", datetime(2026, 3, 1), 2.0, 1.0)]
+    day = date(2026, 4, 8)
+    feats = rows([("a", 0.5), ("b", 0.5)], "client_id string, campaign_roi double")
+    windows = features.roi_by_period(rows(sent, CAMPAIGN), day)
+    got = features.with_periods(feats, windows)
+    assert as_set(got.where("client_id = 'a'"), "period_days", "campaign_roi", "campaigns_in_period") == {
+        (7, 10.0, 1), (30, 10.0, 1), (60, 6.0, 2), (90, 6.0, 2)}
+    assert as_set(got.where("client_id = 'b'"), "campaign_roi", "campaigns_in_period") == {(0.0, 0)}
+    own = features.with_periods(feats, windows, (30,), own_roi=True)
+    assert as_set(own, "client_id", "campaign_roi", "campaigns_in_period") == {("a", 0.5, 1), ("b", 0.5, 0)}
+
+
+def test_backfill_keeps_very_old_campaigns(rows):
     dim, _, automations, messages, chat = month_end_inputs(rows)
     campaigns = rows([("1", "a", datetime(2023, 1, 1), 1.0, 1.0), ("2", "b", datetime(2023, 6, 1), 1.0, 1.0)], CAMPAIGN)
     got = backfill.backfill_scores(dim, campaigns, automations, chat, messages, dim, date(2025, 11, 1), date(2025, 11, 30))
-    assert as_set(got, "client_id", "days_since_last_campaign") == {("a", None), ("b", 913)}
+    assert as_set(got, "client_id", "days_since_last_campaign") == {("a", 1064), ("b", 913)}
+    silent = [r for r in rules.WAREHOUSE_ALERTS if r.id == "no_campaign_14d"]
+    base = got.withColumns({c: F.lit(None).cast("string") for c in ("company_name", "csm_owner")})
+    assert as_set(alerts.evaluate_alerts(base, silent, date(2025, 11, 30)), "client_id", "alert_metric") == {
+        ("a", "1064"), ("b", "913")}
+    literal = backfill.monthly_features(dim, campaigns, automations, messages, date(2025, 11, 1), date(2025, 11, 30),
+                                        unknown_from=999)
+    assert as_set(literal, "client_id", "days_since_last_campaign") == {("a", None), ("b", 913)}
