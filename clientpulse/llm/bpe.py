@@ -348,7 +348,7 @@ def encode(docs: DataFrame, path: str, image: bytes, text: str = "text", keep: l
         table, special, source, lexicon = shared.value
         encoder = Encoder(table, special, source, Lexicon(lexicon))
         for batch in batches:
-            for low, texts in _pieces_of(batch.column(0).field(at)):
+            for low, texts in runs_of_texts(batch.column(0).field(at)):
                 whole = batch.column(0).slice(low, len(texts))
                 if len(texts) == 1:
                     found = [np.concatenate([np.array(encoder.encode([p])[0], np.int32) for p in parts_of(texts[0])])]
@@ -362,7 +362,7 @@ def encode(docs: DataFrame, path: str, image: bytes, text: str = "text", keep: l
     return packed.mapInArrow(run, shape)
 
 
-def _pieces_of(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+def runs_of_texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of successive rows that are small enough together; a very long text comes alone."""
     low, texts, chars = 0, [], 0
     for k, value in enumerate(column):

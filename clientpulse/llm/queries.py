@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientpulse.llm import (
-    bpe, chat_digest, chat_format, host_rules, main_text, mixing, permutation_index, ranker, simhash,
+    bpe, chat_digest, chat_format, host_rules, main_text, mixing, permutation_index, ranker, simhash, token_counts, url_filters,
 )
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,13 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_unigram_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of unigram tokens of every document."""
+    vocabulary = token_counts.zipf_vocabulary(tokenizer_path("piece_bpe_32k.model"))
+    found = token_counts.counted(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, keep=["doc_id"])
+    return found.select("row.doc_id", "n_tokens")
+
+
 def op3_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base measures of every document, and whether it and its host pass."""
     found = host_rules.apply_rules(table(spark, sf_dir, "documents"))
@@ -67,6 +74,13 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_temporal_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's capture against the list entries of its day."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    found = url_filters.evaluated(url_filters.derived_captures(pages), url_filters.derived_entries(pages))
+    return found.select("row.*", "active_entries", "entry", "blocked")
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every formatted conversation, and of one whose texts are control strings."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -81,6 +95,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op3_host_quality_rules, op4_html_main_text, op5_pairwise_quality, op6_permutation_neighbours, op7_bpe_codec, op9_chat_formatting, op10_source_mixing)
+    f.__name__: f for f in (
+        op1_simhash_near_dedup, op2_unigram_token_counts, op3_host_quality_rules, op4_html_main_text,
+        op5_pairwise_quality, op6_permutation_neighbours, op7_bpe_codec, op8_temporal_url_filters,
+        op9_chat_formatting, op10_source_mixing)
 }
-ORACLES: dict[str, str] = {"op3_host_quality_rules": host_rules.ORACLE, "op10_source_mixing": mixing.oracle()}
+ORACLES: dict[str, str] = {"op3_host_quality_rules": host_rules.ORACLE, "op8_temporal_url_filters": url_filters.oracle(),
+                           "op10_source_mixing": mixing.oracle()}
