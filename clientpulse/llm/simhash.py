@@ -313,6 +313,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 .select("fp", F.coalesce("component", "fp").alias("component"),
                         F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component_id"))
                         .alias("component_id")))
+    # As a table, so that Spark sees two plain shuffles and can split the partition of a fingerprint with many rows.
+    of_print = stored(of_print, "simhash-groups")
     return prints.join(of_print, "fp").select("doc_id", "text_hash", "fp", "component", "component_id")
 
 
