@@ -77,8 +77,9 @@ def evaluated(captures: DataFrame, entries: DataFrame, url: str = "url", fetched
     verdict = active.groupBy("of_url", "of_day").agg(
         F.count(F.lit(1)).alias("active_entries"),
         F.min(F.struct(rank.alias("rank"), (-F.length("pattern")).alias("size"), "kind", "pattern")).alias("first"))
-    verdict = verdict.select(F.col("of_url").alias("v_url"), F.col("of_day").alias("v_day"), "active_entries",
-                             F.concat_ws(":", "first.kind", "first.pattern").alias("entry"))
+    # As a table, so that Spark sees two plain shuffles and can split the partition of a capture with many rows.
+    verdict = stored(verdict.select(F.col("of_url").alias("v_url"), F.col("of_day").alias("v_day"), "active_entries",
+                             F.concat_ws(":", "first.kind", "first.pattern").alias("entry")), "url-verdicts")
     same = (F.col("of_url") == F.col("v_url")) & (F.col("of_day") == F.col("v_day"))
     return packed.join(verdict, same, "left").select(
         "row", F.coalesce("active_entries", F.lit(0).cast("long")).alias("active_entries"), "entry",
