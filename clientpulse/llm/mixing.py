@@ -3,7 +3,8 @@
 Documents are summed into cells (source, language, topic). Iterative proportional fitting scales the cells' token
 weights until the shares of every source, language and topic are the wanted ones. A document's chance to be sampled is
 its cell's weight over its tokens, scaled so that no chance is above one: in expectation the sample has the wanted
-shares of tokens on all three sides.
+shares of tokens on all three sides. Where that would keep less than a stated share of all tokens, because some cell is
+too small for its part, such cells are kept whole and the others are raked to hold the rest of that share.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ LANG_SHARES = {"en": 0.55, "de": 0.17, "fr": 0.15, "es": 0.13}
 TOPIC_SHARES = {"prose": 0.9}
 #: ... and a number is a power of the tokens: 1 keeps the shares as they are, 0 makes all categories equal.
 SOURCE_POWER = 0.5
+#: Share of all tokens that the expected sample holds at least.
+BUDGET = 0.2
 MAX_ROUNDS, TOLERANCE = 40, 1e-9
 SEED = "mix-1"
 
@@ -36,7 +39,7 @@ def topic_of(text: Column) -> Column:
 
 
 def targets(cells: DataFrame, side: str, wanted: dict[str, float] | float) -> DataFrame:
-    """(side, target): the tokens each category of one side should hold, adding up to the tokens there are.
+    """(category, target, held): the tokens each category of one side should hold, adding up to the tokens there are.
 
     Shares of named categories that do not occur are left out, and the rest is scaled up to one.
     """
@@ -55,7 +58,7 @@ def targets(cells: DataFrame, side: str, wanted: dict[str, float] | float) -> Da
                                .otherwise(0.0))
     both = sums.agg(F.sum("tokens").alias("tokens"), F.sum("share").alias("share")).first()
     scale = float(both["tokens"] or 0) / both["share"] if both["share"] else 0.0
-    return sums.select(F.col(side).alias("category"), (F.col("share") * scale).alias("target"))
+    return sums.select(F.col(side).alias("category"), (F.col("share") * scale).alias("target"), F.col("tokens").alias("held"))
 
 
 def fitted(cells: DataFrame, wanted: dict[str, dict[str, float] | float], max_rounds: int = MAX_ROUNDS,
@@ -84,7 +87,7 @@ def fitted(cells: DataFrame, wanted: dict[str, dict[str, float] | float], max_ro
 def _scaled(cells: DataFrame, aim: DataFrame, side: str) -> DataFrame:
     """Cells scaled to one side's targets; ``off`` keeps the largest relative error met so far this round."""
     sums = cells.groupBy(side).agg(F.sum("weight").alias("held")).withColumnRenamed(side, "category")
-    factor = (sums.join(aim, sums["category"].eqNullSafe(aim["category"]))
+    factor = (sums.join(aim.drop("held"), sums["category"].eqNullSafe(aim["category"]))
               .select(sums["category"], F.when(F.col("held") > 0, F.col("target") / F.col("held")).otherwise(0.0).alias("factor")))
     both = cells.join(factor, F.col(side).eqNullSafe(F.col("category")))
     error = F.abs(F.col("factor") - 1)
@@ -92,6 +95,65 @@ def _scaled(cells: DataFrame, aim: DataFrame, side: str) -> DataFrame:
     return both.withColumn("weight", F.col("weight") * F.col("factor")).withColumn("off", off).drop("category", "factor")
 
 
+def budgeted(cells: DataFrame, wanted: dict[str, dict[str, float] | float], budget: float = BUDGET,
+             max_rounds: int = MAX_ROUNDS, tolerance: float = 1e-6) -> DataFrame:
+    """``fitted`` cells with ``weight``, now at most ``tokens``: ``budget`` of all tokens, raked to the wanted marginals.
+
+    A category too small for its part is aimed at whole, and the others of its side share the rest. The weights before
+    the cap are raked, so a cell is whole only where its factors ask for it; cells that are not whole make up for those
+    that are. Rounds end as in ``fitted``, or when one changes the error by less than a thousandth: marginals that cannot
+    be met together then miss what ``shortfall`` tells.
+    """
+    aims = {side: _within(stored(targets(cells, side, wanted[side]), f"mix-target-{side}"), budget) for side in SIDES}
+    now = stored(cells.withColumn("weight", F.col("weight") * F.lit(budget)), "mix-round")
+    last = None
+    for _ in range(max_rounds):
+        step = now
+        for side in SIDES:
+            step = _scaled_whole(step, aims[side], side)
+        after = stored(step, "mix-round")
+        off = after.agg(F.max("off").alias("off")).first()["off"]
+        drop(now)
+        now = after
+        if off is None or off <= tolerance or last is not None and abs(off - last) <= 1e-3 * last:
+            break
+        last = off
+    return now.withColumn("weight", F.least("weight", F.col("tokens").cast("double"))).drop("off")
+
+
+def _within(aim: DataFrame, budget: float) -> DataFrame:
+    """(category, target): the targets scaled to ``budget`` of all tokens, none above the tokens its category has."""
+    rate = budget
+    while True:
+        full = F.col("target") * F.lit(rate) >= F.col("held")
+        got = aim.agg(F.sum("held").alias("all"), F.sum(F.when(full, F.col("held")).otherwise(0)).alias("full"),
+                      F.sum(F.when(full, 0.0).otherwise(F.col("target"))).alias("free")).first()
+        left = budget * float(got["all"] or 0) - float(got["full"] or 0)
+        # Each new rate is larger than the last, until no further category is full.
+        if not got["free"] or left / got["free"] <= rate * (1 + 1e-12):
+            break
+        rate = left / got["free"]
+    return stored(aim.select("category", F.least(F.col("target") * F.lit(rate), F.col("held").cast("double"))
+                             .alias("target")), "mix-aim")
+
+
+def _scaled_whole(cells: DataFrame, aim: DataFrame, side: str) -> DataFrame:
+    """Cells scaled to one side's targets, where a cell holds no more than its tokens; ``off`` as in ``_scaled``."""
+    whole = F.col("weight") >= F.col("tokens")
+    sums = (cells.groupBy(side).agg(F.sum(F.when(whole, F.col("tokens")).otherwise(0)).cast("double").alias("whole"),
+                                    F.sum(F.when(whole, 0.0).otherwise(F.col("weight"))).alias("free"))
+            .withColumnRenamed(side, "category"))
+    held = F.col("whole") + F.col("free")
+    grown = F.when(F.col("free") > 0, (F.col("target") - F.col("whole")) / F.col("free")).otherwise(1.0)
+    factor = (sums.join(aim, sums["category"].eqNullSafe(aim["category"]))
+              .select(sums["category"], F.when(held <= 0, 0.0).when(held >= F.col("target"), F.col("target") / held)
+                      .otherwise(grown).alias("factor"),
+                      F.when(F.col("target") > 0, F.abs(held / F.col("target") - 1)).otherwise(0.0).alias("error")))
+    both = cells.join(factor, F.col(side).eqNullSafe(F.col("category")))
+    off = F.greatest(F.col("off"), F.col("error")) if side != SIDES[0] else F.col("error")
+    return both.withColumn("weight", F.col("weight") * F.col("factor")).withColumn("off", off).drop("category", "factor", "error")
+
+
 def uniform(doc_id: Column, seed: str = SEED) -> Column:
     """A number in [0, 1) from a hash of the id, the same on every run."""
     hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
@@ -100,10 +162,11 @@ def uniform(doc_id: Column, seed: str = SEED) -> Column:
 
 def chances(docs: DataFrame, wanted: dict[str, dict[str, float] | float] | None = None, doc_id: str = "doc_id",
             text: str = "text", source: str = "source", lang: str = "lang", seed: str = SEED,
-            whole_rows: bool = False) -> DataFrame:
+            whole_rows: bool = False, budget: float = BUDGET) -> DataFrame:
     """Per row of ``docs``: doc_id, source, lang, topic, tokens, its ``chance`` and whether it is ``sampled``.
 
-    With ``whole_rows`` the struct ``row`` holds the input row. Null sources and languages are categories of their
+    The rate is the largest at which no chance is above one; if that keeps less than ``budget`` of all tokens, the
+    chances are those of ``budgeted``. With ``whole_rows`` the struct ``row`` holds the input row. Null sources and languages are categories of their
     own; a null text is a text without tokens; a cell without tokens has chance 0. Repeated rows of one id are sampled
     together, rows without id all alike. An empty table gives no rows. Column names in ``docs`` may be anything.
     """
@@ -112,10 +175,12 @@ def chances(docs: DataFrame, wanted: dict[str, dict[str, float] | float] | None
                        topic_of(F.col(text)).alias("topic"), tokens_of(F.col(text)).alias("tokens"),
                        *([F.struct("*").alias("row")] if whole_rows else []))
     cells = stored(slim.groupBy(*SIDES).agg(F.sum("tokens").alias("tokens")), "mix-cells")
-    ratio = fitted(cells, wanted).select(*[F.col(s).alias(f"of_{s}") for s in SIDES], F.when(
-        F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0).alias("ratio"))
-    ratio = stored(ratio, "mix-ratios")
+    weighted = fitted(cells, wanted)
+    ratio = _ratios(weighted)
+    # The weights add up to the tokens there are, so the expected sample holds 1 / most of them.
     most = ratio.agg(F.max("ratio").alias("most")).first()["most"]
+    if most and 1 / most < budget:
+        ratio, most = _ratios(budgeted(weighted, wanted, budget)), 1.0
     of_cell = F.lit(True)
     for side in SIDES:
         of_cell = of_cell & F.col(side).eqNullSafe(F.col(f"of_{side}"))
@@ -125,6 +190,29 @@ def chances(docs: DataFrame, wanted: dict[str, dict[str, float] | float] | None
             .select("doc_id", *SIDES, "tokens", "chance", "sampled", *(["row"] if whole_rows else [])))
 
 
+def _ratios(cells: DataFrame) -> DataFrame:
+    """Per cell its weight over its tokens; 0 without tokens."""
+    return stored(cells.select(*[F.col(s).alias(f"of_{s}") for s in SIDES], F.when(
+        F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0).alias("ratio")), "mix-ratios")
+
+
+def shortfall(found: DataFrame, wanted: dict[str, dict[str, float] | float] | None = None) -> DataFrame:
+    """(side, category, tokens, wanted, expected) of rows of ``chances``: the shares asked for and those to expect."""
+    wanted = wanted or {"source": SOURCE_POWER, "lang": LANG_SHARES, "topic": TOPIC_SHARES}
+    cells = stored(found.groupBy(*SIDES).agg(F.sum("tokens").alias("tokens"), F.sum(F.col("tokens") * F.col("chance"))
+                                             .alias("kept")), "mix-kept")
+    total = cells.agg(F.sum("tokens").alias("tokens"), F.sum("kept").alias("kept")).first()
+    parts = []
+    for side in SIDES:
+        kept = cells.groupBy(F.col(side).alias("of")).agg(F.sum("kept").alias("kept"))
+        aim = targets(cells, side, wanted[side])
+        parts.append(aim.join(kept, F.col("of").eqNullSafe(F.col("category"))).select(
+            F.lit(side).alias("side"), "category", F.col("held").alias("tokens"),
+            (F.col("target") / F.lit(float(total["tokens"] or 1) or 1.0)).alias("wanted"),
+            (F.col("kept") / F.lit(total["kept"] or 1.0)).alias("expected")))
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
 def sampled_documents(docs: DataFrame, **how) -> DataFrame:
     """The sampled rows of ``docs``, columns as they came."""
     return chances(docs, whole_rows=True, **how).where("sampled").select("row.*")

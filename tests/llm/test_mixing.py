@@ -76,3 +76,19 @@ def test_empty_table_and_tables_without_tokens(spark):
 def test_no_python_in_the_plan(spark):
     plan = mixing.chances(frame(spark, corpus(50)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_a_tiny_source_does_not_empty_the_sample(spark):
+    docs = frame(spark, [*corpus(4000), (4000, "word", "en", None)])
+    found = mixing.chances(docs, WANTED)
+    rows = found.collect()
+    total = sum(r.tokens for r in rows)
+    assert sum(r.tokens * r.chance for r in rows) / total == pytest.approx(mixing.BUDGET, rel=1e-3)
+    assert all(0 <= r.chance <= 1 for r in rows)
+    # The whole tiny source is kept, and the others keep the wanted proportions.
+    assert [r.chance for r in rows if r.source is None] == [pytest.approx(1)]
+    shares = {(r.side, r.category): (r.wanted, r.expected) for r in mixing.shortfall(found, WANTED).collect()}
+    assert shares["source", None][1] < shares["source", None][0]
+    assert shares["lang", "en"][1] == pytest.approx(0.5, abs=1e-3) and shares["topic", "legal"][1] == pytest.approx(0.4, abs=1e-3)
+    ratio = [shares["source", f"s{k}"][1] / shares["source", f"s{k}"][0] for k in range(5)]
+    assert max(ratio) - min(ratio) < 1e-3
