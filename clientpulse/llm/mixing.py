@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from clientpulse.llm.stored import drop, stored
 
 SIDES = ("source", "lang", "topic")
-#: Wanted shares: named categories get these, the others share what is left in proportion to their tokens ...
+#: Wanted shares: named categories get these, the others share what is left in proportion to their tokens (if nothing is
+#: left, unnamed and null ones keep the share they have, and the named ones share the rest; 0 leaves a category out) ...
 LANG_SHARES = {"en": 0.55, "de": 0.17, "fr": 0.15, "es": 0.13}
 TOPIC_SHARES = {"prose": 0.9}
 #: ... and a number is a power of the tokens: 1 keeps the shares as they are, 0 makes all categories equal.
@@ -50,8 +51,11 @@ def targets(cells: DataFrame, side: str, wanted: dict[str, float] | float) -> Da
             share = F.when(F.col(side) == name, F.lit(float(value))).otherwise(share)
         sums = sums.withColumn("share", share)
         rest = sums.agg(F.sum(F.when(F.col("share").isNull(), F.col("tokens"))).alias("unnamed"),
-                        F.sum("share").alias("named")).first()
-        left, unnamed = max(0.0, 1 - sum(wanted.values())), float(rest["unnamed"] or 0)
+                        F.sum(F.when(F.col("tokens") > 0, F.col("share"))).alias("named"), F.sum("tokens").alias("tokens")).first()
+        left, unnamed, named = max(0.0, 1 - sum(wanted.values())), float(rest["unnamed"] or 0), float(rest["named"] or 0)
+        if left < 1e-9 and unnamed:
+            # Nothing is left for them: they keep the share they have, and the named ones have the rest.
+            left = named * unnamed / (float(rest["tokens"]) - unnamed) if named else 1.0
         sums = sums.withColumn("share", F.coalesce("share", F.col("tokens") * (left / unnamed if unnamed else 0.0)))
     else:
         sums = sums.withColumn("share", F.when(F.col("tokens") > 0, F.pow(F.col("tokens").cast("double"), F.lit(float(wanted))))

@@ -92,3 +92,12 @@ def test_a_tiny_source_does_not_empty_the_sample(spark):
     assert shares["lang", "en"][1] == pytest.approx(0.5, abs=1e-3) and shares["topic", "legal"][1] == pytest.approx(0.4, abs=1e-3)
     ratio = [shares["source", f"s{k}"][1] / shares["source", f"s{k}"][0] for k in range(5)]
     assert max(ratio) - min(ratio) < 1e-3
+
+
+def test_unnamed_and_null_languages_keep_their_share(spark):
+    rows = [(k, "word " * 10, ("en", "de", "fr", "es", "it", None)[k % 6], f"s{k // 6 % 2}") for k in range(600)]
+    found = mixing.chances(frame(spark, rows))
+    assert all(r.chance > 0 for r in found.collect())
+    shares = {r.category: (r.wanted, r.expected) for r in mixing.shortfall(found).collect() if r.side == "lang"}
+    for name, share in {"it": 1 / 6, None: 1 / 6, **{k: v * 4 / 6 for k, v in mixing.LANG_SHARES.items()}}.items():
+        assert shares[name] == (pytest.approx(share, abs=1e-6), pytest.approx(share, abs=1e-6))
