@@ -5,6 +5,9 @@ inverted files, one per pivot, with the pivot's place in the order. A query adds
 pivots, how far the places are apart (the footrule distance; a vector missing from a file counts as if the pivot came
 after its whole order), and the closest candidates are reranked by their exact inner product.
 
+Equal vectors are one entry of the index, with the smallest ids that can be among the neighbours of a query: a group of
+copies, however large, neither crowds others out of the candidates nor loses the ids that are asked for.
+
 Vectors are dealt to shards by a hash, so a shard is of bounded size and no vector or group of vectors makes one large;
 queries pass through each shard as a stream, and the best of all shards are merged. What does not fit is never held:
 a task keeps one shard and one batch of queries.
@@ -32,6 +35,8 @@ LOOKED_UP = 32
 RERANKED = 0.2
 LEAST_RERANKED = 400
 SHARD_ROWS = 10_000
+#: Parts of a group of equal vectors whose smallest ids are found apart first.
+PARTS = 16
 NEIGHBOURS = 20
 EVERY = 20
 
@@ -54,6 +59,19 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
+def entries(rows: DataFrame, wanted: int) -> DataFrame:
+    """(entry, vec_id, v): of each group of equal vectors the ``wanted`` + 1 smallest ids, ``entry`` being the smallest.
+
+    That is one more than a query asks for, as it leaves itself out. Ids are ranked in parts of a group before the
+    group, and Spark limits ranks on both sides of the shuffle, so no task reads a whole group.
+    """
+    part = F.pmod(F.xxhash64("vec_id"), F.lit(PARTS))
+    few = rows.withColumn("part", part).withColumn("place", F.row_number().over(Window.partitionBy("v", "part").orderBy("vec_id")))
+    few = few.where(F.col("place") <= wanted + 1).drop("part", "place")
+    few = few.withColumn("place", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("place") <= wanted + 1)
+    return few.select(F.min("vec_id").over(Window.partitionBy("v")).alias("entry"), "vec_id", "v")
+
+
 def choose_pivots(vectors: DataFrame, n: int = PIVOTS) -> np.ndarray:
     """Up to ``n`` different vectors by the order of a hash of their id; that sample is all the index is fitted on."""
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(4 * n).select("v").collect()
@@ -67,10 +85,16 @@ def orders(vectors: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
 
 
 class Shard:
-    """The inverted files of some vectors."""
+    """The inverted files of some vectors, in ascending order of their ids; ``copies`` are (id, further id) of equal ones."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, posted: int = POSTED):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, posted: int = POSTED,
+                 copies: tuple[np.ndarray, np.ndarray] | None = None):
         self.ids, self.vectors, self._pivots = ids, vectors, pivots
+        at, further = (np.searchsorted(ids, copies[0]), copies[1]) if copies else (np.zeros(0, int), np.zeros(0, int))
+        at = np.concatenate([np.arange(len(ids)), at])
+        self._members = np.concatenate([ids, further])[np.argsort(at, kind="stable")]
+        self._counts = np.bincount(at, minlength=len(ids))
+        self._firsts = np.cumsum(self._counts) - self._counts
         self._posted = min(posted, len(pivots))
         order = orders(vectors, pivots, self._posted)
         by_pivot = np.argsort(order.reshape(-1), kind="stable")
@@ -85,6 +109,12 @@ class Shard:
             total[self._rows[post]] += np.abs(self._places[post] - place) - (self._posted - place)
         return total
 
+    def _with_copies(self, rows: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some entries, each with its entry's score."""
+        counts = self._counts[rows]
+        within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        return self._members[np.repeat(self._firsts[rows], counts) + within], np.repeat(score, counts)
+
     def search(self, query_ids: np.ndarray, queries: np.ndarray, wanted: int, looked_up: int,
                share: float, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query id, vec_id, score) of the best ``wanted`` candidates of each query, itself left out."""
@@ -92,12 +122,18 @@ class Shard:
         enough = min(len(self.ids), max(ceil(share * len(self.ids)), least, wanted) + 1)
         look = orders(queries, self._pivots, min(looked_up, self._posted))
         for query_id, query, order in zip(query_ids.tolist(), queries, look):
-            near = self.footrule(order)
+            # The place in the shard decides among equal distances: ids ascend.
+            near = self.footrule(order) * len(self.ids) + np.arange(len(self.ids))
             rows = np.argpartition(near, enough - 1)[:enough] if enough < len(near) else np.arange(len(near))
-            rows = rows[self.ids[rows] != query_id]
             score = (self.vectors[rows] * query).sum(axis=1)
-            best = np.lexsort((self.ids[rows], -score))[:wanted]
-            found.append((np.full(len(best), query_id), self.ids[rows[best]], score[best]))
+            if len(rows) > wanted + 1:  # each entry has a member at least, and one may be the query
+                best = score >= np.partition(score, len(score) - wanted - 1)[len(score) - wanted - 1]
+                rows, score = rows[best], score[best]
+            ids, score = self._with_copies(rows, score)
+            other = ids != query_id
+            ids, score = ids[other], score[other]
+            best = np.lexsort((ids, -score))[:wanted]
+            found.append((np.full(len(best), query_id), ids[best], score[best]))
         return tuple(np.concatenate(part) for part in zip(*found))
 
 
@@ -111,34 +147,44 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
     table none. Other columns are not read.
     """
     rows = stored(usable(vectors, vec_id, embedding), "permutation-vectors")
-    n = rows.count()
-    chosen = choose_pivots(rows, pivots)
+    kept = stored(entries(rows, wanted), "permutation-entries")
+    heads = kept.where(F.col("vec_id") == F.col("entry"))
+    n = heads.count()
+    chosen = choose_pivots(heads, pivots)
     shards = max(1, ceil(n / shard_rows))
-    home = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"),
-                       "vec_id", "v")
+    first = F.col("vec_id") == F.col("entry")
+    # Of equal vectors only the entry's own row carries the vector.
+    home = kept.select(F.pmod(F.xxhash64("entry"), F.lit(shards)).cast("int").alias("shard"),
+                       F.when(first, 0).otherwise(1).alias("kind"), "entry", "vec_id",
+                       F.when(first, F.col("v")).otherwise(F.array().cast("array<double>")).alias("v"))
     visits = rows.where(F.col("vec_id") % every == 0).select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), "vec_id", "v")
-    dealt = home.unionAll(visits).repartition("shard").sortWithinPartitions("shard", "kind", "vec_id")
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(2).alias("kind"),
+        F.col("vec_id").alias("entry"), "vec_id", "v")
+    dealt = home.unionAll(visits).repartition("shard").sortWithinPartitions("shard", "kind", "entry", "vec_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, shard = None, [], None
+        at, held, copies, shard = None, [], [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            number, kind, ids = (batch.column(k).to_numpy() for k in range(3))
-            matrix = np.asarray(batch.column(3).flatten().to_numpy()).reshape(batch.num_rows, -1)
+            number, kind, entry, ids = (batch.column(k).to_numpy() for k in range(4))
             cuts = np.flatnonzero((number[1:] != number[:-1]) | (kind[1:] != kind[:-1])) + 1
             for low, high in zip([0, *cuts], [*cuts, len(ids)]):
                 if number[low] != at:
-                    at, held, shard = number[low], [], None
+                    at, held, copies, shard = number[low], [], [], None
+                if kind[low] == 1:
+                    copies.append((entry[low:high], ids[low:high]))
+                    continue
+                matrix = np.asarray(batch.column(4).slice(low, high - low).flatten().to_numpy()).reshape(high - low, -1)
                 if kind[low] == 0:
-                    held.append((ids[low:high], matrix[low:high]))
+                    held.append((ids[low:high], matrix))
                     continue
                 if shard is None and held:
-                    shard = Shard(*(np.concatenate(part) for part in zip(*held)), chosen, posted)
-                    held = []
+                    more = tuple(np.concatenate(part) for part in zip(*copies)) if copies else None
+                    shard = Shard(*(np.concatenate(part) for part in zip(*held)), chosen, posted, more)
+                    held, copies = [], []
                 if shard is not None:
-                    found = shard.search(ids[low:high], matrix[low:high], wanted, looked_up, share, least)
+                    found = shard.search(ids[low:high], matrix, wanted, looked_up, share, least)
                     yield pa.RecordBatch.from_arrays([pa.array(f) for f in found], names=["query_id", "vec_id", "score"])
 
     found = dealt.mapInArrow(run, "query_id long, vec_id long, score double")

@@ -55,6 +55,22 @@ def test_reranking_everything_is_exact(spark):
     assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
 
 
+def test_a_third_of_equal_vectors_keeps_its_smallest_ids(spark):
+    chance = np.random.default_rng(2)
+    n = 9000
+    vectors = chance.normal(size=(n, 8)).astype(np.float32)
+    copies = chance.choice(n, n // 3, replace=False)
+    vectors[copies] = vectors[copies[0]]
+    ids = np.arange(n)
+    got = lists(index.nearest(frame(spark, [(int(i), v.tolist()) for i, v in zip(ids, vectors)])))
+    want = brute(ids, vectors.astype(float))
+    equal = set(copies.tolist())
+    assert got.keys() == want.keys()
+    assert all([i for i, _ in got[q]] == [i for i, _ in want[q]] for q in want if want[q][0][0] in equal and q in equal)
+    recall = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]
+    assert np.mean(recall) >= 0.9
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [0.5, 0.5]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (40, [nan, 1.0]), (4, [inf, 1.0]),
