@@ -2,8 +2,8 @@
 
 The standard library's parser turns a page into lines: one per block element, with its text, the tags met in it, and
 the elements it lies in. Each line's text length over its tags is smoothed by a Gaussian along the page and parted
-into two clusters at a threshold. The content region is the innermost element that holds most of the text of the high
-cluster; its lines, short ones too, are the article, except those in parts that are never article text (menus,
+into two clusters at a threshold. The content region is all outermost article and main elements, if they hold nearly all
+text of the high cluster, or else the innermost element that does; its lines, short ones too, are the article, except those in parts that are never article text (menus,
 footers, sidebars, forms, notices, adverts, comments of readers, code).
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 SIGMA = 1.0
 #: Share of the high cluster's text that the content region must hold.
-REGION_SHARE = 0.5
+REGION_SHARE = 0.9
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr br img".split())
@@ -42,14 +42,24 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 SIBLING_HOLDERS = frozenset("ul ol menu dl table tbody thead tfoot select".split())
 ARTICLE = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that a name never takes out.
+NEVER_MARKED = frozenset(("html", "body"))
 _WORD = re.compile(r"[a-z]+")
+#: Elements that are parts of a text, never the region.
+PARAGRAPHS = HEADINGS | frozenset("p ul ol dl li blockquote td th tr dt dd pre figure figcaption".split())
 _CUT_MARKUP = re.compile(r"<[a-zA-Z/!?]")
 
 
+def _mark(name: str) -> str | None:
+    """What one class, id or role says: outside, or nothing."""
+    return "outside" if set(_WORD.findall(name)) & OUTSIDE_WORDS else None
+
+
 class _Element:
-    __slots__ = ("tag", "parent", "outside", "silent", "depth")
+    __slots__ = ("tag", "parent", "outside", "silent", "depth", "marked", "doubtful")
 
-    def __init__(self, tag: str, parent: _Element | None, outside: bool, silent: bool):
+    def __init__(self, tag: str, parent: _Element | None, outside: bool, silent: bool, marks: set[str] | frozenset[str] = frozenset()):
+        self.marked, self.doubtful = "outside" in marks, "doubtful" in marks
         self.tag, self.parent, self.outside, self.silent = tag, parent, outside, silent
         self.depth = parent.depth + 1 if parent else 0
 
@@ -66,6 +76,7 @@ class _Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.at = _Element("", None, False, False)
+        self.articles: list[_Element] = []
         self.lines: list[tuple[str, int, _Element]] = []
         self._text: list[str] = []
         self._tags = 0
@@ -91,11 +102,13 @@ class _Lines(HTMLParser):
             self._close(SIBLINGS[tag], SIBLING_HOLDERS)
         if tag in VOID:
             return
-        named = set(_WORD.findall(" ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower()))
+        names = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower().split()
         inside = any(e.tag in ARTICLE for e in self.at.within())
-        outside = (self.at.outside or tag in OUTSIDE or (tag not in ("html", "body") and bool(named & OUTSIDE_WORDS))
-                   or (tag == "header" and not inside))
-        self.at = _Element(tag, self.at, outside, self.at.silent or tag in SILENT)
+        outside = self.at.outside or tag in OUTSIDE or (tag == "header" and not inside)
+        marks = set() if tag in NEVER_MARKED else {mark for mark in map(_mark, names) if mark}
+        self.at = _Element(tag, self.at, outside, self.at.silent or tag in SILENT, marks)
+        if tag in ARTICLE:
+            self.articles.append(self.at)
         self._tags = 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -156,35 +169,40 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     parser = _Lines()
     parser.feed(html)
     parser.close()
-    lines = [line for line in parser.lines if not line[2].outside]
-    if not lines:
+    free = np.array([not (e.outside or any(a.marked for a in e.within())) for _, _, e in parser.lines], bool)
+    if not free.any():
         return ""
     size = np.array([len(text) for text, _, _ in parser.lines], float)
     ratio = size / np.maximum([tags for _, tags, _ in parser.lines], 1)
-    free = np.array([not element.outside for _, _, element in parser.lines])
     # Logarithms: one very long line must not be the only member of the high cluster.
     high = high_cluster(smoothed(np.log1p(ratio), sigma)) & free
     if not high.any():
         high = free
-    region = _region([(len(text), element) for (text, _, element), h in zip(parser.lines, high) if h])
-    chosen = [text for text, _, element in lines if any(e is region for e in element.within())]
+    content = [(len(text), element) for (text, _, element), h in zip(parser.lines, high) if h]
+    regions = _regions(content)
+    held = {e for _, element in content for e in element.within()}
+    chosen = [text for (text, _, element), f in zip(parser.lines, free) if f and any(e in regions for e in element.within())
+              and not any(e.doubtful and e not in held for e in element.within())]
     return "\n\n".join(chosen)
 
 
-def _region(content: list[tuple[int, _Element]]) -> _Element:
-    """The innermost element with the asked share of the content's text; one for articles, if any holds content."""
+def _regions(content: list[tuple[int, _Element]]) -> set[_Element]:
+    """The outermost articles, if they hold the asked share of the content's text; else the innermost element that does.
+
+    An element that holds nothing but its own lines is a paragraph, whatever its tag, and no region.
+    """
     held: dict[_Element, int] = {}
+    own: dict[_Element, int] = {}
     for size, element in content:
+        own[element] = own.get(element, 0) + size
         for e in element.within():
             held[e] = held.get(e, 0) + size
-    articles = [e for e in held if e.tag in ARTICLE]
-    if articles:
-        inner = [e for e in articles if not any(a is not e and a in held and e in a.within() for a in articles)]
-        return max(inner, key=lambda e: held[e])
     total = sum(size for size, _ in content)
-    blocks = {element for _, element in content if element.tag in HEADINGS or element.tag == "p"}
-    wide = [e for e in held if held[e] >= REGION_SHARE * total and e not in blocks]
-    return max(wide, key=lambda e: e.depth)
+    articles = {e for e in held if e.tag in ARTICLE and not any(a is not e and a.tag in ARTICLE for a in e.within())}
+    if articles and sum(held[e] for e in articles) >= REGION_SHARE * total:
+        return articles
+    wide = [e for e in held if held[e] >= REGION_SHARE * total and e.tag not in PARAGRAPHS and (own.get(e) != held[e] or not e.parent)]
+    return {max(wide, key=lambda e: e.depth)}
 
 
 def extracted(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:

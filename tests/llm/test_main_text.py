@@ -61,3 +61,15 @@ def test_table(spark):
     rows = main_text.extracted(pages).collect()
     assert sorted((r.row.page_id or 0, r.row.text or "", r.text) for r in rows) == [(0, "", ""), (1, "x", "a"), (1, "x", "a")]
     assert main_text.extracted(spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.mark.parametrize("page,texts", [
+    ("<main><p>{0}</p><article><p>{1}</p></article><article><p>{2}</p></article></main>", "012"),
+    ("<article><p>{0}</p></article><article><p>{1}</p></article>", "01"),
+    ("<article><p>{0}</p><article><p>{1}</p></article><p>{2}</p></article>", "012"),
+    ("<body><section><p>{0}</p><p>{1}</p><p>{2}</p></section><section><p>{3}</p><p>{4}</p></section></body>", "01234"),
+    ("<body><div><p>{1}</p><ul><li>{0}{0}{0}</ul></div></body>", "1000"), ("<div><p>{1}</p><div>{0}{0}{0}</div></div>", "1000")])
+def test_all_regions_stay(page, texts):
+    parts = [f"Part {k}. {LONG * 2}" for k in range(5)]
+    got = main_text.main_text(page.format(*parts))
+    assert re.findall(r"Part (\d)", got) == list(texts)
