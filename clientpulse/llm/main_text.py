@@ -42,8 +42,13 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 SIBLING_HOLDERS = frozenset("ul ol menu dl table tbody thead tfoot select".split())
 ARTICLE = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Words of them that are headings of articles too: the ratio of the lines decides.
+DOUBTFUL_WORDS = frozenset("discussion search related share sharing social notice notices alert navigation subscription".split())
+#: Words beside them in a name that do not change what it marks.
+FILLERS = frozenset("""area bar block box button buttons container content form group holder inner item items left link links list
+outer panel posts right section site top bottom main primary secondary unit wrap wrapper""".split())
 #: Elements that a name never takes out.
-NEVER_MARKED = frozenset(("html", "body"))
+NEVER_MARKED = frozenset(("html", "body")) | ARTICLE | HEADINGS
 _WORD = re.compile(r"[a-z]+")
 #: Elements that are parts of a text, never the region.
 PARAGRAPHS = HEADINGS | frozenset("p ul ol dl li blockquote td th tr dt dd pre figure figcaption".split())
@@ -51,8 +56,12 @@ _CUT_MARKUP = re.compile(r"<[a-zA-Z/!?]")
 
 
 def _mark(name: str) -> str | None:
-    """What one class, id or role says: outside, or nothing."""
-    return "outside" if set(_WORD.findall(name)) & OUTSIDE_WORDS else None
+    """What one class, id or role says: outside, doubtful, or nothing. All its words must say so or be fillers."""
+    words = set(_WORD.findall(name))
+    known = words & OUTSIDE_WORDS
+    if not known or words - known - FILLERS:
+        return None
+    return "doubtful" if known <= DOUBTFUL_WORDS else "outside"
 
 
 class _Element:
@@ -169,6 +178,7 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     parser = _Lines()
     parser.feed(html)
     parser.close()
+    _unmark_holders(parser.articles, parser.lines)
     free = np.array([not (e.outside or any(a.marked for a in e.within())) for _, _, e in parser.lines], bool)
     if not free.any():
         return ""
@@ -186,6 +196,16 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     return "\n\n".join(chosen)
 
 
+def _unmark_holders(articles: list[_Element], lines: list[tuple[str, int, _Element]]) -> None:
+    """Where every article with text lies in parts that names take out, the names of the holders do not count."""
+    filled = {e for _, _, element in lines for e in element.within()}
+    articles = [a for a in articles if a in filled and not a.outside]
+    if all(any(e.marked for e in a.within()) for a in articles):
+        for article in articles:
+            for e in article.within():
+                e.marked = False
+
+
 def _regions(content: list[tuple[int, _Element]]) -> set[_Element]:
     """The outermost articles, if they hold the asked share of the content's text; else the innermost element that does.
 

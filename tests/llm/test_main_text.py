@@ -73,3 +73,18 @@ def test_all_regions_stay(page, texts):
     parts = [f"Part {k}. {LONG * 2}" for k in range(5)]
     got = main_text.main_text(page.format(*parts))
     assert re.findall(r"Part (\d)", got) == list(texts)
+
+
+@pytest.mark.parametrize("page", [
+    '<article class="post no-sidebar"><p>{}</p></article>', '<div class="content has-comments"><p>{}</p></div>',
+    '<main class="with-sidebar"><p>{}</p></main>', '<article><section id="discussion"><p>{}</p></section></article>',
+    '<article><h2 id="search-methods">{}</h2></article>', '<div><section id="related-work"><p>{}</p></section></div>',
+    '<div class="sidebar"><main><p>{}</p></main></div>'])
+def test_names_that_hold_a_word_stay(page):
+    assert main_text.main_text(page.format(LONG)) == LONG.strip()
+
+
+def test_names_that_mark_other_parts_go():
+    page = f"""<main><p>{LONG}</p></main><div class="comment-list"><article class="comment"><p>{LONG * 3}</p></article></div>
+    <div class="sidebar-right"><p>{LONG * 3}</p></div><div id="nav-bar">{LONG}</div>"""
+    assert main_text.main_text(page) == LONG.strip()
