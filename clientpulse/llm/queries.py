@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clientpulse.llm import (
     bpe, chat_digest, chat_format, host_rules, main_text, mixing, permutation_index, ranker, simhash, token_counts, url_filters,
+    whitening,
 )
 
 
@@ -94,11 +95,19 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.chances(table(spark, sf_dir, "documents")).withColumn("chance", F.round("chance", 6))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 16 whitened components of every vector, and its exact deviation."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    found = whitening.by_component(whitening.applied(vectors, model, keep=["vec_id"]), model)
+    return found.select("row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_unigram_token_counts, op3_host_quality_rules, op4_html_main_text,
         op5_pairwise_quality, op6_permutation_neighbours, op7_bpe_codec, op8_temporal_url_filters,
-        op9_chat_formatting, op10_source_mixing)
+        op9_chat_formatting, op10_source_mixing, op12_embedding_whitening)
 }
 ORACLES: dict[str, str] = {"op3_host_quality_rules": host_rules.ORACLE, "op8_temporal_url_filters": url_filters.oracle(),
                            "op10_source_mixing": mixing.oracle()}
