@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientpulse.llm import (
-    bpe, chat_digest, chat_format, host_rules, main_text, mixing, permutation_index, ranker, simhash, token_counts, url_filters,
-    whitening,
+    bpe, chat_digest, chat_format, host_rules, lexical_search, main_text, mixing, permutation_index, ranker, simhash,
+    token_counts, url_filters, whitening,
 )
 
 
@@ -95,6 +95,12 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.chances(table(spark, sf_dir, "documents")).withColumn("chance", F.round("chance", 6))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    found = lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("item", "item_id")
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 16 whitened components of every vector, and its exact deviation."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -107,7 +113,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_unigram_token_counts, op3_host_quality_rules, op4_html_main_text,
         op5_pairwise_quality, op6_permutation_neighbours, op7_bpe_codec, op8_temporal_url_filters,
-        op9_chat_formatting, op10_source_mixing, op12_embedding_whitening)
+        op9_chat_formatting, op10_source_mixing, op11_lexical_search,
+        op12_embedding_whitening)
 }
 ORACLES: dict[str, str] = {"op3_host_quality_rules": host_rules.ORACLE, "op8_temporal_url_filters": url_filters.oracle(),
-                           "op10_source_mixing": mixing.oracle()}
+                           "op10_source_mixing": mixing.oracle(), "op11_lexical_search": lexical_search.ORACLE}
