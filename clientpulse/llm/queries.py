@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientpulse.llm import (
-    bpe, chat_digest, chat_format, host_rules, lexical_search, main_text, mixing, permutation_index, ranker, simhash,
-    token_counts, url_filters, whitening,
+    bpe, chat_digest, chat_format, host_rules, jaccard_join, lexical_search, main_text, mixing, permutation_index, ranker,
+    simhash, token_counts, url_filters, whitening,
 )
 
 
@@ -109,12 +109,17 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
 
 
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document by links of 0.9 and more over 3-word shingles."""
+    return jaccard_join.similar_documents(table(spark, sf_dir, "documents"), rule=jaccard_join.Similarity(90, 100, 3))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_unigram_token_counts, op3_host_quality_rules, op4_html_main_text,
         op5_pairwise_quality, op6_permutation_neighbours, op7_bpe_codec, op8_temporal_url_filters,
         op9_chat_formatting, op10_source_mixing, op11_lexical_search,
-        op12_embedding_whitening)
+        op12_embedding_whitening, op13_ngram_jaccard_join)
 }
 ORACLES: dict[str, str] = {"op3_host_quality_rules": host_rules.ORACLE, "op8_temporal_url_filters": url_filters.oracle(),
                            "op10_source_mixing": mixing.oracle(), "op11_lexical_search": lexical_search.ORACLE}
