@@ -1,15 +1,17 @@
 """Mixing sources to target weights: proportional fitting to marginals, then sampling, in DataFrame expressions only.
 
-Documents are summed into cells (source, language, topic). Iterative proportional fitting scales the cells' token
-weights until the shares of every source, language and topic are the wanted ones. A document's chance to be sampled is
-its cell's weight over its tokens, scaled so that no chance is above one: in expectation the sample has the wanted
-shares of tokens on all three sides. Where that would keep less than a stated share of all tokens, because some cell is
-too small for its part, such cells are kept whole and the others are raked to hold the rest of that share.
+Documents are summed into cells (source, language, topic). The sample is to hold a stated share of all tokens, its
+budget. Iterative proportional fitting scales the cells' token weights until the shares of every source, language and
+topic are the wanted ones of that budget; a cell holds no more than its tokens, so one that is too small for its part is
+kept whole and the others make up for it. A document's chance to be sampled is its cell's weight over its tokens: in
+expectation the sample has the budget's tokens and the wanted shares on all three sides, as far as the cells have them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import warnings
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientpulse.llm.stored import drop, stored
@@ -21,9 +23,16 @@ LANG_SHARES = {"en": 0.55, "de": 0.17, "fr": 0.15, "es": 0.13}
 TOPIC_SHARES = {"prose": 0.9}
 #: ... and a number is a power of the tokens: 1 keeps the shares as they are, 0 makes all categories equal.
 SOURCE_POWER = 0.5
-#: Share of all tokens that the expected sample holds at least.
-BUDGET = 0.2
-MAX_ROUNDS, TOLERANCE = 40, 1e-9
+#: Share of all tokens that the expected sample holds.
+BUDGET = 0.4
+#: Rounds at most, and the relative error of every marginal at which they end before.
+ROUNDS, TOLERANCE = 48, 1e-10
+#: An error left after the rounds that is worth a warning.
+MISSED = 1e-3
+#: Cells up to which a side is summed by a window within one small task, several rounds in one job; more cells are summed
+#: by a combining aggregate and a join, one round in a job. Both give the same weights.
+FEW_CELLS = 100_000
+ROUNDS_A_JOB = 8
 SEED = "mix-1"
 
 
@@ -65,64 +74,37 @@ def targets(cells: DataFrame, side: str, wanted: dict[str, float] | float) -> Da
     return sums.select(F.col(side).alias("category"), (F.col("share") * scale).alias("target"), F.col("tokens").alias("held"))
 
 
-def fitted(cells: DataFrame, wanted: dict[str, dict[str, float] | float], max_rounds: int = MAX_ROUNDS,
+def fitted(cells: DataFrame, wanted: dict[str, dict[str, float] | float], budget: float = BUDGET, rounds: int = ROUNDS,
            tolerance: float = TOLERANCE) -> DataFrame:
-    """``cells`` (source, lang, topic, tokens) with ``weight``: the cells raked to the wanted marginals.
-
-    A round scales the cells to each side in turn. Rounds end when no marginal is off by more than ``tolerance`` of
-    its target, or after ``max_rounds`` (marginals that contradict each other). Sums combine before the shuffle, so a
-    side with few categories is no bottleneck; each round is a table in the shared folder.
-    """
-    aims = {side: stored(targets(cells, side, wanted[side]), f"mix-target-{side}") for side in SIDES}
-    now = stored(cells.withColumn("weight", F.col("tokens").cast("double")), "mix-round")
-    for _ in range(max_rounds):
-        step = now
-        for side in SIDES:
-            step = _scaled(step, aims[side], side)
-        after = stored(step, "mix-round")
-        off = after.agg(F.max("off").alias("off")).first()["off"]
-        drop(now)
-        now = after
-        if off is None or off <= tolerance:
-            break
-    return now.drop("off")
-
-
-def _scaled(cells: DataFrame, aim: DataFrame, side: str) -> DataFrame:
-    """Cells scaled to one side's targets; ``off`` keeps the largest relative error met so far this round."""
-    sums = cells.groupBy(side).agg(F.sum("weight").alias("held")).withColumnRenamed(side, "category")
-    factor = (sums.join(aim.drop("held"), sums["category"].eqNullSafe(aim["category"]))
-              .select(sums["category"], F.when(F.col("held") > 0, F.col("target") / F.col("held")).otherwise(0.0).alias("factor")))
-    both = cells.join(factor, F.col(side).eqNullSafe(F.col("category")))
-    error = F.abs(F.col("factor") - 1)
-    off = F.greatest(F.col("off"), error) if side != SIDES[0] else error
-    return both.withColumn("weight", F.col("weight") * F.col("factor")).withColumn("off", off).drop("category", "factor")
+    """``cells`` (source, lang, topic, tokens) with ``weight``, at most ``tokens``: ``budget`` of all tokens, raked.
 
-
-def budgeted(cells: DataFrame, wanted: dict[str, dict[str, float] | float], budget: float = BUDGET,
-             max_rounds: int = MAX_ROUNDS, tolerance: float = 1e-6) -> DataFrame:
-    """``fitted`` cells with ``weight``, now at most ``tokens``: ``budget`` of all tokens, raked to the wanted marginals.
-
-    A category too small for its part is aimed at whole, and the others of its side share the rest. The weights before
-    the cap are raked, so a cell is whole only where its factors ask for it; cells that are not whole make up for those
-    that are. Rounds end as in ``fitted``, or when one changes the error by less than a thousandth: marginals that cannot
-    be met together then miss what ``shortfall`` tells.
+    A category too small for its part is aimed at whole, and the others of its side share the rest. A round scales the
+    cells to each side in turn. Marginals that cannot be met together (they contradict each other, or need more than
+    the cells hold) leave an error after the last round: that is a warning here, and ``shortfall`` tells where.
     """
-    aims = {side: _within(stored(targets(cells, side, wanted[side]), f"mix-target-{side}"), budget) for side in SIDES}
-    now = stored(cells.withColumn("weight", F.col("weight") * F.lit(budget)), "mix-round")
-    last = None
-    for _ in range(max_rounds):
-        step = now
-        for side in SIDES:
-            step = _scaled_whole(step, aims[side], side)
+    now = cells.withColumn("weight", F.col("tokens") * F.lit(budget))
+    aims = []
+    for side in SIDES:
+        aims.append(_within(stored(targets(cells, side, wanted[side]), f"mix-target-{side}"), budget))
+        now = now.join(aims[-1].withColumnRenamed("target", f"aim_{side}"), F.col(side).eqNullSafe(F.col("category"))).drop("category")
+    now = stored(now, "mix-round")
+    for aim in aims:
+        drop(aim)
+    few, done, off = now.count() <= FEW_CELLS, 0, None
+    while done < rounds and (off is None or off > tolerance):
+        step = now.coalesce(1) if few else now
+        many = min(ROUNDS_A_JOB if few else 1, rounds - done)
+        for _ in range(many):
+            step = step.withColumn("off", F.lit(0.0))
+            for side in SIDES:
+                step = _scaled(step, side, few)
         after = stored(step, "mix-round")
-        off = after.agg(F.max("off").alias("off")).first()["off"]
+        off = after.agg(F.max("off").alias("off")).first()["off"] or 0.0
         drop(now)
-        now = after
-        if off is None or off <= tolerance or last is not None and abs(off - last) <= 1e-3 * last:
-            break
-        last = off
-    return now.withColumn("weight", F.least("weight", F.col("tokens").cast("double"))).drop("off")
+        now, done = after, done + many
+    if off is not None and off > MISSED:
+        warnings.warn(f"the wanted shares cannot be met together: a marginal is off by {off:.1%} after {done} rounds", stacklevel=2)
+    return now.select(*SIDES, "tokens", F.least("weight", F.col("tokens").cast("double")).alias("weight"))
 
 
 def _within(aim: DataFrame, budget: float) -> DataFrame:
@@ -137,25 +119,28 @@ def _within(aim: DataFrame, budget: float) -> DataFrame:
         if not got["free"] or left / got["free"] <= rate * (1 + 1e-12):
             break
         rate = left / got["free"]
-    return stored(aim.select("category", F.least(F.col("target") * F.lit(rate), F.col("held").cast("double"))
+    kept = stored(aim.select("category", F.least(F.col("target") * F.lit(rate), F.col("held").cast("double"))
                              .alias("target")), "mix-aim")
-
-
-def _scaled_whole(cells: DataFrame, aim: DataFrame, side: str) -> DataFrame:
-    """Cells scaled to one side's targets, where a cell holds no more than its tokens; ``off`` as in ``_scaled``."""
-    whole = F.col("weight") >= F.col("tokens")
-    sums = (cells.groupBy(side).agg(F.sum(F.when(whole, F.col("tokens")).otherwise(0)).cast("double").alias("whole"),
-                                    F.sum(F.when(whole, 0.0).otherwise(F.col("weight"))).alias("free"))
-            .withColumnRenamed(side, "category"))
-    held = F.col("whole") + F.col("free")
-    grown = F.when(F.col("free") > 0, (F.col("target") - F.col("whole")) / F.col("free")).otherwise(1.0)
-    factor = (sums.join(aim, sums["category"].eqNullSafe(aim["category"]))
-              .select(sums["category"], F.when(held <= 0, 0.0).when(held >= F.col("target"), F.col("target") / held)
-                      .otherwise(grown).alias("factor"),
-                      F.when(F.col("target") > 0, F.abs(held / F.col("target") - 1)).otherwise(0.0).alias("error")))
-    both = cells.join(factor, F.col(side).eqNullSafe(F.col("category")))
-    off = F.greatest(F.col("off"), F.col("error")) if side != SIDES[0] else F.col("error")
-    return both.withColumn("weight", F.col("weight") * F.col("factor")).withColumn("off", off).drop("category", "factor", "error")
+    drop(aim)
+    return kept
+
+
+def _scaled(cells: DataFrame, side: str, few: bool) -> DataFrame:
+    """Cells scaled to one side's aims; ``off`` keeps the largest relative error met so far in this round."""
+    full = F.col("weight") >= F.col("tokens")
+    whole = F.sum(F.when(full, F.col("tokens")).otherwise(0).cast("double"))
+    free = F.sum(F.when(full, 0.0).otherwise(F.col("weight")))
+    if few:
+        of_side = Window.partitionBy(side)
+        summed = cells.withColumns({"whole": whole.over(of_side), "free": free.over(of_side)})
+    else:
+        sums = cells.groupBy(F.col(side).alias("category")).agg(whole.alias("whole"), free.alias("free"))
+        summed = cells.join(sums, F.col(side).eqNullSafe(F.col("category"))).drop("category")
+    held, aim = F.col("whole") + F.col("free"), F.col(f"aim_{side}")
+    factor = (F.when(held <= 0, 0.0).when(held >= aim, aim / held)
+              .when(F.col("free") > 0, (aim - F.col("whole")) / F.col("free")).otherwise(1.0))
+    error = F.when(aim > 0, F.abs(held / aim - 1)).otherwise(0.0)
+    return summed.withColumns({"weight": F.col("weight") * factor, "off": F.greatest("off", error)}).drop("whole", "free")
 
 
 def uniform(doc_id: Column, seed: str = SEED) -> Column:
@@ -169,28 +154,23 @@ def chances(docs: DataFrame, wanted: dict[str, dict[str, float] | float] | None
             whole_rows: bool = False, budget: float = BUDGET) -> DataFrame:
     """Per row of ``docs``: doc_id, source, lang, topic, tokens, its ``chance`` and whether it is ``sampled``.
 
-    The rate is the largest at which no chance is above one; if that keeps less than ``budget`` of all tokens, the
-    chances are those of ``budgeted``. With ``whole_rows`` the struct ``row`` holds the input row. Null sources and languages are categories of their
-    own; a null text is a text without tokens; a cell without tokens has chance 0. Repeated rows of one id are sampled
-    together, rows without id all alike. An empty table gives no rows. Column names in ``docs`` may be anything.
+    The chances are those of ``fitted``. With ``whole_rows`` the struct ``row`` holds the input row. Null sources and
+    languages are categories of their own; a null text is a text without tokens; a cell without tokens has chance 0.
+    Repeated rows of one id are sampled together, rows without id all alike. An empty table gives no rows. Column names
+    in ``docs`` may be anything.
     """
     wanted = wanted or {"source": SOURCE_POWER, "lang": LANG_SHARES, "topic": TOPIC_SHARES}
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(lang).alias("lang"),
                        topic_of(F.col(text)).alias("topic"), tokens_of(F.col(text)).alias("tokens"),
                        *([F.struct("*").alias("row")] if whole_rows else []))
     cells = stored(slim.groupBy(*SIDES).agg(F.sum("tokens").alias("tokens")), "mix-cells")
-    weighted = fitted(cells, wanted)
-    ratio = _ratios(weighted)
-    # The weights add up to the tokens there are, so the expected sample holds 1 / most of them.
-    most = ratio.agg(F.max("ratio").alias("most")).first()["most"]
-    if most and 1 / most < budget:
-        ratio, most = _ratios(budgeted(weighted, wanted, budget)), 1.0
+    ratio = _ratios(fitted(cells, wanted, budget))
+    drop(cells)
     of_cell = F.lit(True)
     for side in SIDES:
         of_cell = of_cell & F.col(side).eqNullSafe(F.col(f"of_{side}"))
-    both = slim.join(ratio, of_cell, "left")
-    chance = F.col("ratio") / F.lit(most) if most else F.lit(0.0)
-    return (both.withColumn("chance", chance).withColumn("sampled", uniform(F.col("doc_id"), seed) < F.col("chance"))
+    both = slim.join(ratio, of_cell, "left").withColumn("chance", F.col("ratio"))
+    return (both.withColumn("sampled", uniform(F.col("doc_id"), seed) < F.col("chance"))
             .select("doc_id", *SIDES, "tokens", "chance", "sampled", *(["row"] if whole_rows else [])))
 
 
@@ -222,7 +202,7 @@ def sampled_documents(docs: DataFrame, **how) -> DataFrame:
     return chances(docs, whole_rows=True, **how).where("sampled").select("row.*")
 
 
-def oracle(rounds: int = MAX_ROUNDS) -> str:
+def oracle(rounds: int = ROUNDS) -> str:
     """The SQL of the query over the documents table, its rounds written out."""
     shares = {"lang": LANG_SHARES, "topic": TOPIC_SHARES}
     sql = [r"""
@@ -236,28 +216,38 @@ docs AS (SELECT doc_id, source, lang, CASE WHEN contains(coalesce(text, ''), 'Li
     for side in SIDES:
         if side == "source":
             share = f"CASE WHEN sum(tokens) > 0 THEN pow(sum(tokens)::DOUBLE, {SOURCE_POWER}) ELSE 0.0 END"
-            sql.append(f"raw_{side} AS MATERIALIZED (SELECT {side} AS c, {share} AS share FROM cells GROUP BY {side})")
+            sql.append(f"raw_{side} AS MATERIALIZED (SELECT {side} AS c, {share} AS share, sum(tokens)::DOUBLE AS held "
+                       f"FROM cells GROUP BY {side})")
         else:
             named = "CASE " + " ".join(f"WHEN {side} = '{k}' THEN {v}::DOUBLE" for k, v in shares[side].items()) + " END"
             left = max(0.0, 1 - sum(shares[side].values()))
             sql.append(f"sum_{side} AS MATERIALIZED (SELECT {side} AS c, {named} AS named, sum(tokens)::DOUBLE AS tokens "
                        f"FROM cells GROUP BY {side})")
             sql.append(f"raw_{side} AS MATERIALIZED (SELECT c, coalesce(named, tokens * {left!r}::DOUBLE / (SELECT "
-                       f"sum(tokens) FROM sum_{side} WHERE named IS NULL)) AS share FROM sum_{side})")
-        sql.append(f"aim_{side} AS MATERIALIZED (SELECT c, share * (SELECT n FROM total) / (SELECT sum(share) FROM "
+                       f"sum(tokens) FROM sum_{side} WHERE named IS NULL)) AS share, tokens AS held FROM sum_{side})")
+        # The rate at which the targets fill the budget: categories are full in the order of held over target.
+        sql.append(f"goal_{side} AS MATERIALIZED (SELECT c, held, share * (SELECT n FROM total) / (SELECT sum(share) FROM "
                    f"raw_{side}) AS target FROM raw_{side})")
+        sql.append(f"""fill_{side} AS MATERIALIZED (SELECT held / target AS full_at, ({BUDGET} * (SELECT n FROM total)
+  - coalesce(sum(held) OVER (ORDER BY held / target, c ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(target) OVER (ORDER BY held / target, c ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate
+  FROM goal_{side} WHERE target > 0)""")
+        sql.append(f"""aim_{side} AS MATERIALIZED (SELECT c, CASE WHEN target > 0 THEN least(held, target * coalesce((SELECT rate
+  FROM fill_{side} WHERE rate <= full_at ORDER BY full_at LIMIT 1), 1e300)) ELSE 0.0 END AS aim FROM goal_{side})""")
     before = "w0"
-    sql.append("w0 AS MATERIALIZED (SELECT *, tokens::DOUBLE AS w FROM cells)")
+    sql.append(f"w0 AS MATERIALIZED (SELECT *, tokens * {BUDGET}::DOUBLE AS w FROM cells)")
     for k in range(rounds):
         for side in SIDES:
             now = f"w{k}_{side}"
-            sql.append(f"{now} AS MATERIALIZED (SELECT source, lang, topic, tokens, CASE WHEN sum(w) OVER p > 0 THEN "
-                       f"w * (target / sum(w) OVER p) ELSE 0.0 END AS w FROM {before} JOIN aim_{side} ON {side} IS NOT "
-                       f"DISTINCT FROM c WINDOW p AS (PARTITION BY {side}))")
+            sql.append(f"""{now} AS MATERIALIZED (SELECT source, lang, topic, tokens, w * CASE WHEN whole + free <= 0 THEN 0.0
+  WHEN whole + free >= aim THEN aim / (whole + free) WHEN free > 0 THEN (aim - whole) / free ELSE 1.0 END AS w
+  FROM (SELECT *, sum(CASE WHEN w >= tokens THEN tokens ELSE 0 END) OVER (PARTITION BY {side})::DOUBLE AS whole,
+    sum(CASE WHEN w >= tokens THEN 0.0 ELSE w END) OVER (PARTITION BY {side})::DOUBLE AS free FROM {before})
+  JOIN aim_{side} ON {side} IS NOT DISTINCT FROM c)""")
             before = now
-    sql.append(f"ratios AS MATERIALIZED (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN w / tokens ELSE 0.0 END "
-               f"AS ratio FROM {before})")
-    sql.append(f"""chosen AS (SELECT docs.*, ratio / (SELECT max(ratio) FROM ratios) AS chance,
+    sql.append(f"ratios AS MATERIALIZED (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN least(w, tokens) / tokens "
+               f"ELSE 0.0 END AS chance FROM {before})")
+    sql.append(f"""chosen AS (SELECT docs.*, chance,
   ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT / {16 ** 12}::DOUBLE AS u
   FROM docs JOIN ratios ON docs.source IS NOT DISTINCT FROM ratios.source AND docs.lang IS NOT DISTINCT FROM ratios.lang
   AND docs.topic = ratios.topic)""")

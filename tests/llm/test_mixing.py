@@ -36,7 +36,7 @@ def test_expected_shares_are_the_wanted_ones(spark):
     roots = {s: t ** 0.5 for s, t in tokens.items()}
     for s in roots:
         assert held["source"][s] / total == pytest.approx(roots[s] / sum(roots.values()), abs=1e-6)
-    assert max(r.chance for r in rows) == pytest.approx(1)
+    assert total == pytest.approx(mixing.BUDGET * sum(tokens.values()), rel=1e-6)
 
 
 def test_sample_follows_the_chances_and_repeats(spark):
@@ -52,8 +52,35 @@ def test_sample_follows_the_chances_and_repeats(spark):
 def test_marginals_that_contradict_each_other_end(spark):
     cells = spark.createDataFrame([("a", "en", "x", 10), ("b", "de", "x", 10)],
                                   "source string, lang string, topic string, tokens long")
-    found = mixing.fitted(cells, {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.1, "de": 0.9}, "topic": 1.0}, max_rounds=3)
-    assert {r.source: round(r.weight, 6) for r in found.collect()} == {"a": 2.0, "b": 18.0}
+    with pytest.warns(UserWarning, match="cannot be met together"):
+        found = mixing.fitted(cells, {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.1, "de": 0.9}, "topic": 1.0}, rounds=3)
+    assert {r.source: round(r.weight, 6) for r in found.collect()} == {"a": 0.8, "b": 7.2}
+
+
+def test_many_cells_give_the_same_weights(spark, monkeypatch):
+    docs = frame(spark, [*corpus(500), (500, "word", "en", None)])
+    cells = docs.select("source", "lang", mixing.topic_of(docs.text).alias("topic"), mixing.tokens_of(docs.text).alias("tokens"))
+    cells = cells.groupBy(*mixing.SIDES).agg({"tokens": "sum"}).withColumnRenamed("sum(tokens)", "tokens")
+
+    def weights():
+        return {(r.source, r.lang, r.topic): r.weight for r in mixing.fitted(cells, WANTED, rounds=4).collect()}
+    few = weights()
+    monkeypatch.setattr(mixing, "FEW_CELLS", 0)
+    many = weights()
+    assert few.keys() == many.keys() and max(abs(few[k] - many[k]) for k in few) < 1e-9
+
+
+def test_sql_knows_cells_that_are_kept_whole(spark, tmp_path):
+    import duckdb
+    documents = [(k, "word " * (1 + k % 9) + ("License" if k % 5 == 0 else "") + ("@" if k % 7 == 0 else ""),
+                  ("en", "en", "de", "fr", "es")[k % 5], f"s{min(k % 11, 4)}") for k in range(900)] + [(900, "word", "en", "tiny")]
+    docs = spark.createDataFrame(documents, "doc_id long, text string, lang string, source string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    base = duckdb.connect()
+    base.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    want = {r[0]: r[1:] for r in base.execute(f"SELECT doc_id, chance, sampled FROM ({mixing.oracle()})").fetchall()}
+    got = {r.doc_id: (round(r.chance, 6), r.sampled) for r in mixing.chances(docs).collect()}
+    assert got == want and got[900] == (1.0, True) and sum(c == 1 for c, _ in got.values()) < 800
 
 
 def test_odd_rows(spark):
@@ -85,7 +112,7 @@ def test_a_tiny_source_does_not_empty_the_sample(spark):
     total = sum(r.tokens for r in rows)
     assert sum(r.tokens * r.chance for r in rows) / total == pytest.approx(mixing.BUDGET, rel=1e-3)
     assert all(0 <= r.chance <= 1 for r in rows)
-    # The whole tiny source is kept, and the others keep the wanted proportions.
+    # The tiny source is kept whole, and the others keep the wanted proportions.
     assert [r.chance for r in rows if r.source is None] == [pytest.approx(1)]
     shares = {(r.side, r.category): (r.wanted, r.expected) for r in mixing.shortfall(found, WANTED).collect()}
     assert shares["source", None][1] < shares["source", None][0]
