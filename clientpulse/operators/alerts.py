@@ -18,7 +18,7 @@ SEVERITY_RANK_SQL_V1 = {"critical": 1, "high": 2, "medium": 3, "low": 4}
 ALERT_KEY = ("client_id", "alert_id", "alert_date")
 
 
-def _newest(history: DataFrame) -> list[Column]:
+def newest_score(history: DataFrame) -> list[Column]:
     """Newest day first, then the longest window, then every other column."""
     window = [F.col("period_days").desc_nulls_last()] if "period_days" in history.columns else []
     return total_order(history, ["client_id"], [F.col("calculated_at").desc_nulls_last(), *window])
@@ -31,13 +31,13 @@ def of_period(history: DataFrame, period_days: int | None) -> DataFrame:
 
 def latest_snapshot(history: DataFrame, period_days: int | None = 30) -> DataFrame:
     rows = of_period(history, period_days)
-    return latest_rows(rows, ["client_id"], _newest(rows))
+    return latest_rows(rows, ["client_id"], newest_score(rows))
 
 
 def previous_snapshot(history: DataFrame, period_days: int | None = 30) -> DataFrame:
     """The second newest row per client."""
     rows = of_period(history, period_days)
-    ranked = top_rows(rows, ["client_id"], _newest(rows), 2)
+    ranked = top_rows(rows, ["client_id"], newest_score(rows), 2)
     return ranked.where(F.col("rn") == 2).select(
         "client_id", F.col("health_status").alias("previous_status"), F.col("campaign_roi").alias("previous_roi"),
         F.col("calculated_at").alias("previous_at"))
@@ -49,8 +49,8 @@ def latest_with_previous(history: DataFrame, period_days: int | None = 30) -> Da
     The two newest rows are kept first; the step back then looks at two rows per client at most.
     """
     rows = of_period(history, period_days)
-    two = top_rows(rows, ["client_id"], _newest(rows), 2)
-    window = newest_first(["client_id"], _newest(rows))
+    two = top_rows(rows, ["client_id"], newest_score(rows), 2)
+    window = newest_first(["client_id"], newest_score(rows))
     paired = two.withColumns({"previous_status": F.lead("health_status").over(window),
                               "previous_roi": F.lead("campaign_roi").over(window),
                               "previous_at": F.lead("calculated_at").over(window)})

@@ -20,7 +20,7 @@ from clientpulse.functions import (
 PERIODS = (7, 30, 60, 90)
 
 
-def _newest(sent: str, tie: str | None) -> list[Column]:
+def newest_sent(sent: str, tie: str | None) -> list[Column]:
     order = [F.col(sent).desc_nulls_last()]
     return order + [F.col(tie).asc()] if tie else order
 
@@ -49,7 +49,7 @@ def newest_campaigns(campaigns: DataFrame, as_of: date | None, n: int = 3, key:
     """
     known = campaigns if as_of is None else campaigns.where(known_by("sent_at", as_of))
     newest = top_rows(known.select(key, tie, "sent_at", "revenue_attributed", "cost"), [key],
-                      _newest("sent_at", tie), n)
+                      newest_sent("sent_at", tie), n)
     cost = F.sum("cost")
     return newest.groupBy(key).agg(
         F.max("sent_at").alias("last_campaign_at"),
@@ -87,7 +87,7 @@ def roi_values_last(results: DataFrame, as_of: date, n: int = 3, key: str = "cli
                     tie: str = "campaign_id") -> DataFrame:
     """Mean of the newest ``n`` given ratios up to ``as_of`` beside the newest send time; undated rows do not count."""
     dated = results.where(known_by("whatsapp_campaign_sent_at", as_of))
-    newest = top_rows(dated, [key], _newest("whatsapp_campaign_sent_at", tie), n)
+    newest = top_rows(dated, [key], newest_sent("whatsapp_campaign_sent_at", tie), n)
     return newest.groupBy(key).agg(
         F.max("whatsapp_campaign_sent_at").alias("last_campaign_at"),
         F.avg("campaign_roi").alias("campaign_roi")).withColumn(

@@ -6,13 +6,13 @@ Each step reads the tables the step before wrote, so a lost executor costs the r
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientpulse.operators import activity, alerts, backfill, dimensions, features, revenue, rules, scoring, upsell
-from clientpulse.plans.lake import Lake
+from clientpulse.plans.lake import MONTH, Lake
 from clientpulse.sources import readers, writers
 from clientpulse.sources.schemas import ALERTS, HEALTH_SCORE, conformed
 
@@ -89,6 +89,30 @@ def replay_run(lake: Lake, exports: Mapping[str, Sequence[str]], as_of: date) ->
     return {"dim_clients": clients, **{name: lake.overwrite(df, name) for name, df in out.items()}}
 
 
+def last_scores(lake: Lake, as_of: date) -> DataFrame:
+    """The two newest score rows per client and window up to a day, and the state for the next run."""
+    state = lake.newest("fct_health_score")
+    state.record(lake.spark, as_of.isoformat())
+    return state.upto(lake.spark, as_of.isoformat())
+
+
+def newest_and_recent(lake: Lake, name: str, moment: str, as_of: date, days: int) -> tuple[DataFrame, DataFrame]:
+    """(rows that hold every client's newest ones up to ``as_of``, rows that hold those of the last ``days`` days).
+
+    A fact stored by month is read from the state of the months before and the months since; the state of the last
+    closed month is kept for the next run. Otherwise both are the whole table.
+    """
+    table, state = lake.read(name), lake.newest(name)
+    if state is None:
+        return table, table
+    month = as_of.strftime("%Y-%m")
+    closed = (as_of.replace(day=1) - timedelta(days=1)).strftime("%Y-%m")
+    state.record(lake.spark, closed)
+    oldest = (as_of - timedelta(days=days - 1)).replace(day=1) - timedelta(days=1)
+    recent = lake.between(name, MONTH, oldest.strftime("%Y-%m"), month)
+    return state.upto(lake.spark, month, within=features.known_by(moment, as_of), before=month), recent
+
+
 def daily_run(lake: Lake, as_of: date, current: str, previous: str, variant: str = "pandas_v1",
               period_days: int = 30, periods: Sequence[int] | None = None) -> dict[str, DataFrame]:
     """Dimension, today's scores and today's alerts from the raw tables.
@@ -97,18 +121,21 @@ def daily_run(lake: Lake, as_of: date, current: str, previous: str, variant: str
     companies_activity_summary if there is one; writes dim_clients, fct_health_score (one partition per day) and
     fct_alerts (one partition per day). One score row per client carries the ratio of the variant; with ``periods``
     there is one per analysis window, with the window's ratio. Alerts look at ``period_days``.
+
+    History is not read: previous scores come from the kept state and the days since, and the newest campaigns likewise
+    where campaigns are stored by month (``Lake.land_months``).
     """
     dim = lake.overwrite(dimensions.client_dimension(lake.read("companies"), lake.read("client_config"), as_of),
                          "dim_clients")
-    campaigns = lake.read("campaigns")
-    feats = features.local_features(dim, campaigns, lake.read("automations"), lake.read("chat"),
+    wanted = tuple(periods or (period_days,))
+    newest, campaigns = newest_and_recent(lake, "campaigns", "sent_at", as_of, max(wanted))
+    feats = features.local_features(dim, newest, lake.read("automations"), lake.read("chat"),
                                     lake.read("messages_monthly"), as_of, current, previous, variant,
                                     lake.read_or_none("companies_activity_summary"))
-    wanted = tuple(periods or (period_days,))
     feats = features.with_periods(feats, features.roi_by_period(campaigns, as_of, wanted), wanted, own_roi=periods is None)
     scored = scoring.health_score(feats, rules.PROFILES[variant], as_of, period_days)
     history = lake.replace_snapshot(scored, "fct_health_score", "calculated_at")
-    base = alerts.alert_base(history.where(F.col("calculated_at") <= F.lit(as_of)), dim, period_days)
+    base = alerts.alert_base(last_scores(lake, as_of), dim, period_days)
     fired = alerts.evaluate_alerts(base, rules.SCRIPT_ALERTS, as_of)
     rows = fired.select(*conformed(fired, ALERTS, keep_types=("client_id",)))
     stored = lake.append_unseen(rows, "fct_alerts")
@@ -147,8 +174,8 @@ def warehouse_run(lake: Lake, as_of: date, internal_domain: str, spine: tuple[da
     cashback = lake.read("cashback_configs")
     dim = lake.overwrite(dimensions.warehouse_client_dimension(lake.read("app_companies"), summary, crm, owners, as_of),
                          "service_dim_clients")
-    results = lake.read("whatsapp_campaign_results")
-    feats = features.warehouse_features(dim, summary, results, automations, lake.read("flow_execution_summary"), users,
+    newest, results = newest_and_recent(lake, "whatsapp_campaign_results", "whatsapp_campaign_sent_at", as_of, max(periods))
+    feats = features.warehouse_features(dim, summary, newest, automations, lake.read("flow_execution_summary"), users,
                                         cashback, as_of)
     feats = features.with_periods(feats, features.results_by_period(
         results.withColumnRenamed("company_id", "client_id"), as_of, periods), periods)

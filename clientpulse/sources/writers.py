@@ -39,6 +39,16 @@ def remove_snapshot(df: DataFrame, snapshot: date, snapshot_column: str = "calcu
     return df.where(~F.col(snapshot_column).eqNullSafe(F.lit(snapshot)))
 
 
+def _without(rows: DataFrame, known: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """The rows whose key is not among the known ones."""
+    slim = known.select(*[F.col(k).alias(f"known_{n}") for n, k in enumerate(keys)])
+    same = F.lit(True)
+    for n, key in enumerate(keys):
+        left, right = F.col(key), F.col(f"known_{n}")
+        same = same & (left.eqNullSafe(right) if null_safe else left == right)
+    return rows.join(slim, same, "left_anti")
+
+
 def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None) -> DataFrame:
     return latest_rows(df, keys, order) if order else df.dropDuplicates(list(keys))
 
@@ -54,16 +64,15 @@ def insert_or_ignore(existing: DataFrame, new: DataFrame, keys: Sequence[str],
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str],
-           order: Sequence[Column] | None = None) -> DataFrame:
-    """``existing`` with rows replaced by the new row of the same key."""
+           order: Sequence[Column] | None = None, null_safe: bool = False) -> DataFrame:
+    """``existing`` with rows replaced by the new row of the same key; ``null_safe`` makes NULL equal to NULL."""
     fresh = _one_per_key(new, keys, order)
-    kept = existing.join(fresh.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(fresh, allowMissingColumns=True)
+    return _without(existing, fresh, keys, null_safe).unionByName(fresh, allowMissingColumns=True)
 
 
-def unseen_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The new rows whose key does not occur in ``existing``."""
-    return new.join(existing.select(*keys), list(keys), "left_anti")
+def unseen_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """The new rows whose key does not occur in ``existing``; ``null_safe`` makes NULL equal to NULL."""
+    return _without(new, existing, keys, null_safe)
 
 
 def append_unseen(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
