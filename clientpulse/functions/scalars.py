@@ -158,9 +158,14 @@ def person_name(first: ColumnOrName, last: ColumnOrName, blank_as_null: bool = T
     return F.nullif(joined, F.lit("")) if blank_as_null else joined
 
 
+def trimmed(c: ColumnOrName) -> Column:
+    """Without surrounding white space of any kind, no-break spaces included."""
+    return F.regexp_replace(col_of(c), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+
+
 def slug(c: ColumnOrName) -> Column:
     """Lower case without surrounding white space of any kind."""
-    return F.regexp_replace(F.lower(col_of(c)), r"^\s+|\s+$", "")
+    return trimmed(F.lower(col_of(c)))
 
 
 def text_part(c: ColumnOrName, separator: str, part: int) -> Column:

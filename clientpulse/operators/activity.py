@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clientpulse.functions import (
     Rounding, band, iso_timestamp, latest_rows, month_start, percent, round_exact, round_half_even, slug, text_part,
-    to_long, truthy, week_start, year_month,
+    to_date, to_long, trimmed, truthy, week_start, year_month,
 )
 from clientpulse.operators.dimensions import owner_directory, owners_by_email
 
@@ -21,8 +21,8 @@ TARGET_BANDS = [(100, "green"), (70, "yellow")]
 
 
 def owner_of_row() -> Column:
-    """The owner of a row; the landed tables write a missing one as a blank."""
-    return F.nullif(F.trim("csm_owner"), F.lit(""))
+    """The owner of a row; the landed tables write a missing one as a blank, of whatever white space."""
+    return F.nullif(trimmed("csm_owner"), F.lit(""))
 
 
 def weekly_calls(calls: DataFrame, clients: DataFrame, first: date, last: date) -> DataFrame:
@@ -87,13 +87,16 @@ def weekly_activity(meetings: DataFrame, crm_calls: DataFrame, owners: DataFrame
 
 
 def activity_table(weekly: DataFrame) -> DataFrame:
-    """Weekly activity in the local shape: numbers out of text, call types 0, one row per owner and week."""
+    """Weekly activity in the local shape: numbers out of text, call types 0, one row per owner and week.
+
+    A week that is blank, missing or no date is NULL; an owner's rows of that kind add up to one row.
+    """
     def number(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string").try_cast("double").try_cast("bigint"),
                           F.lit(0).cast("bigint")) if name in weekly.columns else F.lit(0).cast("bigint")
 
     return weekly.where(F.col("csm_owner").isNotNull()).groupBy(
-        "csm_owner", F.col("week_start").cast("date").alias("week_start")).agg(
+        "csm_owner", to_date("week_start").alias("week_start")).agg(
             F.sum(number("calls_total")).alias("calls_total"),
             *[F.lit(0).cast("bigint").alias(f"calls_{t}") for t in CALL_TYPES],
             F.sum(number("meetings_total")).alias("unique_clients_contacted"),

@@ -24,9 +24,14 @@ def client_dimension(companies: DataFrame, config: DataFrame, as_of: date) -> Da
         days_between("contract_end_date", F.lit(as_of)).alias("days_to_renewal"))
 
 
-def latest_activity(activity: DataFrame) -> DataFrame:
-    """Newest activity row per company id; rows of one moment are ordered by their other columns."""
-    return latest_rows(activity, ["id"], total_order(activity, ["id"], [F.col("created_at").desc_nulls_last()]))
+def latest_activity(activity: DataFrame, *columns: str) -> DataFrame:
+    """Newest activity row per company id, with the wanted columns (all by default).
+
+    Rows of one moment are ordered by the wanted columns, so that no other column is read, sorted or shuffled.
+    """
+    wanted = activity.select("id", *columns, *[c for c in ["created_at"] if c not in columns]) if columns else activity
+    newest = latest_rows(wanted, ["id"], total_order(wanted, ["id"], [F.col("created_at").desc_nulls_last()]))
+    return newest.select("id", *columns) if columns else newest
 
 
 def owner_directory(owners: DataFrame, blank_as_null: bool = True) -> DataFrame:
@@ -93,8 +98,7 @@ def warehouse_client_dimension(app_companies: DataFrame, activity: DataFrame, cr
     """
     base = app_companies.select(F.col("id").alias("client_id"), F.col("name").alias("company_name"),
                                 "gupshup_app_name", "business_sector", "is_active")
-    service = latest_activity(activity).select(
-        F.col("id").alias("client_id"), "has_customer_service")
+    service = latest_activity(activity, "has_customer_service").withColumnRenamed("id", "client_id")
     joined = (base.join(service, "client_id", "left")
                   .join(crm_company_facts(crm_companies), "gupshup_app_name", "left"))
     named = with_owner(joined, owner_directory(owners), ["cs_owner_id", "cx_owner_id", "crm_owner_id"])

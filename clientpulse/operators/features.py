@@ -209,7 +209,8 @@ def client_coverage(activity: DataFrame) -> DataFrame:
     """Share of the customer base reached this month, from the newest activity row of each client."""
     from clientpulse.operators.dimensions import latest_activity
 
-    return latest_activity(activity).select(F.col("id").alias("client_id"), base_coverage().alias("coverage_pct"))
+    summary = latest_activity(activity, "total_impacted_customers_this_month", "total_customers")
+    return summary.select(F.col("id").alias("client_id"), base_coverage().alias("coverage_pct"))
 
 
 def _zero(*names: str) -> dict[str, Column]:
@@ -270,10 +271,10 @@ def warehouse_features(dim: DataFrame, activity: DataFrame, campaign_results: Da
     def by_client(df: DataFrame) -> DataFrame:
         return df.withColumnRenamed("company_id", "client_id")
 
-    summary = latest_activity(activity).withColumnRenamed("id", "client_id").select(
-        "client_id", "has_customer_service", "active_integrations", "total_messages_this_month",
-        "total_messages_prev_month", "whatsapp_marketing_package_limit", "total_impacted_customers_this_month",
-        "total_customers")
+    summary = latest_activity(
+        activity, "has_customer_service", "active_integrations", "total_messages_this_month", "total_messages_prev_month",
+        "whatsapp_marketing_package_limit", "total_impacted_customers_this_month", "total_customers").withColumnRenamed(
+            "id", "client_id")
     kind = F.col("automation_type")
     counts = automation_counts(by_client(automations), F.col("automation_is_active"), kind == standard_type,
                                kind != standard_type)

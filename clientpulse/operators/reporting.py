@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clientpulse.functions import band, latest_rows, lookup, matches_ci, month_start, percent
+from clientpulse.functions import band, latest_rows, matches_ci, month_start, percent
 from clientpulse.operators.alerts import latest_snapshot, of_period, severity_rank
 
 STATUSES = ("green", "yellow", "red", "inactive")
@@ -25,6 +26,10 @@ CRITERIA = {
 CRITERION_MAX = 5
 
 
+# Types whose values a hash aggregate can keep in place.
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def in_range(scores: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
     out = scores
     if start is not None:
@@ -34,22 +39,32 @@ def in_range(scores: DataFrame, start: date | None = None, end: date | None = No
     return out
 
 
-# The texts of the score table's two text columns.
-TEXT_VALUES = {"health_status": STATUSES, "chat_usage_level": ("none", "essential", "advanced")}
-
-
-def last_known_values(scores: DataFrame, key: str = "client_id", order: str = "calculated_at",
-                      text_values: Mapping[str, Sequence[str]] = TEXT_VALUES) -> DataFrame:
-    """Per client the newest non-NULL value of every column on its own.
+def last_known_values(scores: DataFrame, key: str = "client_id", order: str = "calculated_at") -> DataFrame:
+    """Per client the newest non-NULL value of every column on its own, whatever its type.
 
-    Columns of few known texts are aggregated as numbers, so that all rows go through a hash aggregate; other texts
-    than the known ones count as NULL.
+    One hash aggregate finds the newest values of fixed width and, for every other column, the newest day on which it
+    is known. The values of those columns are then fetched by client and day; of several on one day the first in their
+    order counts.
     """
-    values = {c: list(text_values[c]) for c in scores.columns if c in text_values}
-    coded = scores.withColumns({c: lookup(c, {t: k for k, t in enumerate(v)}) for c, v in values.items()})
-    newest = coded.groupBy(key).agg(*[
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in scores.columns if c != key])
-    return newest.withColumns({c: lookup(c, dict(enumerate(v))) for c, v in values.items()})
+    kinds = {f.name: f.dataType for f in scores.schema.fields if f.name != key}
+    fetched = [c for c, kind in kinds.items() if not isinstance(kind, FIXED_WIDTH)]
+
+    def known(column: str) -> Column:
+        return F.when(F.col(column).isNotNull(), F.col(order))
+
+    newest = scores.groupBy(key).agg(*[
+        F.max(known(c)).alias(c) if c in fetched else F.max_by(c, known(c)).alias(c) for c in kinds])
+    for column in fetched:
+        rows = scores.where(F.col(column).isNotNull() & F.col(order).isNotNull()).select(
+            F.col(key).alias("_key"), F.col(order).alias("_at"), F.col(column).alias("_value"))
+        on_day = rows.join(newest.select(F.col(key).alias("_of"), F.col(column).alias("_day")),
+                           F.col("_key").eqNullSafe(F.col("_of")) & (F.col("_at") == F.col("_day")))
+        # Maps have no order; any of several on one day counts.
+        first = F.lit(0) if kinds[column].typeName() in ("map", "variant") else F.col("_value")
+        values = latest_rows(on_day, ["_key"], [first]).select("_key", "_value")
+        newest = (newest.join(values, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+                  .withColumn(column, F.col("_value")).drop("_value"))
+    return newest.select(key, *kinds)
 
 
 def client_360(clients: DataFrame, scores: DataFrame, start: date | None = None, end: date | None = None,

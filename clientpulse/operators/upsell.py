@@ -36,8 +36,7 @@ def upsell_flags(dim: DataFrame, activity: DataFrame, automations: DataFrame, sm
     def by_client(df: DataFrame) -> DataFrame:
         return df.withColumnRenamed("company_id", "client_id")
 
-    summary = latest_activity(activity).select(
-        F.col("id").alias("client_id"), "total_active_flows", "active_integrations")
+    summary = latest_activity(activity, "total_active_flows", "active_integrations").withColumnRenamed("id", "client_id")
     kind = F.col("automation_type")
     counts = automation_counts(by_client(automations), F.col("automation_is_active"), kind == standard_type,
                                kind != standard_type)

@@ -95,6 +95,16 @@ def _(i):
     return activity.activity_table(weekly(i))
 
 
+@check("a5_activity_table_blank_week", with_sql("""
+SELECT csm_owner, CASE WHEN day(week_start) % 3 <> 0 THEN week_start END AS week_start, CAST(sum(calls_total) AS BIGINT) AS calls_total,
+  0::BIGINT AS calls_consultoria, 0::BIGINT AS calls_onboarding, 0::BIGINT AS calls_urgencia, 0::BIGINT AS calls_follow_up,
+  CAST(sum(meetings_total) AS BIGINT) AS unique_clients_contacted, CAST(sum(total_duration_minutes) AS BIGINT) AS total_duration_minutes
+FROM x_weekly_activity GROUP BY 1, 2"""))
+def _(i):
+    text = F.when(F.day("week_start") % 3 != 0, F.col("week_start").cast("string")).when(F.day("week_start") % 2 == 0, "").otherwise("nan")
+    return activity.activity_table(weekly(i).withColumn("week_start", text))
+
+
 @check("a6_coverage_from_calls", with_sql("SELECT * FROM x_call_coverage"))
 def _(i):
     return activity.coverage_from_calls(i.clients, i.calls, *CALL_WINDOW)

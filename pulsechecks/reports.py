@@ -50,6 +50,17 @@ def _(i):
         "messages_mom_change", "health_status", "chat_usage_level", "coverage_pct").withColumn("messages_mom_change", F.round("messages_mom_change", 2))
 
 
+@check("q2_last_known_values_unlisted_text", with_sql("""
+SELECT client_id, max(calculated_at) AS calculated_at, arg_max(total_score, calculated_at) AS total_score,
+  arg_max(CASE WHEN (total_score + month(calculated_at)) % 3 <> 0 THEN health_status || '-' || month(calculated_at) END, calculated_at)
+    FILTER ((total_score + month(calculated_at)) % 3 <> 0) AS health_status
+FROM x_history GROUP BY client_id"""))
+def _(i):
+    month = F.month("calculated_at")
+    text = F.when((F.col("total_score") + month) % 3 != 0, F.concat_ws("-", "health_status", month))
+    return reporting.last_known_values(i.history.select("client_id", "calculated_at", "total_score", text.alias("health_status")))
+
+
 def today(i):
     return reporting.client_360(i.clients, i.warehouse_scores)
 

@@ -133,3 +133,13 @@ def test_rows_without_owner_leave_the_coverage_table(rows):
     granular = rows([("ana", "2024-01", "a"), (None, "2024-01", "b")], "csm_owner string, year_month string, client_name_slug string")
     clients = rows([("H1", "ana", True, "A", "a")], CLIENTS)
     assert as_set(activity.coverage_table(granular, clients), "csm_owner") == {("ana",)}
+
+
+def test_weeks_that_are_no_date_and_owners_of_white_space(rows):
+    from clientpulse.operators import activity
+    weekly = rows([("ana", "2026-04-13", "3"), ("ana", "", "2"), ("ana", "nan", "5"), ("ana", None, "1"), (None, "2026-04-13", "9")],
+                  "csm_owner string, week_start string, calls_total string")
+    got = {(r["csm_owner"], r["week_start"], r["calls_total"]) for r in activity.activity_table(weekly).collect()}
+    assert got == {("ana", date(2026, 4, 13), 3), ("ana", None, 8)}
+    owners = rows([("\t",), ("\u00a0 ",), (" ana\n",), (None,)], "csm_owner string").select(activity.owner_of_row().alias("o"))
+    assert [r["o"] for r in owners.collect()] == [None, None, "ana", None]

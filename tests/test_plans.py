@@ -116,6 +116,14 @@ def test_last_known_values_need_no_sort(spark):
     assert "SortAggregate" not in plan_of(reporting.last_known_values(stored))
 
 
+def test_newest_activity_reads_only_what_is_wanted(spark):
+    """Message counts, which come from the lines of orders, are no part of the upsell flags' plan."""
+    plan = plan_of(Inputs(spark, SF).upsell_flags)
+    assert "lineitem.parquet" not in plan
+    sorts = [line for line in plan.splitlines() if re.search(r"WindowGroupLimit|- Sort ", line) and "total_active_flows" in line]
+    assert sorts and not any("total_messages" in line for line in sorts)
+
+
 def test_as_of_reaches_the_scan(spark, tmp_path):
     Inputs(spark, SF).campaigns.write.parquet(str(tmp_path / "campaigns"))
     stored = spark.read.parquet(str(tmp_path / "campaigns"))

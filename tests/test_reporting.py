@@ -90,3 +90,17 @@ def test_nps(rows):
     assert [(r["response_id"], r["company_name"]) for r in reporting.detractors(nps, clients).collect()] == [
         ("4", "B"), ("5", None)]
     assert reporting.detractor_alert_count(nps, clients, alert_rows(rows)).first()[0] == 1
+
+
+def test_last_known_values_of_any_type_and_text(rows):
+    """A status that no list names is a value like others; NULLs are stepped over column by column."""
+    from datetime import date
+    history = rows([("a", date(2026, 1, 1), 1, "green", "x"), ("a", date(2026, 2, 1), 2, "Vermelho", None), ("a", date(2026, 3, 1), None, None, None),
+                    ("b", date(2026, 1, 1), 5, None, None), (None, date(2026, 1, 1), 7, "own", "y"), ("c", None, 8, "undated", "z")],
+                   "client_id string, calculated_at date, total_score int, health_status string, note string")
+    history = history.withColumn("tags", F.when(F.col("note").isNotNull(), F.array("note")))
+    got = reporting.last_known_values(history)
+    assert got.columns == ["client_id", "calculated_at", "total_score", "health_status", "note", "tags"]
+    assert {r["client_id"]: (r["calculated_at"], r["total_score"], r["health_status"], r["note"], r["tags"]) for r in got.collect()} == {
+        "a": (date(2026, 3, 1), 2, "Vermelho", "x", ["x"]), "b": (date(2026, 1, 1), 5, None, None, None),
+        None: (date(2026, 1, 1), 7, "own", "y", ["y"]), "c": (None, None, None, None, None)}
