@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clientpulse.sources import export_ranges
 from clientpulse.sources.schemas import CRM_PAGE, EXPORT_PART, OWNER_PAGE, empty_table
 
 # Filler columns an export may carry, dropped on read.
@@ -44,7 +45,29 @@ def read_export(spark: SparkSession, paths: str | Sequence[str], types: Mapping[
     text that does not parse becomes NULL. A part is one line of JSON, so many parts read in parallel.
     """
     raw = spark.read.schema(EXPORT_PART).json(paths, multiLine=multi_line)
-    rows = raw.select("columns", F.explode("data").alias("row"))
+    return _typed_rows(raw.select("columns", F.explode("data").alias("row")), types)
+
+
+def read_large_export(spark: SparkSession, paths: str | Sequence[str], types: Mapping[str, str],
+                      range_bytes: int = export_ranges.RANGE) -> DataFrame:
+    """As ``read_export``, for parts of any size and layout: each is read by many tasks, by byte ranges.
+
+    A part that breaks off raises ``BrokenPart`` with its name. A cell that holds a nested value is its compact JSON
+    text. The files must be reachable from the tasks by their
+    address (a shared disk, or a store that Arrow knows).
+    """
+    sizes: dict[str, int] = {}
+    for path in [paths] if isinstance(paths, str) else paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in sorted(files.globStatus(place) or (), key=lambda s: s.getPath().toString()):
+            inside = files.listStatus(status.getPath()) if status.isDirectory() else [status]
+            sizes.update({s.getPath().toString(): s.getLen() for s in inside
+                          if s.getLen() and not s.getPath().getName().startswith(("_", "."))})
+    return _typed_rows(export_ranges.export_rows(spark, sizes, range_bytes), types)
+
+
+def _typed_rows(rows: DataFrame, types: Mapping[str, str]) -> DataFrame:
     cell = {name: F.try_element_at(F.col("row"), F.nullif(F.array_position("columns", name), F.lit(0)).cast("int"))
             for name in types if name not in EXPORT_PADDING}
     return rows.select(*[cell[name].try_cast(types[name]).alias(name) for name in cell])

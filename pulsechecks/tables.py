@@ -66,6 +66,15 @@ def _(i):
     return readers.read_export(i.spark, path, EXPORT_TYPES)
 
 
+@check("s3_export_reader_ranges", with_sql(EXPORT_SQL))
+def _(i):
+    """The whole table as one part, read by ranges of 64 kB."""
+    path = scratch_path(i.spark, "export-one")
+    columns = ["client_id", "company_name", "mrr", "_pad", "contract_start_date", "days_to_renewal", "_p1"]
+    write_export(messy_clients(i), path, columns, part_rows=1 << 40)
+    return readers.read_large_export(i.spark, path, EXPORT_TYPES, range_bytes=1 << 16)
+
+
 @check("s4_export_union", with_sql(EXPORT_SQL))
 def _(i):
     rows = messy_clients(i)
