@@ -77,10 +77,11 @@ def to_date(c: ColumnOrName) -> Column:
     return col_of(c).try_cast("date")
 
 
-def safe_float(c: ColumnOrName, default: float = 0.0) -> Column:
-    """Text to double, ``default`` for empty, missing or malformed text."""
+def safe_float(c: ColumnOrName, default: float | None = 0.0) -> Column:
+    """Text to double, ``default`` (None: NULL) for empty, missing or malformed text."""
     text = col_of(c).cast("string")
-    return F.coalesce(F.when(text.rlike(DECIMAL_TEXT), text.try_cast("double")), F.lit(float(default)))
+    parsed = F.when(text.rlike(DECIMAL_TEXT), text.try_cast("double"))
+    return parsed if default is None else F.coalesce(parsed, F.lit(float(default)))
 
 
 def safe_int(c: ColumnOrName, default: int = 0) -> Column:

@@ -113,7 +113,11 @@ def most_urgent(alerts: DataFrame, n: int = 5, ranks: dict[str, int] = SEVERITY_
     return ordered_alerts(alerts, ranks).limit(n)
 
 
+def alert_totals() -> list[Column]:
+    """Alerts, and alerts per severity."""
+    return [F.count(F.lit(1)).alias("total"), *[F.count_if(F.col("severity") == s).alias(s) for s in SEVERITY_RANK]]
+
+
 def alert_summary(alerts: DataFrame) -> DataFrame:
-    """Totals of one run by severity."""
-    return alerts.agg(F.count("*").alias("total"),
-                      *[F.count_if(F.col("severity") == s).alias(s) for s in SEVERITY_RANK])
+    """Totals of one run by severity, by a scan; ``watched(alerts, alert_totals())`` takes them from a write."""
+    return alerts.agg(*alert_totals())

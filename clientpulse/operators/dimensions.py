@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -158,6 +159,30 @@ FEEDBACK_PROPERTIES = ("hs_rating", "hs_submission_timestamp")
 CONTACT_PROPERTIES = ("nps_score", "nps_date", "associatedcompanyid", "email")
 
 
+# How each property that is not taken as text is parsed.
+_NUMBER = partial(safe_float, default=None)
+PARSED = {
+    "companies": {**dict.fromkeys(("contract_start_date", "hs_date_entered_customer", "contract_end_date", "closedate"),
+                                  epoch_or_iso_date), **dict.fromkeys(("mrr", "annualrevenue"), _NUMBER)},
+    "deals": {"closedate": epoch_or_iso_date, **dict.fromkeys(("amount", "mrr_before", "mrr_after"), _NUMBER)},
+    "calls": {"hs_timestamp": epoch_or_iso_date, "hs_call_duration": _NUMBER},
+    "feedback": {"hs_submission_timestamp": epoch_or_iso_date, "hs_rating": _NUMBER},
+    "contacts": {"nps_date": epoch_or_iso_date, "nps_score": _NUMBER},
+}
+
+
+def unparsed_counts(kind: str) -> list[Column]:
+    """Per property of a landed kind that is parsed: how many objects have a text for it that is no value of its type.
+
+    For ``functions.observed.watched`` on the landed objects, or for an aggregate over them.
+    """
+    def lost(name: str, parse: Callable[[Column], Column]) -> Column:
+        text = F.nullif(F.trim(F.col(f"properties.{name}")), F.lit(""))
+        return F.count_if(text.isNotNull() & parse(text).isNull()).alias(name)
+
+    return [lost(name, parse) for name, parse in PARSED[kind].items()]
+
+
 def normalise_companies(objects: DataFrame, client_id_property: str = "client_id") -> DataFrame:
     """CRM companies in the raw company shape; without a product id the CRM id takes its place."""
     return objects.select(
@@ -205,10 +230,12 @@ def nps_category(score: Column) -> Column:
     return F.when(score >= 9, "promoter").when(score >= 7, "passive").when(score.isNotNull(), "detractor")
 
 
-def normalise_nps(feedback: DataFrame | None, contacts: DataFrame | None, drop_zero: bool = False) -> DataFrame:
+def normalise_nps(feedback: DataFrame | None, contacts: DataFrame | None, drop_zero: bool = False,
+                  sought: DataFrame | None = None) -> DataFrame:
     """NPS answers from feedback objects, or from contacts where there is no feedback at all.
 
-    A missing or malformed score drops the answer; ``drop_zero`` also drops real zeros.
+    A missing or malformed score drops the answer; ``drop_zero`` also drops real zeros. ``sought`` are the feedback
+    objects to look for, where those of ``feedback`` are counted as they pass by.
     """
     def shaped(objects: DataFrame, prefix: str, score: str, when: str, company: Column, mail: Column) -> DataFrame:
         value = safe_int(F.col(f"properties.{score}"), -1)
@@ -218,16 +245,18 @@ def normalise_nps(feedback: DataFrame | None, contacts: DataFrame | None, drop_z
             epoch_or_iso_date(f"properties.{when}").alias("response_date")).where(
                 F.col("nps_score") >= (1 if drop_zero else 0))
 
+    def answers(objects: DataFrame) -> DataFrame:
+        return shaped(objects, "", "hs_rating", "hs_submission_timestamp", F.lit(None).cast("string"), F.lit(""))
+
     parts = []
     if feedback is not None:
-        parts.append(shaped(feedback, "", "hs_rating", "hs_submission_timestamp",
-                            F.lit(None).cast("string"), F.lit("")))
+        parts.append(answers(feedback))
     if contacts is not None:
         other = shaped(contacts, "nps-", "nps_score", "nps_date", F.col("properties.associatedcompanyid"),
                        F.coalesce(F.col("properties.email"), F.lit("")))
         if parts:
             # Contacts count only while feedback is empty: one uncorrelated subquery, no join.
-            other = other.where(~parts[0].exists())
+            other = other.where(~answers(feedback if sought is None else sought).exists())
         parts.append(other)
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return out.withColumn("nps_category", nps_category(F.col("nps_score")))

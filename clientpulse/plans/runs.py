@@ -11,6 +11,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clientpulse.functions.observed import Watched, watched
 from clientpulse.operators import activity, alerts, backfill, dimensions, features, revenue, rules, scoring, upsell
 from clientpulse.plans.lake import MONTH, Lake
 from clientpulse.sources import readers, writers
@@ -18,17 +19,22 @@ from clientpulse.sources.schemas import ALERTS, HEALTH_SCORE, conformed
 
 
 def crm_run(lake: Lake, landed: Mapping[str, str], client_id_property: str = "client_id") -> dict[str, DataFrame]:
-    """Raw CRM tables from landed pages.
+    """Raw CRM tables from landed pages, and ``unparsed``: per kind and property the number of texts that did not parse.
 
     ``landed`` maps companies, deals, calls, owners and feedback or contacts to folders of pages; kinds that
-    are absent, or of which no object has landed, leave their table as it is.
+    are absent, or of which no object has landed, leave their table as it is. The numbers are taken while the tables
+    are written.
     """
     spark, out = lake.spark, {}
     owners = (dimensions.owner_directory(readers.read_owner_pages(spark, landed["owners"]))
               if "owners" in landed else None)
+    counted: dict[str, Watched] = {}
 
     def objects(kind: str, properties: Sequence[str]) -> DataFrame | None:
-        return readers.read_crm_pages(spark, landed[kind], properties) if kind in landed else None
+        if kind not in landed:
+            return None
+        counted[kind] = watched(readers.read_crm_pages(spark, landed[kind], properties), dimensions.unparsed_counts(kind))
+        return counted[kind].rows
 
     def named(df: DataFrame) -> DataFrame:
         return writers.resolve_owner_names(df, owners) if owners is not None else df
@@ -46,9 +52,12 @@ def crm_run(lake: Lake, landed: Mapping[str, str], client_id_property: str = "cl
     feedback = objects("feedback", dimensions.FEEDBACK_PROPERTIES)
     contacts = objects("contacts", dimensions.CONTACT_PROPERTIES)
     if feedback is not None or contacts is not None:
-        out["nps"] = dimensions.normalise_nps(feedback, contacts)
+        sought = readers.read_crm_pages(spark, landed["feedback"], dimensions.FEEDBACK_PROPERTIES) if feedback is not None else None
+        out["nps"] = dimensions.normalise_nps(feedback, contacts, sought=sought)
     written = {name: lake.land(df, name) for name, df in out.items()}
-    return {name: df for name, df in written.items() if df is not None}
+    found = [(kind, column, value) for kind, one in counted.items() for column, value in one.summary().first().asDict().items()]
+    return {name: df for name, df in written.items() if df is not None} | {
+        "unparsed": spark.createDataFrame(found, "kind string, property string, unparsed bigint")}
 
 
 # Columns read from the exported warehouse tables; all values are text.
@@ -122,7 +131,7 @@ def daily_run(lake: Lake, as_of: date, current: str, previous: str, variant: str
     fct_alerts (one partition per day). One score row per client carries the ratio of the variant; with ``periods``
     there is one per analysis window, with the window's ratio. Alerts look at ``period_days``.
 
-    History is not read: previous scores come from the kept state and the days since, and the newest campaigns likewise
+    ``score_summary`` and ``alert_summary`` of the run are taken while its rows are written. History is not read: previous scores come from the kept state and the days since, and the newest campaigns likewise
     where campaigns are stored by month (``Lake.land_months``).
     """
     dim = lake.overwrite(dimensions.client_dimension(lake.read("companies"), lake.read("client_config"), as_of),
@@ -133,13 +142,14 @@ def daily_run(lake: Lake, as_of: date, current: str, previous: str, variant: str
                                     lake.read("messages_monthly"), as_of, current, previous, variant,
                                     lake.read_or_none("companies_activity_summary"))
     feats = features.with_periods(feats, features.roi_by_period(campaigns, as_of, wanted), wanted, own_roi=periods is None)
-    scored = scoring.health_score(feats, rules.PROFILES[variant], as_of, period_days)
-    history = lake.replace_snapshot(scored, "fct_health_score", "calculated_at")
+    scored = watched(scoring.health_score(feats, rules.PROFILES[variant], as_of, period_days), scoring.score_totals())
+    history = lake.replace_snapshot(scored.rows, "fct_health_score", "calculated_at")
     base = alerts.alert_base(last_scores(lake, as_of), dim, period_days)
-    fired = alerts.evaluate_alerts(base, rules.SCRIPT_ALERTS, as_of)
-    rows = fired.select(*conformed(fired, ALERTS, keep_types=("client_id",)))
+    fired = watched(alerts.evaluate_alerts(base, rules.SCRIPT_ALERTS, as_of), alerts.alert_totals())
+    rows = fired.rows.select(*conformed(fired.rows, ALERTS, keep_types=("client_id",)))
     stored = lake.append_unseen(rows, "fct_alerts")
-    return {"dim_clients": dim, "fct_health_score": history, "fct_alerts": stored}
+    return {"dim_clients": dim, "fct_health_score": history, "fct_alerts": stored,
+            "score_summary": scored.summary(), "alert_summary": fired.summary()}
 
 
 def backfill_run(lake: Lake, first: date, last: date, period_days: int = 30) -> dict[str, DataFrame]:

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from pulsechecks.catalog import check
 from pulsechecks.inputs import AS_OF, BACKFILL, CURRENT, PREVIOUS
 from pulsechecks.sqlbase import TODAY, fired, with_sql
+from clientpulse.functions.observed import watched
 from clientpulse.operators import alerts, backfill, features, rules, scoring
+from clientpulse.session import scratch_path
 
 LOCAL_POINTS = ("score_recency", "score_roi", "score_automations", "score_integrations", "score_chat", "score_volume",
                 "bonus_cashback")
@@ -125,6 +127,14 @@ def _(i):
     return scoring.score_summary(i.warehouse_scores)
 
 
+@check("f20_score_summary_observed", with_sql(SUMMARY + "x_scores_wh"))
+def _(i):
+    """The summary taken while the scores are written."""
+    scored = watched(i.warehouse_scores, scoring.score_totals())
+    scored.rows.write.parquet(scratch_path(i.spark, "scores-observed"))
+    return scored.summary()
+
+
 @check("f20_score_summary_sql_v1", with_sql(SUMMARY + "x_scores_sql"))
 def _(i):
     return scoring.score_summary(i.local_scores("sql_v1"))
@@ -324,3 +334,13 @@ SELECT count(*) AS total, count(*) FILTER (severity = 'critical') AS critical, c
   count(*) FILTER (severity = 'info') AS info FROM x_script_alerts"""))
 def _(i):
     return alerts.alert_summary(alerts.evaluate_alerts(i.alert_base, rules.SCRIPT_ALERTS, AS_OF))
+
+
+@check("l18_alert_summary_observed", with_sql("""
+SELECT count(*) AS total, count(*) FILTER (severity = 'critical') AS critical, count(*) FILTER (severity = 'warning') AS warning,
+  count(*) FILTER (severity = 'info') AS info FROM x_script_alerts"""))
+def _(i):
+    """The summary taken while the alerts are written."""
+    seen = watched(alerts.evaluate_alerts(i.alert_base, rules.SCRIPT_ALERTS, AS_OF), alerts.alert_totals())
+    seen.rows.write.parquet(scratch_path(i.spark, "alerts-observed"))
+    return seen.summary()

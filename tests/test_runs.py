@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from clientpulse.plans.lake import Lake
 from clientpulse.plans.runs import backfill_run, crm_run, daily_run, replay_run, warehouse_run
 from clientpulse.session import shared_dir
-from clientpulse.sources import writers
+from clientpulse.operators import alerts, dimensions, scoring
+from clientpulse.sources import readers, writers
 from clientpulse.sources.schemas import CSM_ACTIVITY, HEALTH_SCORE, conformed
 from pulsechecks.inputs import AS_OF, CURRENT, PREVIOUS, Inputs
 from tests.conftest import SF, as_set
@@ -35,6 +36,8 @@ def lake(spark, tmp_path_factory):
 def test_daily_then_backfill(lake):
     first = daily_run(lake, AS_OF, CURRENT, PREVIOUS)
     counts = {k: v.count() for k, v in first.items()}
+    assert first["score_summary"].collect() == scoring.score_summary(first["fct_health_score"]).collect()
+    assert first["alert_summary"].collect() == alerts.alert_summary(first["fct_alerts"]).collect()
     again = daily_run(lake, AS_OF, CURRENT, PREVIOUS)
     assert {k: v.count() for k, v in again.items()} == counts
     assert counts["fct_health_score"] == counts["dim_clients"] > 100 and counts["fct_alerts"] > 0
@@ -94,6 +97,12 @@ def test_crm_run(spark, tmp_path):
     assert as_set(out["calls"], "call_id", "hubspot_company_id", "csm_owner", "duration_minutes") == {("C1", "H1", "Ana", 1)}
     assert as_set(out["nps"], "response_id", "nps_category") == {("nps-N1", "promoter")}
     assert "deals" not in out
+    # The texts that did not parse, as a second scan counts them.
+    lost = {(r["kind"], r["property"]): r["unparsed"] for r in out["unparsed"].collect()}
+    assert lost["companies", "mrr"] == 1 and lost["companies", "closedate"] == 0 and sum(lost.values()) == 1
+    for kind in ("companies", "calls", "contacts"):
+        scanned = readers.read_crm_pages(spark, landed[kind], list(dimensions.PARSED[kind])).agg(*dimensions.unparsed_counts(kind))
+        assert {(kind, k): v for k, v in scanned.first().asDict().items()} == {k: v for k, v in lost.items() if k[0] == kind}
     # Pages without objects leave the table as it is, and make none.
     for kind in ("companies", "deals"):
         folder = tmp_path / f"empty-{kind}"
