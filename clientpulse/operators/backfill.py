@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clientpulse.functions import change_percent, days_between, month_end, percent, ratio, year_month
 from clientpulse.operators.features import chat_usage
+from clientpulse.operators.history import StatusHistory, statuses_at
 from clientpulse.operators.rules import ASOF_BACKFILL, Profile
 from clientpulse.operators.scoring import classify, score_points
 from clientpulse.sources.schemas import HEALTH_SCORE, conformed
@@ -104,17 +105,25 @@ def monthly_features(dim: DataFrame, campaigns: DataFrame, automations: DataFram
 def backfill_scores(dim: DataFrame, campaigns: DataFrame, automations: DataFrame, chat: DataFrame,
                     messages: DataFrame, config: DataFrame, first: date, last: date,
                     profile: Profile = ASOF_BACKFILL, midnight_cut: bool = False,
-                    period_days: int = 30) -> DataFrame:
+                    period_days: int = 30, history: StatusHistory | None = None) -> DataFrame:
     """Score rows at every month end from ``first`` to ``last``.
 
-    Automation status, chat modules and cashback are the values of today, for lack of history.
+    Automation status, chat modules and cashback are the values of today, as the original has them for lack of history;
+    with the snapshots of ``history`` they are those of each month end.
     """
     features = monthly_features(dim, campaigns, automations, messages, first, last, midnight_cut)
-    static = (dim.select("client_id")
-                 .join(chat_usage(chat), "client_id", "left")
-                 .join(config.select("client_id", "cashback_enabled"), "client_id", "left")
-                 .withColumns({"chat_usage_level": F.coalesce("chat_usage_level", F.lit("none")),
-                               "cashback_enabled": F.coalesce("cashback_enabled", F.lit(False))}))
-    scored = classify(score_points(features.join(static, "client_id"), profile), profile)
+    if history is None:
+        static = (dim.select("client_id")
+                     .join(chat_usage(chat), "client_id", "left")
+                     .join(config.select("client_id", "cashback_enabled"), "client_id", "left"))
+        known = features.join(static, "client_id")
+    else:
+        known = features.drop("active_automations", "integration_automations").join(
+            statuses_at(history, month_ends(first, last)), ["client_id", "month_end"], "left")
+        zero = F.lit(0).cast("bigint")
+        known = known.withColumns({c: F.coalesce(c, zero) for c in ("active_automations", "integration_automations")})
+    known = known.withColumns({"chat_usage_level": F.coalesce("chat_usage_level", F.lit("none")),
+                               "cashback_enabled": F.coalesce("cashback_enabled", F.lit(False))})
+    scored = classify(score_points(known, profile), profile)
     dated = scored.withColumnRenamed("month_end", "calculated_at").withColumn("period_days", F.lit(period_days))
     return dated.select(*conformed(dated, HEALTH_SCORE, keep_types=("client_id",)))

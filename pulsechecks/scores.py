@@ -1,12 +1,14 @@
 """Scores, backfill and alerts."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from pulsechecks.catalog import check
 from pulsechecks.inputs import AS_OF, BACKFILL, CURRENT, PREVIOUS
-from pulsechecks.sqlbase import TODAY, fired, with_sql
+from pulsechecks.sqlbase import TODAY, define, fired, with_sql
 from clientpulse.functions.observed import watched
-from clientpulse.operators import alerts, backfill, features, rules, scoring
+from clientpulse.operators import alerts, backfill, features, history, rules, scoring
 from clientpulse.session import scratch_path
 
 LOCAL_POINTS = ("score_recency", "score_roi", "score_automations", "score_integrations", "score_chat", "score_volume",
@@ -117,6 +119,47 @@ def _(i):
                                           *BACKFILL, midnight_cut=True))
 
 
+# Days on which the snapshots of the check are taken; what they say changes from one to the next.
+SNAPSHOTS = (date(2001, 1, 10), date(2001, 2, 20), date(2001, 4, 5), date(2001, 5, 28))
+STATUS_DAYS = (date(2000, 12, 1), date(2001, 6, 30))
+
+
+def status_history(i):
+    day = F.explode(F.array(*[F.lit(d) for d in SNAPSHOTS])).alias("snapshot_day")
+    month = F.month("snapshot_day")
+    built = i.automations.select("*", day).where(F.col("created_at") < F.col("snapshot_day").cast("timestamp_ntz"))
+    built = built.withColumn("status", F.when((F.col("automation_id") + month) % 3 == 0, "paused").otherwise(F.col("status")))
+    chat = i.chat.select("*", day).where((F.col("client_id") + month) % 6 != 0).withColumn(
+        "has_chat_flow", (F.col("client_id") + month) % 4 == 0)
+    config = i.clients.select("client_id", day).withColumn("cashback_enabled", (F.col("client_id") + month) % 5 == 0)
+    return history.StatusHistory(built, chat, config)
+
+
+# The last snapshot up to each month end, or the first of all.
+define("x_snapshot_of", """
+SELECT last_day(m)::DATE AS month_end, coalesce((SELECT max(d) FROM (VALUES (DATE '2001-01-10'), (DATE '2001-02-20'), (DATE '2001-04-05'),
+  (DATE '2001-05-28')) v(d) WHERE d <= last_day(m)), DATE '2001-01-10') AS d
+FROM generate_series(DATE '2000-12-01', DATE '2001-06-01', INTERVAL 1 MONTH) t(m)""")
+
+
+@check("f19_statuses_at_month_ends", with_sql("""
+SELECT coalesce(a.client_id, h.client_id, g.client_id) AS client_id, coalesce(a.month_end, h.month_end, g.month_end) AS month_end,
+  coalesce(active_automations, 0) AS active_automations, coalesce(integration_automations, 0) AS integration_automations,
+  coalesce(chat_usage_level, 'none') AS chat_usage_level, coalesce(cashback_enabled, false) AS cashback_enabled
+FROM (SELECT client_id, month_end, count(*) FILTER (on_ AND automation_type IS DISTINCT FROM 'integration') AS active_automations,
+    count(*) FILTER (on_ AND automation_type = 'integration') AS integration_automations
+  FROM (SELECT x.*, month_end, status = 'active' AND (automation_id + month(d)) % 3 <> 0 AS on_ FROM x_automations x
+    JOIN x_snapshot_of s ON x.created_at < CAST(s.d AS TIMESTAMP)) GROUP BY ALL) a
+FULL JOIN (SELECT client_id, month_end, CASE WHEN has_human_agent AND (flow OR has_ai_enabled) THEN 'advanced'
+    WHEN has_human_agent OR flow THEN 'essential' ELSE 'none' END AS chat_usage_level
+  FROM (SELECT c.*, month_end, (client_id + month(d)) % 4 = 0 AS flow FROM x_chat c, x_snapshot_of s
+    WHERE (client_id + month(d)) % 6 <> 0)) h ON h.client_id = a.client_id AND h.month_end = a.month_end
+FULL JOIN (SELECT client_id, month_end, (client_id + month(d)) % 5 = 0 AS cashback_enabled FROM x_clients, x_snapshot_of) g
+  ON g.client_id = coalesce(a.client_id, h.client_id) AND g.month_end = coalesce(a.month_end, h.month_end)"""))
+def _(i):
+    return history.statuses_at(status_history(i), backfill.month_ends(*STATUS_DAYS))
+
+
 SUMMARY = """SELECT count(*) AS clients, count(*) FILTER (health_status = 'green') AS green,
   count(*) FILTER (health_status = 'yellow') AS yellow, count(*) FILTER (health_status = 'red') AS red,
   count(*) FILTER (health_status = 'inactive') AS inactive, round(avg(total_score), 2) AS avg_score FROM """
