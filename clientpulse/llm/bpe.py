@@ -246,30 +246,61 @@ def parts_of(text: str, size: int = PART_CHARS) -> Iterator[str]:
 
 
 class Encoder:
-    """Words to ids by the lexicon, else by merging; remembers a bounded number of words."""
+    """Words to ids by the lexicon, else by merging; remembers a bounded number of words.
+
+    A known word is a number into arrays of ids, so that the ids of many texts are gathered at once.
+    """
 
     def __init__(self, table: dict[str, np.ndarray], special: dict[str, int], source: str, lexicon: Lexicon):
         self._merger, self._lexicon, self._splitter = Merger(table), lexicon, Splitter(special, source)
         self._special = {word: (i,) for word, i in special.items()}
-        self._known = dict(self._special)
+        self._remember({})
+
+    def _remember(self, found: dict[str, tuple[int, ...]]) -> None:
+        """Know these words and the special ones, and no others."""
+        found = self._special | found
+        self._number = {word: k for k, word in enumerate(found)}
+        self._ids, self._starts, self._sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._append(list(found.values()))
+
+    def _append(self, lists: list[tuple[int, ...]]) -> None:
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        ids = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
+        self._starts = np.concatenate([self._starts, len(self._ids) + np.cumsum(sizes) - sizes])
+        self._sizes, self._ids = np.concatenate([self._sizes, sizes]), np.concatenate([self._ids, ids])
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text."""
+        ids, sizes = self.gathered(texts)
+        ends = np.cumsum(sizes).tolist()
+        flat = ids.tolist()
+        return [flat[low:high] for low, high in zip([0, *ends], ends)]
+
+    def gathered(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all texts in a row, the number of ids of each text)."""
         split = [self._splitter.words(t) for t in texts]
         self._learn(set(chain.from_iterable(split)))
-        get = self._known.__getitem__
-        return [list(chain.from_iterable(map(get, words))) for words in split]
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        numbers = np.fromiter(map(self._number.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        sizes = self._sizes[numbers]
+        ends = np.cumsum(sizes)
+        places = np.repeat(self._starts[numbers] - (ends - sizes), sizes)
+        places += np.arange(len(places))
+        upto, last = np.concatenate([np.zeros(1, np.int64), ends]), np.cumsum(counts)
+        return self._ids[places], upto[last] - upto[last - counts]
 
     def _learn(self, words: set[str]) -> None:
-        known = self._known
-        new = list(words - known.keys())
+        new = list(words - self._number.keys())
+        if len(self._number) + len(new) > KNOWN_WORDS:
+            still = {w: k for w, k in self._number.items() if w in words and w not in self._special}
+            self._remember({w: tuple(self._ids[self._starts[k]:self._starts[k] + self._sizes[k]].tolist()) for w, k in still.items()})
         raw = [w.encode("utf-8", "surrogatepass") for w in new]
-        if len(known) + len(new) > KNOWN_WORDS:
-            known = self._known = {w: known[w] for w in words & known.keys()} | self._special
         places = self._lexicon.places(raw)
         held, unseen = np.flatnonzero(places >= 0), np.flatnonzero(places < 0).tolist()
-        known.update(zip([new[k] for k in held.tolist()], self._lexicon.ids_at(places[held])))
-        known.update(zip([new[k] for k in unseen], self._merger.merge([raw[k] for k in unseen])))
+        at = len(self._number)
+        self._number.update(zip((new[k] for k in chain(held.tolist(), unseen)), range(at, at + len(new))))
+        self._append(self._lexicon.ids_at(places[held]))
+        self._append(self._merger.merge([raw[k] for k in unseen]))
 
 
 def _read(path: str) -> str:
@@ -351,11 +382,12 @@ def encode(docs: DataFrame, path: str, image: bytes, text: str = "text", keep: l
             for low, texts in runs_of_texts(batch.column(0).field(at)):
                 whole = batch.column(0).slice(low, len(texts))
                 if len(texts) == 1:
-                    found = [np.concatenate([np.array(encoder.encode([p])[0], np.int32) for p in parts_of(texts[0])])]
+                    flat = np.concatenate([encoder.gathered([p])[0] for p in parts_of(texts[0])])
+                    sizes = [len(flat)]
                 else:
-                    found = [np.array(ids, np.int32) for ids in encoder.encode(texts)]
-                offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
+                    flat, sizes = encoder.gathered(texts)
+                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
                 part = pa.StructArray.from_arrays([whole.field(k) for k in kept], names=row.names)
                 yield pa.RecordBatch.from_arrays([part, ids], names=["row", "ids"])
 
@@ -386,14 +418,21 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded
     shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary.read(_read(path)).pieces)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = dict(enumerate(shared.value))
+        pieces = pa.array(shared.value, pa.string())
+        shown = np.array([bool(piece) for piece in shared.value])
         for batch in batches:
             for low in range(0, batch.num_rows, DECODED_ROWS):
                 some = batch.slice(low, DECODED_ROWS)
                 lists = some.column(at)
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
-                ends = np.cumsum([n or 0 for n in pc.list_value_length(lists).to_pylist()]).tolist()
-                texts = [" ".join(filter(None, map(pieces.get, flat[a:b].tolist()))) for a, b in zip([0, *ends], ends)]
-                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.string())], names=shape.names)
+                sizes = np.array([n or 0 for n in pc.list_value_length(lists).to_pylist()], np.int64)
+                known = (flat >= 0) & (flat < len(shown))
+                known[known] = shown[flat[known]]
+                upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(known)])
+                ends = np.cumsum(sizes)
+                offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(upto[ends] - upto[ends - sizes])])
+                words = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pieces.take(pa.array(flat[known])))
+                texts = pc.binary_join(words, " ")
+                yield pa.RecordBatch.from_arrays([*some.columns, texts], names=shape.names)
 
     return encoded.mapInArrow(run, shape)
