@@ -45,6 +45,19 @@ def test_recall_on_the_given_vectors(spark, shard_rows, share, least):
     assert all(abs(s - score_of[q][i]) < 1e-12 for q in got for i, s in got[q])
 
 
+@pytest.mark.parametrize("lengths", ["equal", "uniform", "lognormal"])
+def test_recall_on_two_thousand_vectors_of_uneven_lengths(spark, lengths):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    chance = np.random.default_rng(4)
+    size = {"equal": np.ones(len(rows)), "uniform": chance.uniform(0.5, 1.5, len(rows)), "lognormal": chance.lognormal(0, 0.5, len(rows))}[lengths]
+    ids = np.array([r.vec_id for r in rows])
+    vectors = (np.array([r.embedding for r in rows], float) * size[:, None]).astype(np.float32)
+    want = brute(ids, vectors.astype(float))
+    got = lists(index.nearest(frame(spark, [(int(i), v.tolist()) for i, v in zip(ids, vectors)])))
+    recall = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]
+    assert np.mean(recall) >= 0.93 and min(recall) >= 0.55
+
+
 def test_reranking_everything_is_exact(spark):
     chance = np.random.default_rng(1)
     vectors = chance.normal(size=(300, 8)).astype(np.float32)
@@ -88,8 +101,10 @@ def test_empty_and_single(spark):
 def test_footrule_by_inverted_files():
     chance = np.random.default_rng(3)
     vectors, pivots = chance.normal(size=(40, 5)), chance.normal(size=(12, 5))
+    length = np.sqrt((vectors ** 2).sum(axis=1).max()) + 3
+    pivots = index.lengthened(pivots, length)
     shard = index.Shard(np.arange(40), vectors, pivots, posted=6)
-    order = index.orders(vectors, pivots, 6)
-    ask = index.orders(chance.normal(size=(1, 5)), pivots, 4)[0]
+    order = index.orders(index.lengthened(vectors, length), pivots, 6)
+    ask = index.orders(chance.normal(size=(1, 5)), pivots[:, :-1], 4)[0]
     plain = [sum(abs((o.tolist().index(p) if p in o else 6) - k) for k, p in enumerate(ask)) for o in order]
     assert shard.footrule(ask).tolist() == plain
