@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,7 +134,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     At most ``max_labelled`` labelled ids are used, half per label, by the order of a hash of the id; their texts'
     features, a few numbers each, come to the driver. Labels other than 0 and 1, null ids, and ids with both labels
-    are left out; repeated labels count once, repeated documents each.
+    are left out; repeated labels count once, and so do repeated documents: of several texts of an id the one of the
+    smallest hash is taken, so that ``max_labelled`` bounds the rows.
     """
     given = (labels.select(F.col(doc_id).alias("id"), F.col(label).alias("label"))
              .where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
@@ -144,6 +145,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     # Bounded by max_labelled ids.
     chosen = F.broadcast(half[0].unionAll(half[1]))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(chosen, "id")
+    # One row per id; Spark limits the rows of an id on both sides of the shuffle.
+    first = Window.partitionBy("id").orderBy(F.xxhash64("text"), "text")
+    texts = texts.withColumn("place", F.row_number().over(first)).where(F.col("place") == 1).drop("place")
     shape = T.StructType([T.StructField("id", texts.schema["id"].dataType), T.StructField("good", T.IntegerType()),
                           T.StructField("x", T.ArrayType(T.DoubleType()))])
 

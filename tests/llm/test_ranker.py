@@ -86,3 +86,25 @@ def test_pairs_decide_the_weights():
     assert model.weights[0] > 0.5 and model.weights[1] < -0.3 and abs(model.weights[2]) < 0.3
     shown = model.score(x)
     assert np.array_equal(shown >= 0.7, model.strength(x) >= model.threshold)
+
+
+def test_weights_equal_plain_gradient_steps_over_all_pairs():
+    chance = np.random.default_rng(7)
+    x = chance.normal(size=(24, 2)) * [3, 0.5] + [1, -2]
+    good = x[:, 0] + chance.normal(size=24) > 1
+    model = ranker.fit_pairs(x, good)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    pairs = np.array([z[i] - z[j] for i in range(24) if good[i] for j in range(24) if not good[j]])
+    w = np.zeros(2)
+    for _ in range(20_000):
+        w += 0.5 * ((pairs / (1 + np.exp(pairs @ w))[:, None]).mean(axis=0) - ranker.RIDGE * w)
+    assert np.abs(model.weights - w).max() < 1e-6
+
+
+def test_a_hot_labelled_id_counts_once(spark):
+    """A third of all documents carry one labelled id: the fit reads one row of it, and the others weigh as before."""
+    docs, labels = many(spark)
+    plain = ranker.fit(docs, labels)
+    again = docs.where("doc_id = 1").crossJoin(spark.range(200)).drop("id").select(docs.columns)
+    hot = docs.unionAll(again)
+    assert np.array_equal(ranker.fit(hot.repartition(7), labels).weights, plain.weights)
