@@ -3,13 +3,18 @@
 The standard library's parser turns a page into lines: one per block element, with its text, the tags met in it, and
 the elements it lies in. Each line's text length over its tags is smoothed by a Gaussian along the page and parted
 into two clusters at a threshold. The content region is all outermost article and main elements, if they hold nearly all
-text of the high cluster, or else the innermost element that does; its lines, short ones too, are the article, except those in parts that are never article text (menus,
-footers, sidebars, forms, notices, adverts, comments of readers, code).
+text of the high cluster, or else the innermost element that does. Its lines, short ones too, are the article, except
+those in parts that are never article text (menus, footers, sidebars, forms, notices, adverts, comments of readers, code)
+and, before the first and after the last line of the high cluster, lines of the low one that are links or a copyright.
+
+What is known of an element's ancestors is a flag on the element, and what it holds is added up once from the leaves, so
+the work grows with the page and not with the depth of its nesting.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -31,7 +36,7 @@ OUTSIDE = frozenset("nav footer aside form button select textarea menu dialog op
 #: Words in class, id or role that mark such parts.
 OUTSIDE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising banner promo promoted promotion sponsor sponsored
 nav navbar navigation menu breadcrumb breadcrumbs sidebar footer foot masthead topbar toolbar pagination pager
-comment comments reply replies respond discussion disqus notice notices cookie cookies consent gdpr alert popup modal
+comment comments commentlist reviews reply replies respond discussion disqus notice notices cookie cookies consent gdpr alert popup modal
 overlay newsletter subscribe subscription signup login search share sharing social related recommended widget
 contentinfo complementary skip""".split())
 #: An open paragraph ends where one of these begins.
@@ -43,10 +48,13 @@ SIBLING_HOLDERS = frozenset("ul ol menu dl table tbody thead tfoot select".split
 ARTICLE = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words of them that are headings of articles too: the ratio of the lines decides.
-DOUBTFUL_WORDS = frozenset("discussion search related share sharing social notice notices alert navigation subscription".split())
+DOUBTFUL_WORDS = frozenset("discussion reviews search related share sharing social notice notices alert navigation subscription".split())
 #: Words beside them in a name that do not change what it marks.
 FILLERS = frozenset("""area bar block box button buttons container content form group holder inner item items left link links list
-outer panel posts right section site top bottom main primary secondary unit wrap wrapper""".split())
+outer panel posts right section site slot top bottom google main primary reader readers secondary unit user users wrap wrapper x""".split())
+#: Share of a line's text in links from which it counts as links.
+LINK_SHARE = 0.5
+_COPYRIGHT = re.compile(r"(?:copyright\b|\(c\)|©)", re.IGNORECASE)
 #: Elements that a name never takes out.
 NEVER_MARKED = frozenset(("html", "body")) | ARTICLE | HEADINGS
 _WORD = re.compile(r"[a-z]+")
@@ -64,19 +72,23 @@ def _mark(name: str) -> str | None:
     return "doubtful" if known <= DOUBTFUL_WORDS else "outside"
 
 
+def _marks(attrs: list[tuple[str, str | None]]) -> set[str]:
+    """What the class, id and role of an element say."""
+    names = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower().split()
+    return {mark for mark in map(_mark, names) if mark}
+
+
 class _Element:
-    __slots__ = ("tag", "parent", "outside", "silent", "depth", "marked", "doubtful")
+    """An open or closed block element; ``number`` counts them in the order of the page, parents first."""
+
+    __slots__ = ("tag", "parent", "number", "outside", "silent", "in_article", "depth", "marked", "doubtful")
 
-    def __init__(self, tag: str, parent: _Element | None, outside: bool, silent: bool, marks: set[str] | frozenset[str] = frozenset()):
+    def __init__(self, tag: str, parent: _Element | None, number: int, outside: bool, silent: bool,
+                 marks: set[str] | frozenset[str] = frozenset()):
         self.marked, self.doubtful = "outside" in marks, "doubtful" in marks
-        self.tag, self.parent, self.outside, self.silent = tag, parent, outside, silent
+        self.tag, self.parent, self.number, self.outside, self.silent = tag, parent, number, outside, silent
         self.depth = parent.depth + 1 if parent else 0
-
-    def within(self) -> Iterator[_Element]:
-        at = self
-        while at:
-            yield at
-            at = at.parent
+        self.in_article = tag in ARTICLE or bool(parent and parent.in_article)
 
 
 class _Lines(HTMLParser):
@@ -84,64 +96,87 @@ class _Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.at = _Element("", None, False, False)
-        self.articles: list[_Element] = []
-        self.lines: list[tuple[str, int, _Element]] = []
+        self.at = _Element("", None, 0, False, False)
+        self.elements = [self.at]
+        self.lines: list[tuple[str, int, _Element, float]] = []
+        self._open: Counter[str] = Counter()
         self._text: list[str] = []
-        self._tags = 0
+        self._tags = self._links = self._linked = 0
+        self._muted: tuple[str, int] | None = None
 
     def _end_line(self) -> None:
         if self._text:
             text = " ".join("".join(self._text).split())
             if text:
-                self.lines.append((text, self._tags, self.at))
+                self.lines.append((text, self._tags, self.at, min(1.0, self._linked / len(text))))
             self._text.clear()
-        self._tags = 0
+        self._tags = self._linked = 0
+        self._muted = None
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._tags += 1
         if tag in INLINE:
-            if tag == "br":
-                self._text.append(" ")
+            self._begin_inline(tag, attrs)
             return
         self._end_line()
+        self._links = 0
         if tag in ENDS_PARAGRAPH:
             self._close({"p"}, ENDS_PARAGRAPH - {"p"} | SIBLING_HOLDERS | {"li", "td", "th", "body"})
         if tag in SIBLINGS:
             self._close(SIBLINGS[tag], SIBLING_HOLDERS)
         if tag in VOID:
             return
-        names = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower().split()
-        inside = any(e.tag in ARTICLE for e in self.at.within())
-        outside = self.at.outside or tag in OUTSIDE or (tag == "header" and not inside)
-        marks = set() if tag in NEVER_MARKED else {mark for mark in map(_mark, names) if mark}
-        self.at = _Element(tag, self.at, outside, self.at.silent or tag in SILENT, marks)
-        if tag in ARTICLE:
-            self.articles.append(self.at)
+        outside = self.at.outside or tag in OUTSIDE or (tag == "header" and not self.at.in_article)
+        marks = set() if tag in NEVER_MARKED else _marks(attrs)
+        self.at = _Element(tag, self.at, len(self.elements), outside, self.at.silent or tag in SILENT, marks)
+        self.elements.append(self.at)
+        self._open[tag] += 1
         self._tags = 1
 
+    def _begin_inline(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "br":
+            self._text.append(" ")
+        elif tag == "a":
+            self._links += 1
+        if self._muted and tag == self._muted[0]:
+            self._muted = tag, self._muted[1] + 1
+        elif not self._muted and tag not in VOID and attrs and "outside" in _marks(attrs):
+            self._muted = tag, 1
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
         self._tags += 1
+        if tag == "a":
+            self._links = max(0, self._links - 1)
         if tag in INLINE or tag in VOID:
+            if self._muted and tag == self._muted[0]:
+                self._muted = (tag, self._muted[1] - 1) if self._muted[1] > 1 else None
             return
         self._end_line()
         self._close({tag}, frozenset())
 
     def _close(self, tags: set[str] | frozenset[str], stop: frozenset[str] | set[str]) -> None:
         """Leave the nearest open element of ``tags``, unless one of ``stop`` or the page's root lies before it."""
-        for element in self.at.within():
-            if element.tag in tags and element.parent:
-                self.at = element.parent
-                return
+        if not any(self._open[tag] for tag in tags):
+            return
+        element = self.at
+        while element.parent and element.tag not in tags:
             if element.tag in stop:
                 return
+            element = element.parent
+        if not element.parent:
+            return
+        while self.at is not element.parent:
+            self._open[self.at.tag] -= 1
+            self.at = self.at.parent
 
     def handle_data(self, data: str) -> None:
-        if not self.at.silent:
+        if not self.at.silent and not self._muted:
             self._text.append(data)
+            if self._links:
+                self._linked += len(data)
 
     def close(self) -> None:
         if _CUT_MARKUP.match(self.rawdata):  # a tag or comment that the page's end cuts off is not text
@@ -178,51 +213,77 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     parser = _Lines()
     parser.feed(html)
     parser.close()
-    _unmark_holders(parser.articles, parser.lines)
-    free = np.array([not (e.outside or any(a.marked for a in e.within())) for _, _, e in parser.lines], bool)
+    if not parser.lines:
+        return ""
+    parents = [e.parent.number if e.parent else -1 for e in parser.elements]
+    holds = np.array([e.number for _, _, e, _ in parser.lines])
+    marked = _marked(parser.elements, parents, holds)
+    free = np.array([not e.outside and not marked[e.number] for _, _, e, _ in parser.lines], bool)
     if not free.any():
         return ""
-    size = np.array([len(text) for text, _, _ in parser.lines], float)
-    ratio = size / np.maximum([tags for _, tags, _ in parser.lines], 1)
+    size = np.array([len(text) for text, *_ in parser.lines], np.int64)
+    ratio = size / np.maximum([tags for _, tags, _, _ in parser.lines], 1)
     # Logarithms: one very long line must not be the only member of the high cluster.
     high = high_cluster(smoothed(np.log1p(ratio), sigma)) & free
     if not high.any():
         high = free
-    content = [(len(text), element) for (text, _, element), h in zip(parser.lines, high) if h]
-    regions = _regions(content)
-    held = {e for _, element in content for e in element.within()}
-    chosen = [text for (text, _, element), f in zip(parser.lines, free) if f and any(e in regions for e in element.within())
-              and not any(e.doubtful and e not in held for e in element.within())]
-    return "\n\n".join(chosen)
-
-
-def _unmark_holders(articles: list[_Element], lines: list[tuple[str, int, _Element]]) -> None:
-    """Where every article with text lies in parts that names take out, the names of the holders do not count."""
-    filled = {e for _, _, element in lines for e in element.within()}
-    articles = [a for a in articles if a in filled and not a.outside]
-    if all(any(e.marked for e in a.within()) for a in articles):
-        for article in articles:
-            for e in article.within():
-                e.marked = False
-
-
-def _regions(content: list[tuple[int, _Element]]) -> set[_Element]:
+    own = np.bincount(holds[high], size[high], len(parents)).astype(np.int64).tolist()
+    held = _added_up(own, parents)
+    regions = _regions(parser.elements, own, held)
+    inside = _inherited([e.number in regions for e in parser.elements], parents)
+    doubted = _inherited([e.doubtful and not h for e, h in zip(parser.elements, held)], parents)
+    chosen = [k for k, (e, f) in enumerate(zip(holds.tolist(), free)) if f and inside[e] and not doubted[e]]
+    return "\n\n".join(parser.lines[k][0] for k in _trimmed(chosen, parser.lines, high))
+
+
+def _trimmed(chosen: list[int], lines: list[tuple[str, int, _Element, float]], high: np.ndarray) -> list[int]:
+    """Without the links and copyright lines of the low cluster that stand before or after all lines of the high one."""
+    sure = [n for n, k in enumerate(chosen) if high[k]]
+    first, last = (sure[0], sure[-1]) if sure else (0, len(chosen) - 1)
+    return [k for n, k in enumerate(chosen) if first <= n <= last or not (
+        lines[k][3] >= LINK_SHARE or _COPYRIGHT.match(lines[k][0]))]
+
+
+def _added_up(own: list[int], parents: list[int]) -> list[int]:
+    """Per element what it and all elements below it have."""
+    total = list(own)
+    for number in range(len(parents) - 1, 0, -1):
+        total[parents[number]] += total[number]
+    return total
+
+
+def _inherited(flags: list[bool], parents: list[int]) -> list[bool]:
+    """Per element whether it or an element around it has the flag."""
+    out = list(flags)
+    for number in range(1, len(parents)):
+        out[number] = out[number] or out[parents[number]]
+    return out
+
+
+def _marked(elements: list[_Element], parents: list[int], holds: np.ndarray) -> list[bool]:
+    """Whether names take an element out. Where every article with text lies in parts that names take out, the names of
+    the articles' holders do not count."""
+    marked = _inherited([e.marked for e in elements], parents)
+    filled = _added_up(np.bincount(holds, minlength=len(parents)).tolist(), parents)
+    articles = [e.tag in ARTICLE and n > 0 and not e.outside for e, n in zip(elements, filled)]
+    if all(marked[k] for k, article in enumerate(articles) if article):
+        around = _added_up([int(article) for article in articles], parents)
+        marked = _inherited([e.marked and not n for e, n in zip(elements, around)], parents)
+    return marked
+
+
+def _regions(elements: list[_Element], own: list[int], held: list[int]) -> set[int]:
     """The outermost articles, if they hold the asked share of the content's text; else the innermost element that does.
 
     An element that holds nothing but its own lines is a paragraph, whatever its tag, and no region.
     """
-    held: dict[_Element, int] = {}
-    own: dict[_Element, int] = {}
-    for size, element in content:
-        own[element] = own.get(element, 0) + size
-        for e in element.within():
-            held[e] = held.get(e, 0) + size
-    total = sum(size for size, _ in content)
-    articles = {e for e in held if e.tag in ARTICLE and not any(a is not e and a.tag in ARTICLE for a in e.within())}
-    if articles and sum(held[e] for e in articles) >= REGION_SHARE * total:
+    total = held[0]
+    articles = {e.number for e, n in zip(elements, held) if n and e.tag in ARTICLE and not (e.parent and e.parent.in_article)}
+    if articles and sum(held[k] for k in articles) >= REGION_SHARE * total:
         return articles
-    wide = [e for e in held if held[e] >= REGION_SHARE * total and e.tag not in PARAGRAPHS and (own.get(e) != held[e] or not e.parent)]
-    return {max(wide, key=lambda e: e.depth)}
+    wide = [e for e, n in zip(elements, held) if n and n >= REGION_SHARE * total and e.tag not in PARAGRAPHS
+            and (own[e.number] != n or not e.parent)]
+    return {max(wide, key=lambda e: e.depth).number}
 
 
 def extracted(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:

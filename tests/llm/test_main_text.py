@@ -88,3 +88,39 @@ def test_names_that_mark_other_parts_go():
     page = f"""<main><p>{LONG}</p></main><div class="comment-list"><article class="comment"><p>{LONG * 3}</p></article></div>
     <div class="sidebar-right"><p>{LONG * 3}</p></div><div id="nav-bar">{LONG}</div>"""
     assert main_text.main_text(page) == LONG.strip()
+
+
+BODY = "".join(f"<p>{'A sentence of the article with enough words to be read. ' * 4}{k}</p>" for k in range(4))
+ARTICLE_TEXT = "\n\n".join(("A sentence of the article with enough words to be read. " * 4 + str(k)) for k in range(4))
+
+
+@pytest.mark.parametrize("extra", [
+    '<div class="user-comments"><p>I liked this a lot and say so at length.</p></div>', '<ol class="commentlist"><li>First!</li></ol>',
+    '<div class="ad-slot">Buy now</div>', '<div class="google-ad">Buy now</div>', '<div class="advert-300x250">Buy</div>',
+    '<ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li></ul>', '<p><a>About</a> <a>Terms</a></p>',
+    "<div>Copyright 2026 The Owners</div>"])
+def test_parts_beside_the_text_go(extra):
+    for page in (f"<article>{extra}{BODY}</article>", f"<article>{BODY}{extra}</article>", f"<div>{extra}{BODY}{extra}</div>"):
+        assert main_text.main_text(f"<html><body>{page}</body></html>") == ARTICLE_TEXT
+
+
+def test_inline_adverts_go_and_links_within_the_text_stay():
+    page = f'<article>{BODY}<p>Words before <span class="ad">BUY <span>now</span></span>and after it.</p><ul><li><a>A source</a></li></ul>{BODY}</article>'
+    assert main_text.main_text(page) == f"{ARTICLE_TEXT}\n\nWords before and after it.\n\nA source\n\n{ARTICLE_TEXT}"
+
+
+def test_the_clusters_decide(monkeypatch):
+    """Links around the text go because their lines are of the low cluster; with other clusters the result is another."""
+    page = f"<div><p><a>Home</a></p><p><a>News</a></p>{BODY}<p><a>Terms</a></p></div>"
+    assert main_text.main_text(page) == ARTICLE_TEXT
+    monkeypatch.setattr(main_text, "high_cluster", lambda values: np.ones(len(values), bool))
+    assert main_text.main_text(page) != ARTICLE_TEXT
+
+
+def test_deep_nesting_takes_linear_time():
+    import time
+    for open_, close in (("<div>", "</div>"), ("<div class='x y'>", ""), ("<p><div>", ""), ("<section></b></i></aside>", "")):
+        page = open_ * 100_000 + BODY + close * 100_000
+        begun = time.perf_counter()
+        assert main_text.main_text(page) == ARTICLE_TEXT
+        assert time.perf_counter() - begun < 20
