@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clientpulse.llm import host_rules, mixing, queries, ranker, simhash
-from clientpulse.llm.stored import stored
+from clientpulse.llm.stored import drop, stored
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,10 +47,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over the documents table; each one's rows are written and read again by the next."""
-    docs = queries.table(spark, sf_dir, "documents")
+    """All stages in order over the documents table; each one's rows are written and read again by the next.
+
+    A stage's table is removed when the next one's is there.
+    """
+    docs, made = queries.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if made is not None:
+            drop(made)
+        made = docs
     return docs
 
 
