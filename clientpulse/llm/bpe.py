@@ -33,6 +33,8 @@ LEXICON_BYTES = 48
 #: Characters split into words at once, and words a task remembers; both bound memory.
 PART_CHARS = 1 << 20
 KNOWN_WORDS = 1 << 17
+#: Words that a task counts before it sends their counts.
+COUNTED_WORDS = 1 << 19
 #: Texts decoded at once.
 DECODED_ROWS = 512
 WORD_END = "</w>"
@@ -316,7 +318,7 @@ def word_counts(docs: DataFrame, special: dict[str, int], source: str, text: str
             for value in batch.column(0):
                 for part in parts_of(value.as_py() or ""):
                     seen.update(splitter.words(part))
-                if len(seen) > KNOWN_WORDS:
+                if len(seen) > COUNTED_WORDS:
                     yield from _counts(seen)
                     seen = Counter()
         yield from _counts(seen)
