@@ -103,10 +103,14 @@ def severity_rank(ranks: dict[str, int] = SEVERITY_RANK) -> Column:
     return lookup("severity", ranks, max(ranks.values()) + 1)
 
 
-def ordered_alerts(alerts: DataFrame, ranks: dict[str, int] = SEVERITY_RANK) -> DataFrame:
+# Orders of the lists, for ``writers.write_ordered``; the operators sort by them only if they are asked to.
+ALERT_ORDER = ("severity_rank", "company_name", "alert_id", "client_id")
+
+
+def ordered_alerts(alerts: DataFrame, ranks: dict[str, int] = SEVERITY_RANK, ordered: bool = True) -> DataFrame:
     """Most severe first, then company and rule."""
-    return alerts.withColumn("severity_rank", severity_rank(ranks)).orderBy(
-        "severity_rank", "company_name", "alert_id", "client_id")
+    ranked = alerts.withColumn("severity_rank", severity_rank(ranks))
+    return ranked.orderBy(*ALERT_ORDER) if ordered else ranked
 
 
 def most_urgent(alerts: DataFrame, n: int = 5, ranks: dict[str, int] = SEVERITY_RANK) -> DataFrame:

@@ -25,6 +25,15 @@ CRITERIA = {
 }
 CRITERION_MAX = 5
 
+# Orders of the lists, for ``writers.write_ordered``; the operators sort by them only if they are asked to.
+HISTORY_ORDER = ("client_id", "calculated_at")
+DETRACTOR_ORDER = ("nps_score", "response_id")
+
+
+def centre_order() -> list[Column]:
+    return [F.col("severity_order"), F.col("alert_date").desc(), F.col("client_id"), F.col("alert_id")]
+
+
 
 # Types whose values a hash aggregate can keep in place.
 FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -147,15 +156,15 @@ def renewal_band(days: Column) -> Column:
     return F.when(known <= 30, "red").when(known <= 90, "yellow").otherwise("green")
 
 
-def score_history(scores: DataFrame) -> DataFrame:
+def score_history(scores: DataFrame, ordered: bool = True) -> DataFrame:
     """Score series of the clients that have more than one point.
 
     Clients are counted by a combined aggregate and the rows filtered by a semi join, so no task holds all
     rows of one client.
     """
     several = scores.groupBy("client_id").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    return scores.join(several, "client_id", "left_semi").select(
-        "client_id", "calculated_at", "total_score", "health_status").orderBy("client_id", "calculated_at")
+    rows = scores.join(several, "client_id", "left_semi").select("client_id", "calculated_at", "total_score", "health_status")
+    return rows.orderBy(*HISTORY_ORDER) if ordered else rows
 
 
 def active_alerts(alerts: DataFrame) -> DataFrame:
@@ -171,7 +180,7 @@ def client_alerts(alerts: DataFrame) -> DataFrame:
 
 
 def alert_centre(alerts: DataFrame, clients: DataFrame, csm: str | None = None,
-                 severity: str | None = None) -> DataFrame:
+                 severity: str | None = None, ordered: bool = True) -> DataFrame:
     """Unresolved alerts with client name and owner, most severe and newest first."""
     rows = active_alerts(alerts).drop("company_name", "csm_owner").join(
         clients.select("client_id", "company_name", "csm_owner"), "client_id", "left")
@@ -179,8 +188,8 @@ def alert_centre(alerts: DataFrame, clients: DataFrame, csm: str | None = None,
         rows = rows.where(F.col("csm_owner") == csm)
     if severity is not None:
         rows = rows.where(F.col("severity") == severity)
-    return rows.withColumn("severity_order", severity_rank()).orderBy(
-        "severity_order", F.col("alert_date").desc(), "client_id", "alert_id")
+    ranked = rows.withColumn("severity_order", severity_rank())
+    return ranked.orderBy(*centre_order()) if ordered else ranked
 
 
 def severity_counts(alerts: DataFrame) -> DataFrame:
@@ -216,11 +225,11 @@ def nps_by_segment(nps: DataFrame, clients: DataFrame) -> DataFrame:
         "segment_ipc", "nps_category").agg(F.sum("answers").alias("answers"))
 
 
-def detractors(nps: DataFrame, clients: DataFrame) -> DataFrame:
+def detractors(nps: DataFrame, clients: DataFrame, ordered: bool = True) -> DataFrame:
     """Detractor answers, lowest score first."""
-    rows = nps_with_clients(nps.where(F.col("nps_category") == "detractor"), clients)
-    return rows.select("response_id", "company_name", "segment_ipc", "nps_score", "response_date",
-                       "csm_owner").orderBy("nps_score", "response_id")
+    rows = nps_with_clients(nps.where(F.col("nps_category") == "detractor"), clients).select(
+        "response_id", "company_name", "segment_ipc", "nps_score", "response_date", "csm_owner")
+    return rows.orderBy(*DETRACTOR_ORDER) if ordered else rows
 
 
 def detractor_alert_count(nps: DataFrame, clients: DataFrame, alerts: DataFrame) -> DataFrame:

@@ -103,7 +103,12 @@ def product_adoption(base: DataFrame) -> DataFrame:
         "product", "has_product", "lacks_product", percent("has_product", "total", 2, 0.0).alias("adoption_pct"))
 
 
-def product_opportunities(base: DataFrame, csm: str | None = None, status: str | None = None) -> DataFrame:
+def opportunity_order() -> list[Column]:
+    """The order of the list, for ``writers.write_ordered``."""
+    return [F.col("product"), F.col("total_score").asc_nulls_last(), F.col("client_id")]
+
+
+def product_opportunities(base: DataFrame, csm: str | None = None, status: str | None = None, ordered: bool = True) -> DataFrame:
     """Clients that lack a product, lowest score first within each product."""
     rows = base
     if csm is not None:
@@ -111,7 +116,7 @@ def product_opportunities(base: DataFrame, csm: str | None = None, status: str |
     if status is not None:
         rows = rows.where(F.col("health_status") == status)
     lacking = F.array_compact(F.array(*[F.when(~F.col(flag), F.lit(name)) for name, flag in PRODUCTS.items()]))
-    return rows.select(
+    listed = rows.select(
         F.explode(lacking).alias("product"), "client_id", "company_name", "csm_owner", "segment_ipc", "total_score",
-        "health_status", "mrr", "days_to_renewal").orderBy(
-            "product", F.col("total_score").asc_nulls_last(), "client_id")
+        "health_status", "mrr", "days_to_renewal")
+    return listed.orderBy(*opportunity_order()) if ordered else listed

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientpulse.functions.rows import latest_rows
+from clientpulse.session import remove_path, scratch_path
 
 
 def gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -29,6 +30,21 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
+def write_ordered(df: DataFrame, path: str, order: Sequence[Column | str], files: int | None = None) -> None:
+    """Write rows so that the files, by name, and the rows within each are in order.
+
+    A range partitioning samples its input first and reads it again to deal it out. So the rows are written to the
+    shared folder once, in no order, and sampled and dealt from there: what computes them runs a single time. ``files``
+    says how many files there are at most; otherwise Spark decides by the rows' size.
+    """
+    staged = scratch_path(df.sparkSession, "to-order")
+    overwrite_table(df, staged)
+    rows = df.sparkSession.read.schema(df.schema).parquet(staged)
+    dealt = rows.repartitionByRange(files, *order) if files else rows.repartitionByRange(*order)
+    dealt.sortWithinPartitions(*order).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    remove_path(df.sparkSession, staged)
+
+
 def replace_snapshot(df: DataFrame, path: str, snapshot_column: str = "calculated_at") -> None:
     """Replace only the snapshots present in ``df``; other partitions stay as they are."""
     (gathered(df, [snapshot_column]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

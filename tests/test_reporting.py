@@ -104,3 +104,26 @@ def test_last_known_values_of_any_type_and_text(rows):
     assert {r["client_id"]: (r["calculated_at"], r["total_score"], r["health_status"], r["note"], r["tags"]) for r in got.collect()} == {
         "a": (date(2026, 3, 1), 2, "Vermelho", "x", ["x"]), "b": (date(2026, 1, 1), 5, None, None, None),
         None: (date(2026, 1, 1), 7, "own", "y", ["y"]), "c": (None, None, None, None, None)}
+
+
+def test_ordered_writes_compute_their_rows_once(spark, rows, tmp_path):
+    """Files and rows are in order, and the rows' plan runs a single time although ranges are sampled."""
+    from clientpulse.operators import alerts as alert_lists
+    from clientpulse.sources import writers
+    passed = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+    fired = rows([(f"c{k % 97}", f"name {k % 89}", ("info", "critical", "warning", "other")[k % 4], f"a{k % 7}") for k in range(4000)],
+                 "client_id string, company_name string, severity string, alert_id string").repartition(5)
+    listed = alert_lists.ordered_alerts(fired.mapInArrow(counted, fired.schema), ordered=False)
+    writers.write_ordered(listed, str(tmp_path / "list"), alert_lists.ALERT_ORDER, files=6)
+    assert passed.value == 4000
+    files = sorted((tmp_path / "list").glob("part-*.parquet"))
+    read = [tuple(r) for f in files for r in spark.read.parquet(str(f)).select(*alert_lists.ALERT_ORDER).collect()]
+    assert len(files) > 3 and read == sorted(read) and read == [tuple(r) for r in alert_lists.ordered_alerts(fired).select(
+        *alert_lists.ALERT_ORDER).collect()]
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
