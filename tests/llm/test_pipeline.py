@@ -29,7 +29,7 @@ def test_query_matches_sql(spark, key, monkeypatch):
 def test_all_queries_are_registered():
     names = {"pipeline", *queries.QUERIES}
     assert names <= set(entry_module.queries())
-    assert {n.split("_")[0] for n in names if n != "pipeline"} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n != "pipeline"} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_stages(spark):
