@@ -29,7 +29,8 @@ def monthly_features(dim: DataFrame, campaigns: DataFrame, automations: DataFram
 
     Each source is reduced to one row per (client, month) in a single map-side combined aggregation, and
     "up to this month" is a running window over at most a few rows per client, so no event is ever
-    repeated per month. Events older than the three calendar months before ``first`` share one bucket;
+    repeated per month. A client is one row until the sums are made, and gets its month ends after them: a map task
+    then holds one group per client of its split, not one per client and month end. Events older than the three calendar months before ``first`` share one bucket;
     later ones are not read. With ``midnight_cut`` an event after 00:00 of a month's last day is known
     only from the next month end on. ``unknown_from`` is the number of days from which the last campaign counts as
     unknown; by default every known one counts.
@@ -43,7 +44,9 @@ def monthly_features(dim: DataFrame, campaigns: DataFrame, automations: DataFram
 
     def split(moment: str, **values: Column) -> list[Column]:
         """Each value under its own name when known by its month end, under ``late_`` otherwise."""
-        late = F.col(moment) > month_end(moment).cast("timestamp_ntz") if midnight_cut else F.lit(False)
+        if not midnight_cut:
+            return [v.alias(n) for n, v in values.items()]
+        late = F.col(moment) > month_end(moment).cast("timestamp_ntz")
         return [F.when(~late, v).alias(n) for n, v in values.items()] + [
             F.when(late, v).alias(f"late_{n}") for n, v in values.items()]
 
@@ -58,37 +61,45 @@ def monthly_features(dim: DataFrame, campaigns: DataFrame, automations: DataFram
                integration=F.when(kind == "integration", 1).otherwise(0)))
     month_of = F.last_day(F.to_date(F.concat("year_month", F.lit("-01"))))
     # Month texts order like months, and a plain comparison prunes month partitions.
-    volume = messages.where(F.col("year_month").between(year_month(oldest), year_month(newest))).select(
+    volume = messages.where(F.col("year_month").between(year_month(oldest), year_month(newest))
+                            & month_of.isNotNull()).select(
         "client_id", month_of.alias("month_end"), "messages_sent", "plan_limit")
-    clients = dim.select("client_id", F.explode(month_ends(first, last)).alias("month_end"),
-                         F.lit(True).alias("wanted"))
+    # No event is without a month, so the rows of clients stay apart in the sums.
+    clients = dim.select("client_id", F.lit(None).cast("date").alias("month_end"), F.lit(True).alias("wanted"))
 
     events = clients
     for part in (sent, built, volume):
         events = events.unionByName(part, allowMissingColumns=True)
     sums = ("revenue", "cost", "standard", "integration")
+    kinds = ("", "late_") if midnight_cut else ("",)
     monthly = events.groupBy("client_id", "month_end").agg(
-        F.max("wanted").alias("wanted"), F.max("sent_on").alias("sent_on"), F.max("late_sent_on").alias("late_sent_on"),
-        *[F.sum(f"{late}{c}").alias(f"{late}{c}") for c in sums for late in ("", "late_")],
-        F.max("messages_sent").alias("messages_sent_current"), F.max("plan_limit").alias("plan_limit"))
+        F.max("wanted").alias("wanted"), *[F.max(f"{late}sent_on").alias(f"{late}sent_on") for late in kinds],
+        *[F.sum(f"{late}{c}").alias(f"{late}{c}") for c in sums for late in kinds],
+        F.max("messages_sent").alias("messages_sent"), F.max("plan_limit").alias("plan_limit"))
+    each = F.when(F.col("wanted"), month_ends(first, last)).otherwise(F.array("month_end"))
+    dated = monthly.withColumn("month_end", F.explode(each))
 
     # Months as numbers, so that a window frame can look back over calendar months with gaps.
-    numbered = monthly.withColumn("m", F.year("month_end") * 12 + F.month("month_end"))
+    numbered = dated.withColumn("m", F.year("month_end") * 12 + F.month("month_end"))
     by_client = Window.partitionBy("client_id").orderBy("m")
+    this_month = by_client.rangeBetween(0, 0)
 
     def total(name: str, since: int) -> Column:
-        return F.coalesce(F.sum(name).over(by_client.rangeBetween(since, 0)), F.lit(0)) + F.coalesce(
+        known = F.coalesce(F.sum(name).over(by_client.rangeBetween(since, 0)), F.lit(0))
+        return known if not midnight_cut else known + F.coalesce(
             F.sum(f"late_{name}").over(by_client.rangeBetween(since, -1)), F.lit(0))
 
     ever = Window.unboundedPreceding
+    last_sent = F.max("sent_on").over(by_client.rangeBetween(ever, 0))
+    if midnight_cut:
+        last_sent = F.greatest(last_sent, F.max("late_sent_on").over(by_client.rangeBetween(ever, -1)))
     running = numbered.select(
-        "client_id", "month_end", "wanted", "messages_sent_current", "plan_limit",
-        F.greatest(F.max("sent_on").over(by_client.rangeBetween(ever, 0)),
-                   F.max("late_sent_on").over(by_client.rangeBetween(ever, -1))).alias("last_sent_on"),
+        "client_id", "month_end", "wanted", F.max("messages_sent").over(this_month).alias("messages_sent_current"),
+        F.max("plan_limit").over(this_month).alias("plan_limit"), last_sent.alias("last_sent_on"),
         total("revenue", -2).alias("revenue3"), total("cost", -2).alias("cost3"),
         total("standard", ever).alias("active_automations"),
         total("integration", ever).alias("integration_automations"),
-        F.max("messages_sent_current").over(by_client.rangeBetween(-1, -1)).alias("messages_sent_previous"))
+        F.max("messages_sent").over(by_client.rangeBetween(-1, -1)).alias("messages_sent_previous"))
     days = days_between("month_end", "last_sent_on")
     both = F.col("messages_sent_current").isNotNull() & F.col("messages_sent_previous").isNotNull()
     return running.where(F.col("wanted") & F.col("month_end").between(month_end(F.lit(first)), newest)).select(

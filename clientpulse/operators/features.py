@@ -47,14 +47,25 @@ def newest_campaigns(campaigns: DataFrame, as_of: date | None, n: int = 3, key:
     ``roi_mean`` averages the per-campaign ratios (a campaign without cost counts as 0); ``roi_pooled`` divides
     summed revenue by summed cost (no cost gives 0). The newest of the ``n`` is the newest of all.
     """
+    rows = newest_campaign_rows(campaigns, as_of, n, key, tie)
+    return rows.groupBy(key).agg(*newest_campaign_values())
+
+
+def newest_campaign_rows(campaigns: DataFrame, as_of: date | None, n: int = 3, key: str = "client_id",
+                         tie: str = "campaign_id") -> DataFrame:
+    """The rows of ``newest_campaigns`` before they are summed, each with its own ratio ``roi``."""
     known = campaigns if as_of is None else campaigns.where(known_by("sent_at", as_of))
     newest = top_rows(known.select(key, tie, "sent_at", "revenue_attributed", "cost"), [key],
                       newest_sent("sent_at", tie), n)
+    return newest.select(key, "sent_at", "revenue_attributed", "cost",
+                         ratio("revenue_attributed", "cost", missing=0.0).alias("roi"))
+
+
+def newest_campaign_values() -> list[Column]:
+    """Aggregates over ``newest_campaign_rows``; rows of other kinds, with NULL in all its columns, add nothing."""
     cost = F.sum("cost")
-    return newest.groupBy(key).agg(
-        F.max("sent_at").alias("last_campaign_at"),
-        F.avg(ratio("revenue_attributed", "cost", missing=0.0)).alias("roi_mean"),
-        F.when(cost != 0, F.sum("revenue_attributed") / cost).otherwise(0.0).alias("roi_pooled"))
+    return [F.max("sent_at").alias("last_campaign_at"), F.avg("roi").alias("roi_mean"),
+            F.when(cost != 0, F.sum("revenue_attributed") / cost).otherwise(0.0).alias("roi_pooled")]
 
 
 def roi_mean_last(campaigns: DataFrame, as_of: date | None, n: int = 3, key: str = "client_id",
@@ -182,13 +193,18 @@ def chat_usage(chat: DataFrame, key: str = "client_id") -> DataFrame:
 
 def messages_two_months(messages: DataFrame, current: str, previous: str, key: str = "client_id") -> DataFrame:
     """Volume of two months and the current plan limit side by side."""
+    return messages.where(F.col("year_month").isin(current, previous)).groupBy(key).agg(
+        *two_month_values(current, previous))
+
+
+def two_month_values(current: str, previous: str) -> list[Column]:
+    """Aggregates of ``messages_two_months``."""
     def of(month: str, value: str) -> Column:
         return F.max(F.when(F.col("year_month") == month, F.col(value)))
 
-    return messages.where(F.col("year_month").isin(current, previous)).groupBy(key).agg(
-        of(current, "messages_sent").alias("messages_sent_current"),
-        of(previous, "messages_sent").alias("messages_sent_previous"),
-        of(current, "plan_limit").alias("plan_limit_current"))
+    return [of(current, "messages_sent").alias("messages_sent_current"),
+            of(previous, "messages_sent").alias("messages_sent_previous"),
+            of(current, "plan_limit").alias("plan_limit_current")]
 
 
 def message_change(current: str = "messages_sent_current", previous: str = "messages_sent_previous",
@@ -225,31 +241,44 @@ def local_features(dim: DataFrame, campaigns: DataFrame, automations: DataFrame,
     ``sql_v1`` averages the last three ratios, counts calendar days, leaves unknown change NULL and scores on
     shares with two decimals; ``pandas_v1`` pools the last three, counts elapsed 24-hour days, takes unknown
     change as 0 and scores on unrounded shares.
+
+    Every source with one result per client goes through one common aggregation, so that a task which assembles
+    the features holds one hash table and not a table and a sort per source.
     """
     active = F.col("status") == "active"
     kind = F.col("automation_type")
-    newest = newest_campaigns(campaigns, as_of)
     if variant == "sql_v1":
         days, roi, missing_days, missing_change, scale = (
             days_between(F.lit(as_of), "last_campaign_at"), F.col("roi_mean"), 9999, None, 2)
         standard = kind != "integration"
     elif variant == "pandas_v1":
         days, roi, missing_days, missing_change, scale = (
-            F.greatest(elapsed_days(as_of, "last_campaign_at"), F.lit(0)), F.col("roi_pooled"), 999, 0.0, None)
+            F.when(F.col("last_campaign_at").isNotNull(), F.greatest(elapsed_days(as_of, "last_campaign_at"), F.lit(0))),
+            F.col("roi_pooled"), 999, 0.0, None)
         standard = kind == "standard"
     else:
         raise ValueError(f"unknown variant {variant}")
-    sent = newest.select("client_id", days.alias("days_since_last_campaign"), roi.alias("campaign_roi"))
-    counts = automation_counts(automations, active, standard, kind == "integration")
+    facts = newest_campaign_rows(campaigns, as_of)
+    for part in (
+            automations.select("client_id", (active & standard).alias("is_standard"),
+                               (active & (kind == "integration")).alias("is_integration")),
+            messages.where(F.col("year_month").isin(current, previous)).select(
+                "client_id", "year_month", "messages_sent", "plan_limit"),
+            *([] if activity is None else [client_coverage(activity)])):
+        facts = facts.unionByName(part, allowMissingColumns=True)
+    coverage = F.lit(None).cast("double") if activity is None else F.max("coverage_pct")
+    reduced = facts.where(F.col("client_id").isNotNull()).groupBy("client_id").agg(
+        *newest_campaign_values(), F.count_if("is_standard").alias("active_automations"),
+        F.count_if("is_integration").alias("integration_automations"), *two_month_values(current, previous),
+        coverage.alias("coverage_pct"))
+    usage = chat_usage(chat)
     joined = (dim.select("client_id", "company_name", "csm_owner", "mrr", "days_to_renewal", "cashback_enabled")
-                 .join(sent, "client_id", "left")
-                 .join(counts, "client_id", "left")
-                 .join(chat_usage(chat), "client_id", "left")
-                 .join(messages_two_months(messages, current, previous), "client_id", "left"))
-    if activity is not None:
-        joined = joined.join(client_coverage(activity), "client_id", "left")
-    else:
-        joined = joined.withColumn("coverage_pct", F.lit(None).cast("double"))
+                 .join(usage, "client_id", "left")
+                 .join(reduced, "client_id", "left")
+                 .select("client_id", "company_name", "csm_owner", "mrr", "days_to_renewal", "cashback_enabled",
+                         days.alias("days_since_last_campaign"), roi.alias("campaign_roi"), "active_automations",
+                         "integration_automations", *[c for c in usage.columns if c != "client_id"],
+                         "messages_sent_current", "messages_sent_previous", "plan_limit_current", "coverage_pct"))
     filled = joined.withColumns({
         "days_since_last_campaign": F.coalesce("days_since_last_campaign", F.lit(missing_days)),
         "campaign_roi": F.coalesce("campaign_roi", F.lit(0.0)),

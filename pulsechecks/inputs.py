@@ -141,22 +141,22 @@ class Inputs:
         tools = F.when(k % 11 != 0, F.transform(
             F.when(k % 4 == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), (k % 4).cast("int"))),
             lambda x: F.concat(F.lit("tool"), x.cast("string"))))
-        now = joined.select(
-            k.alias("id"), "gupshup_app_name", F.lit(AS_OF).cast("timestamp_ntz").alias("created_at"),
-            (k % 3 != 0).alias("has_customer_service"),
-            F.when(k % 5 == 1, 1).otherwise(0).cast("bigint").alias("total_active_flows"),
+        older = F.col("older")
+        # Both rows of a client come from one pass over the join.
+        rows = joined.withColumn("older", F.explode(
+            F.when(k % 5 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+        return rows.select(
+            k.alias("id"), "gupshup_app_name",
+            F.when(older, F.lit(date(2001, 7, 1))).otherwise(F.lit(AS_OF)).cast("timestamp_ntz").alias("created_at"),
+            F.when(older, F.lit(False)).otherwise(k % 3 != 0).alias("has_customer_service"),
+            F.when(older, 9).when(k % 5 == 1, 1).otherwise(0).cast("bigint").alias("total_active_flows"),
             tools.alias("active_integrations"),
-            F.col("messages_sent_current").alias("total_messages_this_month"),
+            F.when(older, 1).otherwise(F.col("messages_sent_current")).cast("bigint").alias("total_messages_this_month"),
             F.col("messages_sent_previous").alias("total_messages_prev_month"),
             F.when(k % 3 == 0, 150).when(k % 3 == 1, 300).otherwise(600).cast("bigint").alias(
                 "whatsapp_marketing_package_limit"),
-            ((k * 7) % 300).alias("total_impacted_customers_this_month"),
+            F.when(older, big).otherwise((k * 7) % 300).alias("total_impacted_customers_this_month"),
             F.when(k % 19 == 0, big).otherwise(1000).cast("bigint").alias("total_customers"))
-        old = now.where(F.col("id") % 5 == 0).withColumns({
-            "created_at": F.lit(date(2001, 7, 1)).cast("timestamp_ntz"), "has_customer_service": F.lit(False),
-            "total_active_flows": F.lit(9).cast("bigint"), "total_messages_this_month": F.lit(1).cast("bigint"),
-            "total_impacted_customers_this_month": big})
-        return now.unionByName(old)
 
     @cached_property
     def campaign_results(self) -> DataFrame:
@@ -337,8 +337,12 @@ class Inputs:
 
     @cached_property
     def history(self) -> DataFrame:
-        """Six month ends and the run of today."""
-        return self.backfill.unionByName(self.local_scores("sql_v1"))
+        """Six month ends and the run of today.
+
+        Today's rows are dealt by day and client. Were both parts dealt by client, the union would join them partition
+        by partition, and one task would hold the sorts of both runs and of the query that reads the history.
+        """
+        return self.backfill.unionByName(self.local_scores("sql_v1").repartition("calculated_at", "client_id"))
 
     @cached_property
     def window_scores(self) -> DataFrame:
