@@ -173,9 +173,9 @@ def active_alerts(alerts: DataFrame) -> DataFrame:
 
 def client_alerts(alerts: DataFrame) -> DataFrame:
     """Unresolved alerts, each with the number of its client's unresolved alerts."""
-    unresolved = active_alerts(alerts)
-    counts = unresolved.groupBy("client_id").agg(F.count("*").alias("active_alerts"))
-    return unresolved.join(counts, "client_id").select(
+    unresolved = active_alerts(alerts).where(F.col("client_id").isNotNull())
+    counted = unresolved.withColumn("active_alerts", F.count("*").over(Window.partitionBy("client_id")))
+    return counted.select(
         "client_id", "active_alerts", "alert_id", "alert_name", "severity", "action_suggested", "alert_date")
 
 
