@@ -4,12 +4,18 @@ from datetime import date, datetime
 
 import pytest
 
-from clientpulse.operators import alerts, backfill, features, reporting
+from clientpulse.operators import alerts, backfill, features, reporting, rules
+from pulsechecks import catalog
 from pulsechecks.inputs import AS_OF, Inputs
 from tests.conftest import SF, as_set
 
 BUFFERS = ("Sort", "HashAggregate", "ObjectHashAggregate")
 
+# Queries over the score history.
+HISTORY_QUERIES = [
+    "l14_alerts_rule_file",
+]
+
 
 @pytest.fixture
 def large(spark):
@@ -49,6 +55,12 @@ def most_in_a_task(df) -> int:
     return max(held(df._jdf.queryExecution().executedPlan()), *stages)
 
 
+def month_sums(df) -> list:
+    """The shuffles that deal the sums per client and month, each with the map side below it."""
+    return [p for p in nodes(df._jdf.queryExecution().executedPlan())
+            if "Exchange" in p.nodeName() and "month_end" in p.outputPartitioning().toString()]
+
+
 def test_history_takes_few_buffers(large):
     i = Inputs(large, SF)
     for df in (alerts.latest_snapshot(i.history), alerts.previous_snapshot(i.history), alerts.alert_summary(i.script_alerts),
@@ -71,9 +83,19 @@ def test_client_alerts_evaluate_their_input_once(large):
 def test_clients_meet_their_months_after_the_sums(large):
     i = Inputs(large, SF)
     df = backfill.monthly_features(i.clients, i.campaigns, i.automations, i.messages, date(2001, 1, 1), date(2001, 6, 30))
-    sums = [p for p in nodes(df._jdf.queryExecution().executedPlan())
-            if "Exchange" in p.nodeName() and "month_end" in p.outputPartitioning().toString()]
-    assert sums and not any("Generate" in p.nodeName() for s in sums for p in nodes(s))
+    assert month_sums(df) and not any("Generate" in p.nodeName() for s in month_sums(df) for p in nodes(s))
+
+
+@pytest.mark.parametrize("name", HISTORY_QUERIES)
+def test_history_query_sums_clients_once(large, name):
+    """No map task holds a group per client and month end of its split."""
+    catalog.load()
+    if name == "l18_alert_summary_observed":  # its result is a summary; these are the rows it writes
+        df = alerts.evaluate_alerts(Inputs(large, SF).alert_base, rules.SCRIPT_ALERTS, AS_OF)
+    else:
+        df = catalog.QUERIES[name](large, SF)
+    assert month_sums(df) and not any("Generate" in p.nodeName() for s in month_sums(df) for p in nodes(s))
+    assert most_in_a_task(df) <= 6
 
 
 def test_client_alerts_without_client_and_repeated(spark, rows):
