@@ -14,6 +14,7 @@ BUFFERS = ("Sort", "HashAggregate", "ObjectHashAggregate")
 # Queries over the score history.
 HISTORY_QUERIES = [
     "l14_alerts_rule_file",
+    "l14_alerts_script",
 ]
 
 
