@@ -15,6 +15,7 @@ BUFFERS = ("Sort", "HashAggregate", "ObjectHashAggregate")
 HISTORY_QUERIES = [
     "l14_alerts_rule_file",
     "l14_alerts_script",
+    "l14_alerts_sql_v1",
 ]
 
 
