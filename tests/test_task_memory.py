@@ -16,6 +16,7 @@ HISTORY_QUERIES = [
     "l14_alerts_rule_file",
     "l14_alerts_script",
     "l14_alerts_sql_v1",
+    "q1_client_360",
 ]
 
 
