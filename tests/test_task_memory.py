@@ -18,6 +18,7 @@ HISTORY_QUERIES = [
     "l14_alerts_sql_v1",
     "q1_client_360",
     "q1_client_360_in_range",
+    "q1_client_360_period",
 ]
 
 
