@@ -20,6 +20,7 @@ HISTORY_QUERIES = [
     "q1_client_360_in_range",
     "q1_client_360_period",
     "q2_last_known_values_unlisted_text",
+    "q5_monthly_mean_score",
 ]
 
 
