@@ -21,6 +21,7 @@ HISTORY_QUERIES = [
     "q1_client_360_period",
     "q2_last_known_values_unlisted_text",
     "q5_monthly_mean_score",
+    "q6_status_by_month",
 ]
 
 
