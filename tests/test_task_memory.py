@@ -22,6 +22,7 @@ HISTORY_QUERIES = [
     "q2_last_known_values_unlisted_text",
     "q5_monthly_mean_score",
     "q6_status_by_month",
+    "l16_severity_order",
 ]
 
 
