@@ -23,6 +23,7 @@ HISTORY_QUERIES = [
     "q5_monthly_mean_score",
     "q6_status_by_month",
     "l16_severity_order",
+    "l16_severity_order_sql_v1",
 ]
 
 
