@@ -24,6 +24,7 @@ HISTORY_QUERIES = [
     "q6_status_by_month",
     "l16_severity_order",
     "l16_severity_order_sql_v1",
+    "l17_most_urgent",
 ]
 
 
