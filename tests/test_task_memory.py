@@ -25,6 +25,7 @@ HISTORY_QUERIES = [
     "l16_severity_order",
     "l16_severity_order_sql_v1",
     "l17_most_urgent",
+    "l18_alert_summary",
 ]
 
 
