@@ -26,6 +26,7 @@ HISTORY_QUERIES = [
     "l16_severity_order_sql_v1",
     "l17_most_urgent",
     "l18_alert_summary",
+    "l18_alert_summary_observed",
 ]
 
 
