@@ -27,6 +27,7 @@ HISTORY_QUERIES = [
     "l17_most_urgent",
     "l18_alert_summary",
     "l18_alert_summary_observed",
+    "l1_latest_snapshot",
 ]
 
 
