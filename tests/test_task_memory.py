@@ -28,6 +28,7 @@ HISTORY_QUERIES = [
     "l18_alert_summary",
     "l18_alert_summary_observed",
     "l1_latest_snapshot",
+    "l1_latest_snapshot_period",
 ]
 
 
