@@ -29,6 +29,7 @@ HISTORY_QUERIES = [
     "l18_alert_summary_observed",
     "l1_latest_snapshot",
     "l1_latest_snapshot_period",
+    "l2_previous_snapshot",
 ]
 
 
